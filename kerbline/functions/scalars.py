@@ -121,5 +121,6 @@ def row_count(cols: Sequence[Column | str]) -> Column:
 
 
 def within(c: Column | str, start: str | dt.date, end: str | dt.date) -> Column:
-    """Both ends included, at day resolution."""
-    return _c(c).cast("date").between(as_date(start), as_date(end))
+    """Both ends included, at day resolution, in a form that reaches the file scan."""
+    after = dt.date.fromisoformat(str(end)) + dt.timedelta(days=1)
+    return (_c(c) >= as_date(start)) & (_c(c) < as_date(after))

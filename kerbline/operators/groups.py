@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import month_window, ratio
+from ..functions.scalars import month_window, ratio, within
 from .aggregates import in_span
 from .ranking import add_tile, exact_quantiles, rank_rows, tile_of
 
@@ -40,6 +41,11 @@ def quantile_label(
     return df.withColumn(out, label.cast("int"))
 
 
+def _month_end(first: str) -> str:
+    start = dt.date.fromisoformat(first)
+    return str((start + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1))
+
+
 def month_ratio(
     df: DataFrame,
     month: str,
@@ -57,11 +63,9 @@ def month_ratio(
     """
     first, last = month_window(start, end)
     m = f"{month[:7]}-01"
-    latest = F.avg(F.when(F.trunc(time, "month") == F.lit(m).cast("date"), F.col(value)))
+    latest = F.avg(in_span(value, time, (m, _month_end(m))))
     usual = F.avg(in_span(value, time, (first, last)))
-    wanted = (F.trunc(time, "month") == F.lit(m).cast("date")) | F.col(time).cast("date").between(
-        F.lit(first), F.lit(last)
-    )
+    wanted = within(time, m, _month_end(m)) | within(time, first, last)
     return (
         df.where(wanted)
         .groupBy(key)
