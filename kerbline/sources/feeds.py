@@ -132,25 +132,38 @@ def _typed(name: str, field: Field) -> Column:
     return raw.try_cast(field.type) if field.read == "cast" else raw.cast(field.type)
 
 
-def broken_rules(spec: Spec, raw_of, typed_of) -> dict[str, Column]:
-    """Rule name -> condition that is true on a row breaking it. Nulls pass value checks."""
-    rules = {}
-    for name, field in spec.items():
-        raw, v = raw_of(name), typed_of(name)
-        if field.read in ("measure", "hour", "cast") and field.type != "string":
-            given = raw.isNotNull()
-            if field.read == "measure":
-                given = given & (F.trim(raw.cast("string")) != F.lit(SUPPRESSED))
-            rules[f"{name}:type"] = given & v.isNull()
-        if not field.nullable:
-            rules[f"{name}:not_null"] = raw.isNull()
-        if field.positive:
-            rules[f"{name}:positive"] = v <= 0
-        if field.one_of:
-            rules[f"{name}:one_of"] = ~v.isin(list(field.one_of))
-        if field.between:
-            rules[f"{name}:between"] = ~v.between(*field.between)
-    return rules
+def _kinds(field: Field) -> list[str]:
+    return [
+        kind
+        for kind, wanted in (
+            ("type", field.read != "stamp" and field.type != "string"),
+            ("not_null", not field.nullable),
+            ("positive", field.positive),
+            ("one_of", field.one_of is not None),
+            ("between", field.between is not None),
+        )
+        if wanted
+    ]
+
+
+def rule_names(spec: Spec) -> list[str]:
+    return [f"{name}:{kind}" for name, field in spec.items() for kind in _kinds(field)]
+
+
+def _broken(kind: str, field: Field, raw: Column, v: Column) -> Column:
+    """True on a row that breaks the rule; a null value passes all but ``not_null``."""
+    if kind == "type":
+        given = raw.isNotNull()
+        if field.read == "measure":
+            given = given & (F.trim(raw.cast("string")) != F.lit(SUPPRESSED))
+        return given & v.isNull()
+    if kind == "not_null":
+        return raw.isNull()
+    if kind == "positive":
+        return v <= 0
+    if kind == "one_of":
+        return ~v.isin(list(field.one_of))
+    return ~v.between(*field.between)
 
 
 def check(df: DataFrame, spec: Spec, *, out: str = "violations") -> DataFrame:
@@ -162,8 +175,16 @@ def check(df: DataFrame, spec: Spec, *, out: str = "violations") -> DataFrame:
         *others,
         *[F.col(quoted(c)).alias(f"_raw_{c}") for c in spec],
     )
-    rules = broken_rules(spec, lambda c: F.col(f"_raw_{c}"), lambda c: F.col(c))
-    found = F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(r)) for r, cond in rules.items()])
+    found = F.array(
+        *[
+            F.when(
+                F.coalesce(_broken(kind, field, F.col(quoted(f"_raw_{c}")), F.col(quoted(c))), F.lit(False)),
+                F.lit(f"{c}:{kind}"),
+            )
+            for c, field in spec.items()
+            for kind in _kinds(field)
+        ]
+    )
     return held.withColumn(out, F.filter(found, lambda r: r.isNotNull())).drop(
         *[f"_raw_{c}" for c in spec]
     )
@@ -172,7 +193,7 @@ def check(df: DataFrame, spec: Spec, *, out: str = "violations") -> DataFrame:
 def violation_report(df: DataFrame, spec: Spec) -> DataFrame:
     """(rule, n) for every rule of the schema, counted in one pass."""
     checked = check(df, spec)
-    rules = list(broken_rules(spec, lambda c: F.lit(None), lambda c: F.lit(None)))
+    rules = rule_names(spec)
     row = checked.agg(
         *[
             F.count(F.when(F.array_contains("violations", r), 1)).alias(f"r{i}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.drops import drop_glob, load_rows, stamp
-from ..sources.feeds import FEEDS
+from ..sources.feeds import FEEDS, Feed
 
 
 def stream_feed(spark: SparkSession, root: str, route: str) -> DataFrame:
@@ -23,19 +23,26 @@ def stream_feed(spark: SparkSession, root: str, route: str) -> DataFrame:
     return stamp(rows)
 
 
-def run_folder(
-    spark: SparkSession, root: str, warehouse: str, route: str, checkpoint: str, *, mode: str = "raise"
+def land_stream(
+    rows: DataFrame, feed: Feed, target: str, checkpoint: str, *, mode: str = "raise"
 ) -> StreamingQuery:
-    """Load all files that are waiting, then stop. A replayed batch changes nothing."""
-    feed = FEEDS[route]
+    """Load everything that is waiting, then stop. A replayed batch changes nothing."""
 
     def land(batch: DataFrame, _: int) -> None:
-        load_rows(batch, feed, f"{warehouse}/{feed.table}", mode=mode)
+        load_rows(batch, feed, target, mode=mode)
 
     return (
-        stream_feed(spark, root, route)
-        .writeStream.foreachBatch(land)
+        rows.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def run_folder(
+    spark: SparkSession, root: str, warehouse: str, route: str, checkpoint: str, *, mode: str = "raise"
+) -> StreamingQuery:
+    """The waiting files of one feed into its table."""
+    feed = FEEDS[route]
+    rows = stream_feed(spark, root, route)
+    return land_stream(rows, feed, f"{warehouse}/{feed.table}", checkpoint, mode=mode)

@@ -1,2 +1,2 @@
-from . import aggregation, joining, projecting
+from . import cleaning, scoring
 from .base import REGISTRY
