@@ -1,8 +1,8 @@
 """Keyed joins.
 
-No operator here forces a broadcast: tables read from files carry their size, so the
-optimizer broadcasts a lookup by ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-shuffles, with adaptive execution splitting skewed partitions.
+Tables read from files carry their size, so the optimizer broadcasts a lookup by
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, with adaptive execution
+splitting skewed partitions. A broadcast is forced only by ``join_counted``, behind a count.
 """
 
 from __future__ import annotations
@@ -14,6 +14,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_ROWS = 200_000
+
+
+def join_counted(
+    df: DataFrame, stored: DataFrame, on: str | list[str], how: str, *, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join to a checkpointed table of narrow rows, broadcast when it has few enough.
+
+    A checkpoint carries no size, so without the count a small table would make the large
+    side shuffle, hot keys and all.
+    """
+    few = stored.limit(limit + 1).count() <= limit
+    return df.join(F.broadcast(stored) if few else stored, on, how)
+
+
 def merge_all(parts: Sequence[DataFrame], on: str | list[str], how: str = "full") -> DataFrame:
     return reduce(lambda a, b: a.join(b, on, how), parts)
 

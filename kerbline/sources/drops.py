@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import file_name_of, folder_date
+from ..operators.joins import join_counted
 from ..session import cut
 from .feeds import FEEDS, Feed, clean, route_of
 from .tables import path_exists, read_csv
@@ -34,8 +35,8 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stamp(df: DataFrame, path: str = "_metadata.file_path") -> DataFrame:
-    """Add the lineage columns from the path of a row's file."""
-    where = F.col(path)
+    """Add the lineage columns from the path of a row's file, a percent-encoded URI."""
+    where = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
     return df.withColumns({"file_date": folder_date(where), "file_name": file_name_of(where)})
 
 
@@ -86,7 +87,7 @@ def load_rows(raw: DataFrame, feed: Feed, target: str, *, mode: str = "raise") -
     # the counts are fixed before the write, which changes the table they come from
     actions = cut(reconcile(incoming_files(raw), loaded_counts(spark, target)))
     due = actions.where(F.col("action").isin(APPEND, REPLACE)).select("file_name", "file_date")
-    rows = raw.join(due, ["file_name", "file_date"], "left_semi")
+    rows = join_counted(raw, due, ["file_name", "file_date"], "left_semi")
     (
         clean(rows, feed.spec, mode=mode)
         .write.mode("overwrite")

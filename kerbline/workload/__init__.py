@@ -1,2 +1,2 @@
-from . import cleaning, scoring
+from . import learning, cells, aggregation
 from .base import REGISTRY
