@@ -170,23 +170,44 @@ def pooled_sums(
     )
 
 
+# Gaussian algebra of one key. ``level`` is the population level as a table of one row: as
+# columns, its numbers leave the generated code of every round the same.
+_POSTERIOR = """
+  SELECT *, (p22 * h1 - p12 * h2) / det AS a, (p11 * h2 - p12 * h1) / det AS b,
+         p22 / det AS var_a, p11 / det AS var_b, -p12 / det AS cov_ab
+  FROM (SELECT *, p11 * p22 - p12 * p12 AS det
+        FROM (SELECT s.*, l.*, s.n / l.s2 + 1 / l.va AS p11, s.sx / l.s2 AS p12,
+                     s.sxx / l.s2 + 1 / l.vb AS p22, s.sy / l.s2 + l.ma / l.va AS h1,
+                     s.sxy / l.s2 + l.mb / l.vb AS h2
+              FROM (SELECT 1 AS one, * FROM {sums}) s
+              JOIN (SELECT /*+ BROADCAST(v) */ * FROM VALUES %s AS v(one, ma, mb, va, vb, s2)) l
+                ON s.one = l.one))"""
+
+# Squared error at the posterior mean (rss), what the doubt about the line adds to it, the
+# log evidence of a key (fit, distance from the prior, volume), and the key's part in the
+# normal equations of the two means with its own line integrated out.
+_ROUND = """
+SELECT count(1), sum(n), sum(qa + var_a), sum(qb + var_b), sum(rss + doubt),
+       sum(-0.5D * (n * ln(s2) + ln(va) + ln(vb) + ln(det) + rss / s2 + qa / va + qb / vb)),
+       sum(1 / va - var_a / (va * va)), sum(-cov_ab / (va * vb)), sum(1 / vb - var_b / (vb * vb)),
+       sum((var_a * sy + cov_ab * sxy) / (s2 * va)), sum((cov_ab * sy + var_b * sxy) / (s2 * vb))
+FROM (SELECT *,
+             syy - 2 * a * sy - 2 * b * sxy + n * a * a + 2 * sx * a * b + sxx * b * b AS rss,
+             n * var_a + 2 * sx * cov_ab + sxx * var_b AS doubt,
+             (a - ma) * (a - ma) AS qa, (b - mb) * (b - mb) AS qb
+      FROM (%s))"""
+
+
+def _level(pool: Pool) -> str:
+    numbers = [pool.mu_a, pool.mu_b, pool.sigma_a**2, pool.sigma_b**2, pool.sigma**2]
+    return "(1, " + ", ".join(f"{float(v)!r}D" for v in numbers) + ")"
+
+
 def pooled_posterior(sums: DataFrame, pool: Pool, *, key: str) -> DataFrame:
     """Closed-form Gaussian posterior of each key's intercept and slope."""
-    s2 = pool.sigma**2
-    pa, pb = 1 / pool.sigma_a**2, 1 / pool.sigma_b**2
-    p11 = F.col("n") / s2 + pa
-    p12 = F.col("sx") / s2
-    p22 = F.col("sxx") / s2 + pb
-    det = p11 * p22 - p12 * p12
-    h1 = F.col("sy") / s2 + pool.mu_a * pa
-    h2 = F.col("sxy") / s2 + pool.mu_b * pb
-    return sums.select(
-        "*",
-        ((p22 * h1 - p12 * h2) / det).alias("a"),
-        ((p11 * h2 - p12 * h1) / det).alias("b"),
-        (p22 / det).alias("var_a"),
-        (p11 / det).alias("var_b"),
-        (-p12 / det).alias("cov_ab"),
+    rows = sums.sparkSession.sql(_POSTERIOR % _level(pool), sums=sums)
+    return rows.select(
+        key, "n", "sx", "sxx", "sy", "sxy", "syy", "a", "b", "var_a", "var_b", "cov_ab"
     )
 
 
@@ -195,6 +216,37 @@ def _half_normal_scale(total: float, count: float) -> float:
     return math.sqrt(max((-count + math.sqrt(count * count + 4 * total)) / 2, 1e-12))
 
 
+_SPREADS = ("sigma_a", "sigma_b", "sigma")
+_FLOOR = 1e-6
+
+
+def _spreads(pool: Pool) -> np.ndarray:
+    return np.log([getattr(pool, s) for s in _SPREADS])
+
+
+def _scales(at: np.ndarray) -> list[float]:
+    return [float(v) for v in np.exp(np.clip(at, math.log(_FLOOR), 50.0))]
+
+
+def _round(sums: DataFrame, pool: Pool) -> tuple[Pool, float]:
+    """The next population level, and the log posterior of the present one, in one job."""
+    query = _ROUND % (_POSTERIOR % _level(pool))
+    k, n, qa, qb, err, score, g11, g12, g22, u1, u2 = (
+        sums.sparkSession.sql(query, sums=sums).first()
+    )
+    # unit normal priors of the means add one to the diagonal
+    det = (g11 + 1) * (g22 + 1) - g12 * g12
+    nxt = Pool(
+        ((g22 + 1) * u1 - g12 * u2) / det,
+        ((g11 + 1) * u2 - g12 * u1) / det,
+        _half_normal_scale(max(qa, 0.0), k),
+        _half_normal_scale(max(qb, 0.0), k),
+        _half_normal_scale(max(err, 0.0), n),
+    )
+    spreads = pool.sigma**2 + pool.sigma_a**2 + pool.sigma_b**2
+    return nxt, score - 0.5 * (pool.mu_a**2 + pool.mu_b**2 + spreads)
+
+
 def fit_pool(
     df: DataFrame,
     span: tuple[str, str],
@@ -203,56 +255,55 @@ def fit_pool(
     key: str,
     time: str,
     value: str,
-    max_rounds: int = 200,
+    max_rounds: int = 300,
     tol: float = 1e-7,
 ) -> tuple[Pool, DataFrame]:
     """Fit ``y = a_k + b_k * weeks + e`` with a shared prior by EM.
 
     ``a_k ~ N(mu_a, sigma_a)``, ``b_k ~ N(mu_b, sigma_b)``; the means have N(0, 1) priors
     and the spreads unit half-normal ones. The series is read once, into one row of sums
-    per key; a round is one aggregate over that table and returns a single row. Returns
-    the population level and the posterior per key.
+    per key; a round is one aggregate over that table and returns a single row.
+
+    A round sets the means to their optimum for the present spreads and moves the spreads
+    one EM step. Every third round starts from an extrapolation of the spreads over the two
+    before it (squared extrapolation of EM) and is taken only if it raises the log
+    posterior. Stops when rounds change it by less than ``tol`` per observation.
+    Returns the population level and the posterior per key.
     """
     sums = cut(pooled_sums(df, span, t0, key=key, time=time, value=value))
     start = sums.agg(
-        F.sum("n"), F.sum("sy"), F.sum("syy"), F.count(F.lit(1)), F.avg(F.col("sy") / F.col("n")),
+        F.sum("n"), F.sum("sy"), F.sum("syy"), F.avg(F.col("sy") / F.col("n")),
         F.stddev_pop(F.col("sy") / F.col("n")),
     ).first()
     if not start[0]:
         raise ValueError("no rows to fit")
     var_y = max(start[2] / start[0] - (start[1] / start[0]) ** 2, 1e-8)
-    pool = Pool(start[4], 0.0, max(start[5] or 0.0, 1e-3), 0.1, math.sqrt(var_y))
-    for done in range(1, max_rounds + 1):
-        post = pooled_posterior(sums, pool, key=key)
-        a, b = F.col("a"), F.col("b")
-        rss = (
-            F.col("syy") - 2 * a * F.col("sy") - 2 * b * F.col("sxy")
-            + F.col("n") * (a * a + F.col("var_a"))
-            + 2 * F.col("sx") * (a * b + F.col("cov_ab"))
-            + F.col("sxx") * (b * b + F.col("var_b"))
-        )
-        k, n, sa, sb, qa, qb, err = post.agg(
-            F.count(F.lit(1)), F.sum("n"), F.sum("a"), F.sum("b"),
-            F.sum(a * a + F.col("var_a")), F.sum(b * b + F.col("var_b")), F.sum(rss),
-        ).first()
-        mu_a = sa / (k + pool.sigma_a**2)
-        mu_b = sb / (k + pool.sigma_b**2)
-        new = Pool(
-            mu_a,
-            mu_b,
-            _half_normal_scale(max(qa - 2 * mu_a * sa + k * mu_a**2, 0.0), k),
-            _half_normal_scale(max(qb - 2 * mu_b * sb + k * mu_b**2, 0.0), k),
-            _half_normal_scale(max(err, 0.0), n),
-            done,
-        )
-        change = max(
-            abs(getattr(new, f) - getattr(pool, f)) / (abs(getattr(pool, f)) + 1e-6)
-            for f in ("mu_a", "mu_b", "sigma_a", "sigma_b", "sigma")
-        )
-        pool = new
-        if change < tol:
+    pool = Pool(start[3], 0.0, max(start[4] or 0.0, 1e-3), 0.1, math.sqrt(var_y))
+    enough = tol * start[0]
+    rounds, before, longest = 0, -math.inf, 16.0
+    while rounds < max_rounds:
+        one, here = _round(sums, pool)
+        two, after_one = _round(sums, one)
+        rounds += 2
+        settled = abs(after_one - here) < enough and abs(here - before) < enough
+        if settled:
+            pool = two
             break
-    return replace(pool), pooled_posterior(sums, pool, key=key)
+        before = after_one
+        x0, x1, x2 = _spreads(pool), _spreads(one), _spreads(two)
+        r, v = x1 - x0, (x2 - x1) - (x1 - x0)
+        length = float(np.linalg.norm(v))
+        pool = two
+        if length > 0:
+            step = min(max(float(np.linalg.norm(r)) / length, 1.0), longest)
+            leap = replace(two, **dict(zip(_SPREADS, _scales(x0 + 2 * step * r + step * step * v))))
+            landed, there = _round(sums, leap)
+            rounds += 1
+            if math.isfinite(there) and there >= after_one:
+                pool, before, longest = landed, there, longest * 4
+            else:
+                longest = max(longest / 4, 2.0)
+    return replace(pool, rounds=rounds), pooled_posterior(sums, pool, key=key)
 
 
 def pooled_summary(posterior: DataFrame, *, key: str) -> DataFrame:

@@ -276,7 +276,9 @@ def forest(size: Size, p: Mapping) -> Estimator:
 
 def linear_svc(size: Size, p: Mapping) -> Estimator:
     """One-against-rest linear separators (the kernel form has no distributed solver)."""
-    base = LinearSVC(regParam=1.0 / (float(p["C"]) * size.n), standardization=False)
+    base = LinearSVC(
+        regParam=1.0 / (float(p["C"]) * size.n), standardization=False, tol=float(p.get("tol", 1e-3))
+    )
     return OneVsRest(classifier=base, labelCol="label")
 
 
