@@ -1,2 +1,16 @@
-from . import learning, cells, aggregation
+"""The registered queries, each next to the SQL that must give the same rows."""
+
+from . import (  # noqa: F401
+    aggregation,
+    cleaning,
+    cells,
+    composites,
+    joining,
+    learning,
+    projecting,
+    scoring,
+    series,
+)
 from .base import REGISTRY
+
+__all__ = ["REGISTRY"]

@@ -212,17 +212,17 @@ def a13(spark, sf):
     return out.select("key", *[tidy(c, 5).alias(c) for c in spans])
 
 
-_LINE = {"a": (("1996-04-15", "1996-10-31"), "1996-04-01"), "b": (("1997-02-12", "1997-08-31"), "1997-04-12")}
+LINE_SPANS = {"a": (("1996-04-15", "1996-10-31"), "1996-04-01"), "b": (("1997-02-12", "1997-08-31"), "1997-04-12")}
 LINES_SQL = " UNION ALL ".join(
     f"""SELECT key, '{n}' AS fit, regr_slope(v, date_diff('day', DATE '{t0}', t)) AS slope,
   regr_intercept(v, date_diff('day', DATE '{t0}', t)) AS intercept, count(v) AS n
 FROM sw WHERE {_between(*s)} GROUP BY key"""
-    for n, (s, t0) in _LINE.items()
+    for n, (s, t0) in LINE_SPANS.items()
 )
 
 
 def lines(spark, sf):
-    return agg.fit_lines(supplier_week(spark, sf), _LINE, **_C)
+    return agg.fit_lines(supplier_week(spark, sf), LINE_SPANS, **_C)
 
 
 @case(
