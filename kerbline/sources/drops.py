@@ -87,6 +87,8 @@ def load_rows(raw: DataFrame, feed: Feed, target: str, *, mode: str = "raise") -
     # the counts are fixed before the write, which changes the table they come from
     actions = cut(reconcile(incoming_files(raw), loaded_counts(spark, target)))
     due = actions.where(F.col("action").isin(APPEND, REPLACE)).select("file_name", "file_date")
+    if due.isEmpty():
+        return actions
     rows = join_counted(raw, due, ["file_name", "file_date"], "left_semi")
     (
         clean(rows, feed.spec, mode=mode)
