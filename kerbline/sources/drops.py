@@ -77,8 +77,8 @@ def reconcile(incoming: DataFrame, loaded: DataFrame) -> DataFrame:
 def loaded_counts(spark: SparkSession, target: str) -> DataFrame:
     if not path_exists(spark, target):
         return spark.createDataFrame([], "file_name string, n_table long")
-    table = spark.read.parquet(target).withColumn("file_name", F.col("file_name").cast("string"))
-    return rows_per_file(table, "n_table")
+    # naming the partition column keeps it text and lets an empty table count as none
+    return rows_per_file(spark.read.schema("file_name string").parquet(target), "n_table")
 
 
 def load_rows(raw: DataFrame, feed: Feed, target: str, *, mode: str = "raise") -> DataFrame:
