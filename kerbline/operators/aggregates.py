@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import days_since, ordinal_day, ratio, row_sum, within
 from .projection import columns_like, quoted
+from .series import unique_periods
 
 Span = tuple[str, str]
 
@@ -76,9 +77,15 @@ def quantile_hit_ratio(
     value: str,
     q: float = 0.2,
     out: str = "hit",
+    unique: bool = False,
 ) -> DataFrame:
-    """A low quantile inside a span over the mean of a baseline span."""
-    return df.groupBy(key).agg(
+    """A low quantile inside a span over the mean of a baseline span.
+
+    The exact quantile holds a key's values, so there is one per day: a repeated
+    (key, day) stops the query unless ``unique`` vouches for the input.
+    """
+    rows = df if unique else unique_periods(df, key=key, time=time, value=value)
+    return rows.groupBy(key).agg(
         ratio(
             F.percentile(in_span(value, time, hit), F.lit(q)), F.avg(in_span(value, time, base))
         ).alias(out)

@@ -175,19 +175,18 @@ def cluster_sweep(
     exact: bool = True, restarts: int = 10, seed: int = 0,
 ) -> DataFrame:
     """(k, silhouette) for each k. ``exact=False`` uses squared distances to centroids."""
+    table = cut(df.select(key, features))
+    centroid = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
     rows = []
     for k in ks:
-        labelled = cluster(df, k, features=features, restarts=restarts, seed=seed).transform(df)
+        model = cluster(table, k, features=features, restarts=restarts, seed=seed)
+        labelled = model.transform(table)
         if exact:
             arrays = labelled.select(key, vector_to_array(features).alias("_x"), "cluster")
-            score = mean_silhouette(
-                silhouettes(arrays, key=key, vector="_x", cluster="cluster")
-            ).first()[0]
+            scores = silhouettes(arrays, key=key, vector="_x", cluster="cluster")
+            rows.append((k, mean_silhouette(scores).first()[0]))
         else:
-            score = ClusteringEvaluator(featuresCol=features, predictionCol="cluster").evaluate(
-                labelled
-            )
-        rows.append((k, score))
+            rows.append((k, centroid.evaluate(labelled)))
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
@@ -277,14 +276,15 @@ def forest(size: Size, p: Mapping) -> Estimator:
 def linear_svc(size: Size, p: Mapping) -> Estimator:
     """One-against-rest linear separators (the kernel form has no distributed solver)."""
     base = LinearSVC(
-        regParam=1.0 / (float(p["C"]) * size.n), standardization=False, tol=float(p.get("tol", 1e-3))
+        regParam=1.0 / (float(p["C"]) * size.n), standardization=False,
+        tol=float(p.get("tol", 1e-3)), maxIter=int(p.get("max_iter", 100)),
     )
-    return OneVsRest(classifier=base, labelCol="label")
+    return OneVsRest(classifier=base, labelCol="label", parallelism=4)
 
 
 def boosted_trees(size: Size, p: Mapping) -> Estimator:
     base = GBTClassifier(maxIter=int(p.get("rounds", 20)), seed=0)
-    return OneVsRest(classifier=base, labelCol="label")
+    return OneVsRest(classifier=base, labelCol="label", parallelism=4)
 
 
 # The grids the analyses search.

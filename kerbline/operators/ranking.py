@@ -43,10 +43,11 @@ def rank_rows(
     """Number all rows of ``df`` in ``order``. The order must end in a unique key."""
     spark = df.sparkSession
     by = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without a stated number, adaptive execution merges neighbouring small partitions,
+    # which keeps them in order
+    spread = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     laid = cut(
-        df.repartitionByRange(parts, *by)
-        .sortWithinPartitions(*by)
+        spread.sortWithinPartitions(*by)
         .withColumn("_slot", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_slot", _ROW_BITS).cast("int"))
     )

@@ -6,12 +6,21 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, learning
-from ..operators.fits import fit_pool, huber_lines, pooled_summary, predictive_band
+from ..operators.fits import (
+    Pool,
+    band_with_actuals,
+    fit_pool,
+    huber_lines,
+    pooled_posterior,
+    pooled_summary,
+    pooled_sums,
+    predictive_band,
+)
 from ..operators.reshape import one_hot
-from ..operators.series import extract_series
+from ..operators.series import extract_series, slice_period
 from ..plans.at_risk import compare_models, final_model
 from ..plans.pooling import pooled_lines
-from .base import R, SUPPLIER_WEEK, case, nation_month, supplier_week, table, text, tidy
+from .base import R, SUPPLIER_WEEK, case, supplier_week, table, text, tidy
 from .cells import order_stats
 
 _C = dict(key="key", time="t", value="v")
@@ -249,7 +258,7 @@ def _add_classifier(name: str, make, params) -> None:
 _add_classifier("m17_logistic", learning.logistic, {"C": 10})
 _add_classifier("m18_classification_tree", learning.classification_tree, {"criterion": "entropy"})
 _add_classifier("m19_random_forest", learning.forest, {"criterion": "gini", "trees": 30})
-_add_classifier("m21_linear_svc", learning.linear_svc, {"C": 1.0})
+_add_classifier("m21_linear_svc", learning.linear_svc, {"C": 1.0, "max_iter": 30})
 _add_classifier("m22_boosted_trees", learning.boosted_trees, {"rounds": 5})
 
 
@@ -301,8 +310,6 @@ FROM sw WHERE t BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""",
 )
 def h02(spark, sf):
     from ..functions.scalars import weeks_since
-    from ..operators.series import slice_period
-
     rows = slice_period(supplier_week(spark, sf), *_POOLED, time="t")
     return rows.select("key", tidy(weeks_since("t", _POOLED[0]), 5).alias("weeks"), tidy("v").alias("v"))
 
@@ -315,8 +322,6 @@ SELECT key, count(*)::DOUBLE AS n, {R('sum(x)', 3)} AS sx, {R('sum(x * x)', 3)}
   {R('sum(x * y)', 3)} AS sxy, {R('sum(y * y)')} AS syy FROM r GROUP BY key""",
 )
 def h02b(spark, sf):
-    from ..operators.fits import pooled_sums
-
     out = pooled_sums(_index_series(spark, sf), _POOLED, _POOLED[0], **_C)
     return out.select(
         "key", "n", tidy("sx", 3).alias("sx"), tidy("sxx", 3).alias("sxx"), tidy("sy").alias("sy"),
@@ -356,3 +361,51 @@ def d03(spark, sf):
     return model.transform(ready).select(
         "key", "slope", "intercept", "slope_shift", "intercept_shift", "cluster"
     )
+
+
+# a stated population level, so that the posterior has a closed form in SQL too
+_LEVEL = Pool(1.0, 0.001, 0.1, 0.002, 0.5)
+_LEVEL_SQL = f"""{SUPPLIER_WEEK}, r AS (SELECT key, t, date_diff('day', DATE '1996-01-01', t) / 7.0 AS x, v / 50000 AS y FROM sw
+  WHERE t BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'),
+s AS (SELECT key, count(*) / 0.25 + 1 / 0.01 AS p11, sum(x) / 0.25 AS p12, sum(x * x) / 0.25 + 1 / 0.000004 AS p22,
+  sum(y) / 0.25 + 1.0 / 0.01 AS h1, sum(x * y) / 0.25 + 0.001 / 0.000004 AS h2 FROM r GROUP BY key),
+post AS (SELECT key, (p22 * h1 - p12 * h2) / (p11 * p22 - p12 * p12) AS a, (p11 * h2 - p12 * h1) / (p11 * p22 - p12 * p12) AS b,
+  p22 / (p11 * p22 - p12 * p12) AS va, p11 / (p11 * p22 - p12 * p12) AS vb, -p12 / (p11 * p22 - p12 * p12) AS c FROM s)"""
+
+
+def _posterior_at_level(spark, sf):
+    series = _index_series(spark, sf)
+    sums = pooled_sums(series, _POOLED, _POOLED[0], **_C)
+    return series, pooled_posterior(sums, _LEVEL, key="key")
+
+
+@case(
+    "h03_posterior_at_level",
+    f"""WITH {_LEVEL_SQL} SELECT key, {R('a', 5)} AS mean_a, {R('sqrt(va)', 5)} AS sd_a,
+  {R('b', 6)} AS mean_b, {R('sqrt(vb)', 6)} AS sd_b FROM post""",
+)
+def h03_level(spark, sf):
+    _, posterior = _posterior_at_level(spark, sf)
+    return pooled_summary(posterior, key="key").select(
+        "key", tidy("mean_a", 5).alias("mean_a"), tidy("sd_a", 5).alias("sd_a"),
+        tidy("mean_b", 6).alias("mean_b"), tidy("sd_b", 6).alias("sd_b"),
+    )
+
+
+@case(
+    "h05_band_at_level",
+    f"""WITH {_LEVEL_SQL}, g AS (SELECT k.key, d.t, date_diff('day', DATE '1996-01-01', d.t) / 7.0 AS x
+  FROM (SELECT DISTINCT key FROM r) k CROSS JOIN (SELECT DISTINCT t FROM r) d)
+SELECT g.key, CAST(g.t AS VARCHAR) AS t, {R('a + b * g.x', 5)} AS pred,
+  {R('sqrt(0.25 + va + 2 * g.x * c + g.x * g.x * vb)', 5)} AS sigma, {R('y', 5)} AS actual
+FROM g JOIN post ON g.key = post.key LEFT JOIN r ON g.key = r.key AND g.t = r.t""",
+)
+def h05_level(spark, sf):
+    series, posterior = _posterior_at_level(spark, sf)
+    used = slice_period(series, *_POOLED, time="t")
+    band = predictive_band(posterior, _LEVEL, _POOLED[0], key="key", time="t", periods=used)
+    out = band_with_actuals(band, used, key="key", time="t", value="v")
+    return out.select(
+        "key", text("t").alias("t"), tidy("pred", 5).alias("pred"), tidy("sigma", 5).alias("sigma"),
+        tidy("actual", 5).alias("actual"),
+    )

@@ -10,7 +10,15 @@ from kerbline.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", "kerbline-tests", **{"spark.sql.shuffle.partitions": "4"})
+    # small partitions stay apart, so that order and offsets across partitions are exercised
+    session = local_session(
+        "8",
+        "kerbline-tests",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        },
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
