@@ -71,11 +71,12 @@ def densify(
     days = calendar(base, time=time)
 
     placed = base.join(F.broadcast(days), time).select(key, "pos", "n_periods", value)
-    per_key = Window.partitionBy(key)
-    along = per_key.orderBy("pos")
+    along = Window.partitionBy(key).orderBy("pos")
+    # the frame of the whole key, stated over the same order to share its sort
+    throughout = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a key without any value keeps one row, so that it still shows up as all NULL
     held = (
-        placed.withColumn("_seen", F.count(value).over(per_key))
+        placed.withColumn("_seen", F.count(value).over(throughout))
         .withColumn("_nth", F.row_number().over(along))
         .where(F.col(value).isNotNull() | ((F.col("_seen") == 0) & (F.col("_nth") == 1)))
     )
@@ -86,7 +87,7 @@ def densify(
         F.col(value).alias("_v0"),
         F.lead("pos").over(along).alias("_p1"),
         F.lead(value).over(along).alias("_v1"),
-        F.min("pos").over(per_key).alias("_start"),
+        F.min("pos").over(throughout).alias("_start"),
     )
     if not keep_incomplete:
         linked = linked.where((F.col("_start") == 0) & F.col("_v0").isNotNull())
