@@ -35,12 +35,13 @@ def hour_of_band(c: Column | str) -> Column:
 
 
 def file_name_of(path: Column | str) -> Column:
-    return F.element_at(F.split(_c(path), "/"), -1)
+    return F.substring_index(_c(path), "/", -1)
 
 
 def folder_date(path: Column | str) -> Column:
     """Date at the end of the drop folder in ``.../<folder>DD_MM_YYYY/files/<file>``."""
-    return F.to_date(F.right(F.element_at(F.split(_c(path), "/"), -3), F.lit(10)), "dd_MM_yyyy")
+    folder = F.substring_index(F.substring_index(_c(path), "/", -3), "/", 1)
+    return F.to_date(F.right(folder, F.lit(10)), "dd_MM_yyyy")
 
 
 def repair_name(c: Column | str) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -166,39 +168,43 @@ def _broken(kind: str, field: Field, raw: Column, v: Column) -> Column:
     return ~v.between(*field.between)
 
 
-def check(df: DataFrame, spec: Spec, *, out: str = "violations") -> DataFrame:
-    """Typed columns of the schema, other columns as they are, and the broken rules."""
+def _held(df: DataFrame, spec: Spec) -> DataFrame:
+    """Typed columns of the schema, the other columns, and the text the types came from."""
     require_columns(df, spec)
-    others = [F.col(quoted(c)) for c in df.columns if c not in spec]
-    held = df.select(
+    return df.select(
         *[_typed(c, f).alias(c) for c, f in spec.items()],
-        *others,
+        *[F.col(quoted(c)) for c in df.columns if c not in spec],
         *[F.col(quoted(c)).alias(f"_raw_{c}") for c in spec],
     )
-    found = F.array(
-        *[
-            F.when(
-                F.coalesce(_broken(kind, field, F.col(quoted(f"_raw_{c}")), F.col(quoted(c))), F.lit(False)),
-                F.lit(f"{c}:{kind}"),
-            )
-            for c, field in spec.items()
-            for kind in _kinds(field)
-        ]
-    )
-    return held.withColumn(out, F.filter(found, lambda r: r.isNotNull())).drop(
-        *[f"_raw_{c}" for c in spec]
-    )
+
+
+def _conditions(spec: Spec) -> dict[str, Column]:
+    """Rule name -> condition on a held row, never NULL."""
+    return {
+        f"{c}:{kind}": F.coalesce(
+            _broken(kind, field, F.col(quoted(f"_raw_{c}")), F.col(quoted(c))), F.lit(False)
+        )
+        for c, field in spec.items()
+        for kind in _kinds(field)
+    }
+
+
+def _without_raw(df: DataFrame, spec: Spec) -> DataFrame:
+    return df.drop(*[f"_raw_{c}" for c in spec])
+
+
+def check(df: DataFrame, spec: Spec, *, out: str = "violations") -> DataFrame:
+    """Typed columns of the schema, other columns as they are, and the broken rules."""
+    held = _held(df, spec)
+    found = F.array(*[F.when(cond, F.lit(rule)) for rule, cond in _conditions(spec).items()])
+    return _without_raw(held.withColumn(out, F.array_compact(found)), spec)
 
 
 def violation_report(df: DataFrame, spec: Spec) -> DataFrame:
     """(rule, n) for every rule of the schema, counted in one pass."""
-    checked = check(df, spec)
-    rules = rule_names(spec)
-    row = checked.agg(
-        *[
-            F.count(F.when(F.array_contains("violations", r), 1)).alias(f"r{i}")
-            for i, r in enumerate(rules)
-        ]
+    rules = _conditions(spec)
+    row = _held(df, spec).agg(
+        *[F.count(F.when(cond, 1)).alias(f"r{i}") for i, cond in enumerate(rules.values())]
     )
     cells = F.array(
         *[
@@ -215,14 +221,15 @@ def clean(df: DataFrame, spec: Spec, *, mode: str = "raise") -> DataFrame:
     ``raise`` stops the query at a row that breaks a rule, ``keep`` returns every row with
     its ``violations``, ``drop`` returns the rows that break none.
     """
-    checked = check(df, spec)
     if mode == "keep":
-        return checked
-    fine = F.size("violations") == 0
+        return check(df, spec)
+    held, rules = _held(df, spec), _conditions(spec)
+    fine = ~reduce(or_, rules.values())
     if mode == "raise":
-        text = F.concat(F.lit("row breaks "), F.array_join("violations", ", "))
+        names = F.concat_ws(", ", *[F.when(cond, F.lit(r)) for r, cond in rules.items()])
+        text = F.concat(F.lit("row breaks "), names)
         fine = F.when(fine, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
-    return checked.where(fine).drop("violations")
+    return _without_raw(held.where(fine), spec)
 
 
 def quarantine(df: DataFrame, spec: Spec) -> DataFrame:
