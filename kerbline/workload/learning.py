@@ -20,6 +20,8 @@ from ..operators.reshape import one_hot
 from ..operators.series import extract_series, slice_period
 from ..plans.at_risk import compare_models, final_model
 from ..plans.pooling import pooled_lines
+from ..session import staging_path
+from ..sources.tables import load_model, save_model
 from .base import R, SUPPLIER_WEEK, case, supplier_week, table, text, tidy
 from .cells import order_stats
 
@@ -409,3 +411,16 @@ def h05_level(spark, sf):
         "key", text("t").alias("t"), tidy("pred", 5).alias("pred"), tidy("sigma", 5).alias("sigma"),
         tidy("actual", 5).alias("actual"),
     )
+
+
+@case("s16_model_round_trip")
+def s16(spark, sf):
+    """A saved classifier, read back, labels every customer."""
+    rows = labelled_customers(spark, sf)
+    ready = learning.assemble(learning.Scaler.fit(rows, FEATURES).apply(rows), FEATURES)
+    model = learning.gaussian_bayes(learning.size_of(ready, "label"), {}).fit(ready)
+    where = staging_path(spark, "model")
+    save_model(model, where)
+    return load_model(where).transform(ready).select(
+        "c_custkey", "label", F.col("prediction").cast("int").alias("prediction")
+    )
