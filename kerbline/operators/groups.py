@@ -1,4 +1,8 @@
-"""Labels and cells: quantile labels, equal-count splits, percentile-range bins."""
+"""Labels and cells: quantile labels, equal-count splits, percentile-range bins.
+
+Inputs hold one row per key. Where edges are needed before rows can be labelled, the input
+is checkpointed first, so that what it was computed from is read once.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import month_window, ratio, within
+from ..session import cut
 from .aggregates import in_span
 from .ranking import add_tile, exact_quantiles, rank_rows, tile_of
 
@@ -27,6 +32,7 @@ def quantile_label(
     Tied edges are an error; ``duplicates="merge"`` keeps the distinct edges instead.
     This is not an equal-count split: equal values always share a label.
     """
+    df = cut(df)
     edges = exact_quantiles(df, column, [i / bins for i in range(bins + 1)], key=key)
     if edges[0] is None:
         return df.withColumn(out, F.lit(None).cast("int"))
@@ -172,6 +178,7 @@ def percentile_cells(
 ) -> DataFrame:
     """Two-way bins over percentile ranges, with bins for values outside them."""
     r, c, g = names
+    df = cut(df)
     one = bin_edges(df, first, bins, low_pct, high_pct, key=key)
     two = bin_edges(df, second, bins, low_pct, high_pct, key=key)
     return (

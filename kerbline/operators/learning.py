@@ -197,6 +197,7 @@ def principal_components(
 
     The sign of a component is arbitrary.
     """
+    df = cut(df)
     scaled = assemble(Scaler.fit(df, names).apply(df), names)
     model = PCA(k=k, inputCol="features", outputCol="_pc").fit(scaled)
     # sample variance of a column scaled by its population deviation is n / (n - 1)
@@ -402,7 +403,6 @@ def permutation_importance(
     the donor row its permutation names, and yields one feature vector per feature.
     ``only_clear`` keeps features whose mean exceeds two deviations.
     """
-    base = VectorAssembler(inputCols=list(names), outputCol="features")
     cols = [F.col(quoted(c)).cast("double") for c in names]
     ranked = rank_rows(
         df.dropna("any", subset=list(names) + [label])
@@ -442,8 +442,7 @@ def permutation_importance(
         .select("rep", "label", F.explode(swapped).alias("_s"))
         .select("rep", "label", "_s.*")
     )
-    whole = base.transform(df.dropna("any", subset=list(names) + [label]))
-    reference = r2_of(model, whole.withColumn("label", F.col(label).cast("double")))
+    reference = r2_of(model, rows.select("label", array_to_vector("_x").alias("features")))
     err = F.col("label") - F.col("prediction")
     per = (
         model.transform(trials)

@@ -14,6 +14,7 @@ from ..operators.joins import attach
 from ..operators.learning import Scaler
 from ..operators.projection import add_ratios, log_columns
 from ..operators.series import extract_series
+from ..session import cut
 
 # The periods the recovery features compare, (first day, last day).
 MEAN_SPANS = {
@@ -145,6 +146,9 @@ def parameter_shift(
 
     ``scaled`` measures it in population deviations of the earlier fit.
     """
+    if scaled:
+        lines = cut(lines)
+
     def part(fit: str) -> DataFrame:
         return lines.where(F.col("fit") == fit).select(key, "slope", "intercept")
 
