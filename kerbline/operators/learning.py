@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .blocks import knn_classify
 from .evaluate import mean_silhouette, regression_scores, silhouettes
 from .projection import quoted
 from .ranking import affine_steps, rank_rows, tile_of
@@ -288,7 +289,28 @@ def boosted_trees(size: Size, p: Mapping) -> Estimator:
     return OneVsRest(classifier=base, labelCol="label", parallelism=4)
 
 
+class Neighbours:
+    """k nearest neighbours in the place of an estimator."""
+
+    def __init__(self, k: int, key: str):
+        self.k, self.key, self.train = k, key, None
+
+    def fit(self, df: DataFrame) -> Neighbours:
+        self.train = df.select(self.key, "label", vector_to_array("features").alias("_x"))
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        rows = df.select(self.key, vector_to_array("features").alias("_x"))
+        called = knn_classify(rows, self.train, self.k, key=self.key, vector="_x", label="label")
+        return df.join(called, self.key)
+
+
+def neighbours(key: str) -> Maker:
+    return lambda size, p: Neighbours(int(p["n_neighbors"]), key)
+
+
 # The grids the analyses search.
+NEIGHBOUR_GRID = {"n_neighbors": [3, 5]}
 REGRESSION_GRIDS = {
     "ridge": (ridge, {"alpha": [200, 300, 400, 500, 600, 700, 800, 900]}),
     "huber": (huber, {"alpha": [300, 400, 500, 600], "epsilon": [1.35]}),

@@ -270,6 +270,7 @@ def m23(spark, sf):
         "logistic": (learning.logistic, {"C": [0.01, 10.0]}),
         "decision_tree": (learning.classification_tree, {"criterion": ["gini", "entropy"]}),
         "naive_bayes": (learning.gaussian_bayes, {}),
+        "k_neighbours": (learning.neighbours("c_custkey"), learning.NEIGHBOUR_GRID),
     }
     board = compare_models(
         labelled_customers(spark, sf), FEATURES, key="c_custkey", folds=5, grids=grids

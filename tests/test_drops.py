@@ -3,7 +3,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
-from kerbline.sources import drops, tables
+from kerbline.sources import drops, inputs, tables
 from kerbline.sources.feeds import FEEDS
 from kerbline.streaming.folder import run_folder
 
@@ -116,3 +116,18 @@ def test_tables_round_trip(spark, tmp_path):
         assert got == [(1, None), (2, 1.5)]
     tables.write_csv(rows.where("a = 2"), str(tmp_path / "c.csv"))
     assert [tuple(r) for r in tables.read_table(spark, str(tmp_path / "c.csv"), schema="a int, b double").collect()] == [(2, 1.5)]
+
+
+def test_declared_inputs_match_by_header(spark, tmp_path):
+    where = tmp_path / "clusters.csv"
+    where.write_text("cluster_size,extra,highest,cluster_hourly,cluster_daily\n3,x,7,1,2\n")
+    got = inputs.read_input(spark, "clusters", str(where), renames={"highest": "area_id"})
+    assert [tuple(r) for r in got.collect()] == [(7, 1, 2, 3)]
+    with pytest.raises(ValueError, match="area_id"):
+        inputs.read_input(spark, "clusters", str(where))
+    spend = tmp_path / "weekly.csv"
+    spend.write_text(
+        "yr,wk,week_start,area_id,area_name,txn_amt_wd_retail\n2020,1,2020-01-06,1,a,1.5\n2020,2,,1,a,\n"
+    )
+    rows = inputs.read_input(spark, "weekly_spend", str(spend))
+    assert [r["week_start"] is None for r in rows.collect()] == [False, True]

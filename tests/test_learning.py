@@ -144,9 +144,10 @@ def test_comparison_and_final_model(spark, tmp_path):
         "linear_svc": (ml.linear_svc, {"C": [1.0]}),
         "boosted_trees": (ml.boosted_trees, {"rounds": [2]}),
         "random_forest": (ml.forest, {"criterion": ["gini"], "trees": [5]}),
+        "k_neighbours": (ml.neighbours("id"), {"n_neighbors": [3]}),
     }
     board = compare_models(rows, NAMES, key="id", folds=2, grids=grids).collect()
-    assert len(board) == 4 and [r["mean_score"] for r in board] == sorted((r["mean_score"] for r in board), reverse=True)
+    assert len(board) == 5 and [r["mean_score"] for r in board] == sorted((r["mean_score"] for r in board), reverse=True)
     assert all(len(r["scores"]) == 2 and r["mean_score"] > 0.5 for r in board)
     features, labels = rows.drop("label"), rows.select("id", "label").where("id < 80")
     table = labelled_matrix(features, labels, NAMES, key="id")
