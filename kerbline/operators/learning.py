@@ -464,7 +464,7 @@ def permutation_importance(
         .select("rep", "label", F.explode(swapped).alias("_s"))
         .select("rep", "label", "_s.*")
     )
-    reference = r2_of(model, rows.select("label", array_to_vector("_x").alias("features")))
+    unshuffled = r2_of(model, rows.select("label", array_to_vector("_x").alias("features")))
     err = F.col("label") - F.col("prediction")
     per = (
         model.transform(trials)
@@ -472,7 +472,7 @@ def permutation_importance(
         .agg((1 - F.try_divide(F.avg(err * err), F.var_pop("label"))).alias("r2"))
     )
     out = per.groupBy("feature").agg(
-        F.avg(F.lit(reference) - F.col("r2")).alias("importance"),
+        F.avg(F.lit(unshuffled) - F.col("r2")).alias("importance"),
         F.stddev_pop("r2").alias("sd"),
     )
     if only_clear:

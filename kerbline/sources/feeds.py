@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import SUPPRESSED, hour_of_band
+from ..functions.scalars import SUPPRESSED
 from ..operators.projection import quoted
 
 # The closed lists of the feeds.

@@ -6,14 +6,12 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from .base import (
-    NATION_MONTH,
     R,
     SUPPLIER_WEEK,
     USER_DAY,
     case,
     complete_sql,
     dense_sql,
-    nation_month,
     supplier_week,
     table,
     text,

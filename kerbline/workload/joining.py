@@ -185,7 +185,7 @@ def j12(spark, sf):
 @case(
     "j13_attach_by_key",
     f"""WITH f AS (SELECT regexp_replace(source, '[^\\x00-\\x7f]', '''', 'g') AS source, avg(n_chars) AS m FROM documents GROUP BY 1),
-l AS (SELECT source, sum(quality) AS q FROM documents JOIN labels USING (doc_id) GROUP BY 1)
+l AS (SELECT source, CAST(sum(quality) AS BIGINT) AS q FROM documents JOIN labels USING (doc_id) GROUP BY 1)
 SELECT f.source, {R('m')} AS mean_chars, q FROM f JOIN l ON f.source = l.source""",
 )
 def j13(spark, sf):
