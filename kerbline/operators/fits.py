@@ -170,37 +170,43 @@ def pooled_sums(
     )
 
 
-# Gaussian algebra of one key. ``level`` is the population level as a table of one row: as
-# columns, its numbers leave the generated code of every round the same.
+# Gaussian algebra of one key, given the numbers of the population level.
 _POSTERIOR = """
   SELECT *, (p22 * h1 - p12 * h2) / det AS a, (p11 * h2 - p12 * h1) / det AS b,
          p22 / det AS var_a, p11 / det AS var_b, -p12 / det AS cov_ab
   FROM (SELECT *, p11 * p22 - p12 * p12 AS det
-        FROM (SELECT s.*, l.*, s.n / l.s2 + 1 / l.va AS p11, s.sx / l.s2 AS p12,
-                     s.sxx / l.s2 + 1 / l.vb AS p22, s.sy / l.s2 + l.ma / l.va AS h1,
-                     s.sxy / l.s2 + l.mb / l.vb AS h2
-              FROM (SELECT 1 AS one, * FROM {sums}) s
-              JOIN (SELECT /*+ BROADCAST(v) */ * FROM VALUES %s AS v(one, ma, mb, va, vb, s2)) l
-                ON s.one = l.one))"""
+        FROM (SELECT *, n / %(s2)s + 1 / %(va)s AS p11, sx / %(s2)s AS p12,
+                     sxx / %(s2)s + 1 / %(vb)s AS p22, sy / %(s2)s + %(ma)s / %(va)s AS h1,
+                     sxy / %(s2)s + %(mb)s / %(vb)s AS h2
+              FROM {sums}))"""
 
 # Squared error at the posterior mean (rss), what the doubt about the line adds to it, the
 # log evidence of a key (fit, distance from the prior, volume), and the key's part in the
 # normal equations of the two means with its own line integrated out.
 _ROUND = """
 SELECT count(1), sum(n), sum(qa + var_a), sum(qb + var_b), sum(rss + doubt),
-       sum(-0.5D * (n * ln(s2) + ln(va) + ln(vb) + ln(det) + rss / s2 + qa / va + qb / vb)),
-       sum(1 / va - var_a / (va * va)), sum(-cov_ab / (va * vb)), sum(1 / vb - var_b / (vb * vb)),
-       sum((var_a * sy + cov_ab * sxy) / (s2 * va)), sum((cov_ab * sy + var_b * sxy) / (s2 * vb))
+       sum(-0.5D * (n * ln(%(s2)s) + ln(%(va)s) + ln(%(vb)s) + ln(det)
+                    + rss / %(s2)s + qa / %(va)s + qb / %(vb)s)),
+       sum(1 / %(va)s - var_a / (%(va)s * %(va)s)), sum(-cov_ab / (%(va)s * %(vb)s)),
+       sum(1 / %(vb)s - var_b / (%(vb)s * %(vb)s)),
+       sum((var_a * sy + cov_ab * sxy) / (%(s2)s * %(va)s)),
+       sum((cov_ab * sy + var_b * sxy) / (%(s2)s * %(vb)s))
 FROM (SELECT *,
              syy - 2 * a * sy - 2 * b * sxy + n * a * a + 2 * sx * a * b + sxx * b * b AS rss,
              n * var_a + 2 * sx * cov_ab + sxx * var_b AS doubt,
-             (a - ma) * (a - ma) AS qa, (b - mb) * (b - mb) AS qb
-      FROM (%s))"""
+             (a - %(ma)s) * (a - %(ma)s) AS qa, (b - %(mb)s) * (b - %(mb)s) AS qb
+      FROM (""" + _POSTERIOR + "))"
 
 
-def _level(pool: Pool) -> str:
-    numbers = [pool.mu_a, pool.mu_b, pool.sigma_a**2, pool.sigma_b**2, pool.sigma**2]
-    return "(1, " + ", ".join(f"{float(v)!r}D" for v in numbers) + ")"
+def _level(pool: Pool) -> dict[str, str]:
+    numbers = {
+        "ma": pool.mu_a,
+        "mb": pool.mu_b,
+        "va": pool.sigma_a**2,
+        "vb": pool.sigma_b**2,
+        "s2": pool.sigma**2,
+    }
+    return {name: f"({float(v)!r}D)" for name, v in numbers.items()}
 
 
 def pooled_posterior(sums: DataFrame, pool: Pool, *, key: str) -> DataFrame:
@@ -230,9 +236,8 @@ def _scales(at: np.ndarray) -> list[float]:
 
 def _round(sums: DataFrame, pool: Pool) -> tuple[Pool, float]:
     """The next population level, and the log posterior of the present one, in one job."""
-    query = _ROUND % (_POSTERIOR % _level(pool))
     k, n, qa, qb, err, score, g11, g12, g22, u1, u2 = (
-        sums.sparkSession.sql(query, sums=sums).first()
+        sums.sparkSession.sql(_ROUND % _level(pool), sums=sums).first()
     )
     # unit normal priors of the means add one to the diagonal
     det = (g11 + 1) * (g22 + 1) - g12 * g12
