@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from .common import table
 from .exact_dedup import OP4_SQL, exact_dedup, later_half
 from .mixing import OP5_SQL, mix_sources
+from .nearest import OP8_SQL, nearest_neighbours
 from .packing import pack
+from .quality import quality_scores
 from .simhash import simhash_groups
+from .toxicity import toxicity_scores
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +22,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), later_half())
 
@@ -28,12 +35,32 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_simhash_near_dedup, op4_exact_dedup, op5_mix_sources, op9_best_fit_packing)
+    for f in (
+        op2_simhash_near_dedup,
+        op3_toxicity,
+        op4_exact_dedup,
+        op5_mix_sources,
+        op8_block_nearest,
+        op9_best_fit_packing,
+        op10_quality,
+    )
+}
+SQL: dict[str, str] = {
+    "op4_exact_dedup": OP4_SQL,
+    "op5_mix_sources": OP5_SQL,
+    "op8_block_nearest": OP8_SQL,
 }
-SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op5_mix_sources": OP5_SQL}
