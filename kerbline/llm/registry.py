@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import OP4_SQL, exact_dedup, later_half
+from .line_dedup import line_decisions
 from .mixing import OP5_SQL, mix_sources
 from .nearest import OP8_SQL, nearest_neighbours
 from .packing import pack
@@ -17,6 +18,10 @@ from .simhash import simhash_groups
 from .toxicity import toxicity_scores
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_decisions(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "fingerprint", "component_id")
@@ -50,6 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_simhash_near_dedup,
         op3_toxicity,
         op4_exact_dedup,
