@@ -125,7 +125,10 @@ def _variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         # no more than the lines of one document
         F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("lines")
     )
-    rows = docs.select("doc_id", F.col("text").cast("string")).join(own, F.col("doc_id").eqNullSafe(F.col("id")))
+    # the merge join is dealt and split alike at every size
+    rows = docs.select("doc_id", F.col("text").cast("string")).join(
+        own.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id"))
+    )
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,7 +280,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         # no more than the lines of one document
         .agg(F.collect_set("line_no").alias("gone"))
     )
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    joined = docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
     stays = F.expr("filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(gone, i))")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
     out = joined.withColumn("text", text)

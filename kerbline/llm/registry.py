@@ -13,6 +13,7 @@ from .line_dedup import line_decisions
 from .mixing import OP5_SQL, mix_sources
 from .nearest import OP8_SQL, nearest_neighbours
 from .packing import pack
+from .passages import repeated_passages
 from .quality import quality_scores
 from .simhash import simhash_groups
 from .toxicity import toxicity_scores
@@ -40,6 +41,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity,
         op4_exact_dedup,
         op5_mix_sources,
+        op7_substring_dedup,
         op8_block_nearest,
         op9_best_fit_packing,
         op10_quality,
