@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import OP4_SQL, exact_dedup, later_half
+from .licences import licence_paragraphs
 from .line_dedup import line_decisions
 from .mixing import OP5_SQL, mix_sources
 from .nearest import OP8_SQL, nearest_neighbours
@@ -41,6 +42,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity,
         op4_exact_dedup,
         op5_mix_sources,
+        op6_licence_scan,
         op7_substring_dedup,
         op8_block_nearest,
         op9_best_fit_packing,
