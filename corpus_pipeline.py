@@ -7,38 +7,60 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import staged, table
+from kerbline.llm.common import packed, staged, table
+from kerbline.llm.line_dedup import dedup_lines
 from kerbline.llm.mixing import mix_sources
 from kerbline.llm.packing import pack
+from kerbline.llm.quality import quality_scores
 from kerbline.llm.simhash import simhash_groups
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is one of ``ids`` (id)."""
+    # the merge join is dealt and split alike at every size
+    return packed(docs).join(ids.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("id")), "left_semi").select("row.*")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model does not reject.
+
+    The scores are joined back by doc_id, so rows that repeat a doc_id stay if one of
+    them is not rejected.
+    """
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
+    stay = scores.where("predicted = 1").select(F.col("doc_id").alias("id")).distinct()
+    return _with_ids(docs, stay)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that an earlier one has too."""
+    return dedup_lines(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    groups = simhash_groups(docs.select("doc_id", "text"))
-    # repeated rows differ in nothing, so any one of them stays
+    """Of each group of near copies the document with the smallest doc_id stays.
+
+    Rows that repeat a doc_id are one document, of which one row stays.
+    """
+    groups = simhash_groups(docs)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return (
-        docs.alias("d")
-        .join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
-        .dropDuplicates(["doc_id"])
-    )
+    return _with_ids(docs, stay.withColumnRenamed("doc_id", "id")).dropDuplicates(["doc_id"])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, a part of at least half as a whole."""
+    """Documents as often as the mix takes them, a part of at least half as a whole.
+
+    Rows that repeat a doc_id are taken as often as all of them together.
+    """
     mixed = mix_sources(docs).select(
         F.col("doc_id").alias("id"),
         (F.col("whole") + (2 * F.col("part") >= F.greatest("size", F.lit(1))).cast("int")).alias("times"),
     )
-    taken = mixed.where("times > 0")
-    return (
-        docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id")))
-        .withColumn("times", F.explode(F.sequence(F.lit(1), "times")))
-        .select(docs.columns)
-    )
+    taken = mixed.where("times > 0").hint("merge")
+    rows = packed(docs).join(taken, F.col("row.doc_id").eqNullSafe(F.col("id")))
+    return rows.withColumn("times", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,6 +69,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("line-dedup", lines),
     ("simhash", near_dedup),
     ("mixing", mix),
     ("packing", packing),

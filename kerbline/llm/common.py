@@ -25,6 +25,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as one struct column ``row``, so that no name of theirs can clash."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
 def no_spaces(text: Column | str) -> Column:
     """The text without its white space; null counts as empty."""
     col = F.col(text) if isinstance(text, str) else text

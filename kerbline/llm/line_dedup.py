@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import packed, staged
 
 NEAR_WORDS = 10  # lines of fewer words are compared for equality only
 _TURN = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
@@ -280,13 +280,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         # no more than the lines of one document
         .agg(F.collect_set("line_no").alias("gone"))
     )
-    joined = docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
-    stays = F.expr("filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(gone, i))")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
-    out = joined.withColumn("text", text)
+    joined = packed(docs).join(gone.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("gone_id")), "left")
+    stays = F.expr("filter(split(row.text, '\n', -1), (x, i) -> NOT array_contains(gone, i))")
+    new = {"text": F.array_join(stays, "\n")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn(
-            "n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
+        new["n_chars"] = F.length(new["text"]).cast(docs.schema["n_chars"].dataType)
+    untouched = F.col("gone").isNull()
+    return joined.select(
+        *(
+            F.when(untouched, F.col("row")[c]).otherwise(new[c]).alias(c) if c in new else F.col("row")[c].alias(c)
+            for c in docs.columns
         )
-    return out.select(docs.columns)
+    )
