@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -17,6 +17,11 @@ from ..operators.projection import quoted
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 TIMES_OF_DAY = ["Morning", "Noon", "Evening", "Night"]
 HOURS = (0, 23)
+# Texts that stand for a missing value in any column of a file.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 @dataclass(frozen=True)
@@ -39,6 +44,7 @@ def extend(spec: Spec, **more: Field) -> dict[str, Field]:
     return {**spec, **more}
 
 
+# The columns of the six kinds of file.
 _measure = Field("double", nullable=True, read="measure", positive=True)
 _hour = Field("int", read="hour", between=HOURS)
 _day_name = Field("string", one_of=tuple(DAYS))
@@ -123,8 +129,14 @@ def require_columns(df: DataFrame, spec: Spec) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def _typed(name: str, field: Field) -> Column:
+def _given(name: str, field: Field) -> Column:
+    """The delivered value, NULL where its text stands for a missing one."""
     raw = F.col(quoted(name))
+    return raw if field.read == "stamp" else F.when(~raw.cast("string").isin(MISSING), raw)
+
+
+def _typed(name: str, field: Field) -> Column:
+    raw = _given(name, field)
     if field.read == "measure":
         return F.nullif(F.trim(raw.cast("string")), F.lit(SUPPRESSED)).try_cast("double")
     if field.read == "hour":
@@ -174,7 +186,7 @@ def _held(df: DataFrame, spec: Spec) -> DataFrame:
     return df.select(
         *[_typed(c, f).alias(c) for c, f in spec.items()],
         *[F.col(quoted(c)) for c in df.columns if c not in spec],
-        *[F.col(quoted(c)).alias(f"_raw_{c}") for c in spec],
+        *[_given(c, f).alias(f"_raw_{c}") for c, f in spec.items()],
     )
 
 
@@ -215,6 +227,21 @@ def violation_report(df: DataFrame, spec: Spec) -> DataFrame:
     return row.select(F.explode(cells).alias("_c")).select("_c.*")
 
 
+def sound(spec: Spec) -> Callable[[DataFrame], DataFrame]:
+    """Keeps the delivered rows of a feed that break no rule."""
+
+    def keep(df: DataFrame) -> DataFrame:
+        columns = [F.col(quoted(c)) for c in df.columns]
+        held = df.select(
+            F.struct(*columns).alias("_row"),
+            *[_typed(c, f).alias(c) for c, f in spec.items()],
+            *[_given(c, f).alias(f"_raw_{c}") for c, f in spec.items()],
+        )
+        return held.where(~reduce(or_, _conditions(spec).values())).select("_row.*")
+
+    return keep
+
+
 def clean(df: DataFrame, spec: Spec, *, mode: str = "raise") -> DataFrame:
     """Typed rows of a feed.
 

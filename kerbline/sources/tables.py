@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.util import MLWritable
@@ -26,7 +28,7 @@ def read_table(spark: SparkSession, path: str, *, schema: str | None = None) ->
     return without_nan(df)
 
 
-def read_csv(spark: SparkSession, path, *, schema: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path, *, schema=None) -> DataFrame:
     """CSV by its header; without a schema every column is text.
 
     Files whose header differs from the schema fail instead of being read by position.
@@ -71,6 +73,36 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """The header of each file, from its first line; files without a line are left out."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop
+
+    def first(path: str) -> str | None:
+        where = hadoop.fs.Path(path)
+        data = where.getFileSystem(conf).open(where)
+        codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        if codec is not None:
+            data = codec.createInputStream(data)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8"))
+        try:
+            return lines.readLine()
+        finally:
+            lines.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        found = zip(paths, pool.map(first, paths))
+        return [(p, tuple(next(csv.reader([line.removeprefix("\ufeff")])))) for p, line in found if line]
+
+
+def remove_path(spark: SparkSession, table: str, column: str, value: str) -> None:
+    """Delete one partition folder of a table, if it is there."""
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    where = jvm.org.apache.hadoop.fs.Path(f"{table}/{names.getPartitionPathString(column, value)}")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

@@ -5,22 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.drops import drop_glob, load_rows, stamp
+from ..sources.drops import drop_glob, load_rows, scan_files
 from ..sources.feeds import FEEDS, Feed
 
 
-def stream_feed(spark: SparkSession, root: str, route: str) -> DataFrame:
-    """New files of one feed as text rows with lineage.
-
-    The columns come from the files already there; a file with another header fails.
-    """
-    glob = drop_glob(root, FEEDS[route].prefix)
-    schema = spark.read.option("header", True).csv(glob).schema
-    rows = (
-        spark.readStream.option("header", True).option("enforceSchema", False)
-        .schema(schema).csv(glob)
+def stream_files(spark: SparkSession, root: str, route: str) -> DataFrame:
+    """The paths of one feed's new files; their contents are read when they are loaded."""
+    files = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary"
     )
-    return stamp(rows)
+    return files.load(drop_glob(root, FEEDS[route].prefix)).select("path")
 
 
 def land_stream(
@@ -42,7 +36,19 @@ def land_stream(
 def run_folder(
     spark: SparkSession, root: str, warehouse: str, route: str, checkpoint: str, *, mode: str = "raise"
 ) -> StreamingQuery:
-    """The waiting files of one feed into its table."""
+    """The waiting files of one feed into its table, each by its own header."""
     feed = FEEDS[route]
-    rows = stream_feed(spark, root, route)
-    return land_stream(rows, feed, f"{warehouse}/{feed.table}", checkpoint, mode=mode)
+
+    def land(batch: DataFrame, _: int) -> None:
+        # one short text per file that arrived
+        paths = sorted(r["path"] for r in batch.collect())
+        if paths:
+            load_rows(scan_files(spark, paths, feed), feed, f"{warehouse}/{feed.table}", mode=mode)
+
+    return (
+        stream_files(spark, root, route)
+        .writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -69,9 +69,10 @@ def feed_text(lines, route: str):
             F.col("l_quantity").cast("string")
         ),
         "loyalty_percentage": F.col("l_discount").cast("string"),
-        "dwell_time": F.when(F.col("l_tax") == 0.08, F.lit("n/a")).otherwise(
-            F.col("l_tax").cast("string")
-        ),
+        # missing, or no number, otherwise the number as text
+        "dwell_time": F.when(F.col("l_tax") == 0.08, F.lit("n/a"))
+        .when(F.col("l_tax") == 0.07, F.lit("long"))
+        .otherwise(F.col("l_tax").cast("string")),
         "worker_population_percentage": F.col("l_extendedprice").cast("string"),
         "resident_population_percentage": F.lit("IDE"),
         "hex_grid_id": F.col("l_suppkey").cast("string"),
@@ -103,7 +104,7 @@ def _typed_sql(route: str) -> tuple[dict[str, str], dict[str, str]]:
     value = {
         "scaled_volume": "CASE WHEN l_quantity < 5 THEN NULL ELSE l_quantity END",
         "loyalty_percentage": "l_discount",
-        "dwell_time": "CASE WHEN l_tax = 0.08 THEN NULL ELSE l_tax END",
+        "dwell_time": "CASE WHEN l_tax IN (0.07, 0.08) THEN NULL ELSE l_tax END",
         "worker_population_percentage": "l_extendedprice",
         "resident_population_percentage": "CAST(NULL AS DOUBLE)",
         "hex_grid_id": "l_suppkey",
@@ -121,7 +122,7 @@ def _typed_sql(route: str) -> tuple[dict[str, str], dict[str, str]]:
     }
     broken = {
         "loyalty_percentage:positive": "l_discount <= 0",
-        "dwell_time:type": "l_tax = 0.08",
+        "dwell_time:type": "l_tax = 0.07",
         "dwell_time:positive": "l_tax <= 0",
     }
     spec = feeds.FEEDS[route].spec

@@ -41,8 +41,9 @@ def test_load_is_idempotent_and_replaces_by_count(spark, tmp_path):
     assert found["msoa_footfall_hist_x.csv"] is None and found["msoa_daily_agg_a.csv"] == "msoa_daily"
 
     def load():
-        done = drops.load_drops(spark, str(root), house)
-        return {r["file_name"]: r["action"] for r in done.collect()}
+        done = {r["file_name"]: r["action"] for r in drops.load_drops(spark, str(root), house).collect()}
+        assert done.pop("msoa_footfall_hist_x.csv") == "unroutable"
+        return done
 
     a, b = "msoa_daily_agg_a.csv", "msoa_daily_agg_b.csv"
     assert load() == {a: "append", b: "append"}
@@ -73,12 +74,80 @@ def test_a_bad_row_stops_the_load_and_leaves_the_table(spark, tmp_path):
         assert drops.loaded_counts(spark, path).count() == 0
 
 
-def test_another_header_fails_instead_of_shifting(spark, tmp_path):
-    root = tmp_path / "in"
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    root, house = tmp_path / "in", str(tmp_path / "house")
     put(root, "drop01_01_2022", "msoa_daily_agg_a.csv", 2)
-    put(root, "drop01_01_2022", "msoa_daily_agg_b.csv", 2, head=HEAD[::-1])
-    with pytest.raises(Exception, match="(?i)header"):
-        drops.scan_feed(spark, str(root), FEEDS["msoa_daily"]).collect()
+    where = root / "received" / "drop01_01_2022" / "files"
+    (where / "msoa_daily_agg_b.csv").write_text(
+        ",".join([*HEAD[::-1], "note"]) + "\n4,3,2,IDE,7,Night,2022-01-05,E9,x\n"
+    )
+    rows = drops.scan_feed(spark, str(root), FEEDS["msoa_daily"]).collect()
+    got = {(r["msoa_id"], r["scaled_volume"], r["note"]) for r in rows}
+    assert got == {("E0", "1.0", None), ("E1", "1.0", None), ("E9", "7", "x")}
+    drops.load_drops(spark, str(root), house)
+    target = f"{house}/{FEEDS['msoa_daily'].table}"
+    assert volumes(spark, target)["msoa_daily_agg_b.csv"] == (1, 7.0, "2022-01-01")
+    put(root, "drop01_01_2022", "msoa_daily_agg_c.csv", 0, head=HEAD[1:])
+    with pytest.raises(ValueError, match="msoa_daily_agg_c.csv lacks msoa_id"):
+        drops.scan_feed(spark, str(root), FEEDS["msoa_daily"])
+
+
+def test_null_tokens_are_missing(spark, tmp_path):
+    root, house = tmp_path / "in", str(tmp_path / "house")
+    for i, token in enumerate(["", "NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "None"]):
+        put(root, "drop01_01_2022", f"msoa_daily_agg_{i}.csv", 1, volume=token)
+    drops.load_drops(spark, str(root), house)
+    rows = spark.read.parquet(f"{house}/{FEEDS['msoa_daily'].table}")
+    assert rows.count() == 9 and rows.where("scaled_volume IS NOT NULL").count() == 0
+
+
+def test_drop_mode_settles_and_leaves_no_stale_rows(spark, tmp_path):
+    root, house = tmp_path / "in", str(tmp_path / "house")
+    a, b = "msoa_daily_agg_a b=1.csv", "msoa_daily_agg_b.csv"
+    target = f"{house}/{FEEDS['msoa_daily'].table}"
+
+    def load():
+        done = drops.load_drops(spark, str(root), house, mode="drop")
+        return {r["file_name"]: r["action"] for r in done.collect()}
+
+    put(root, "drop01_01_2022", a, 3)
+    put(root, "drop01_01_2022", b, 2)
+    with open(root / "received" / "drop01_01_2022" / "files" / b, "a") as f:
+        f.write("E7,2022-01-05,Night,0,IDE,2,3,4\n")
+    assert load() == {a: "append", b: "append"}
+    assert volumes(spark, target) == {a: (3, 1.0, "2022-01-01"), b: (2, 1.0, "2022-01-01")}
+    assert load() == load() == {a: "skip", b: "skip"}
+    # now no row of the file is good
+    put(root, "drop01_01_2022", a, 4, volume=0)
+    assert load() == {a: "replace", b: "skip"}
+    assert set(volumes(spark, target)) == {b}
+    assert load() == {a: "skip", b: "skip"}
+
+
+def test_one_name_in_two_folders_loads_once(spark, tmp_path):
+    root, house, log = tmp_path / "in", str(tmp_path / "house"), str(tmp_path / "log")
+    a = "msoa_daily_agg_a.csv"
+    target = f"{house}/{FEEDS['msoa_daily'].table}"
+    put(root, "first01_01_2022", a, 2, volume=1.0)
+    put(root, "second01_01_2022", a, 3, volume=2.0)
+    for action in ("append", "skip"):
+        done = drops.load_drops(spark, str(root), house).collect()
+        assert [(r["action"], r["n_file"], r["n_older"]) for r in done] == [(action, 2, 1)]
+    assert volumes(spark, target) == {a: (2, 1.0, "2022-01-01")}
+    # a newer file replaces an equal number of rows, and an older one that comes later does not
+    put(root, "third02_01_2022", a, 2, volume=3.0)
+    run_folder(spark, str(root), house, "msoa_daily", log).awaitTermination()
+    assert volumes(spark, target) == {a: (2, 3.0, "2022-01-02")}
+    put(root, "fourth31_12_2021", a, 9, volume=4.0)
+    run_folder(spark, str(root), house, "msoa_daily", log).awaitTermination()
+    assert volumes(spark, target) == {a: (2, 3.0, "2022-01-02")}
+
+
+def test_nothing_routes(spark, tmp_path):
+    root = tmp_path / "in"
+    put(root, "drop01_01_2022", "other.csv", 1)
+    done = drops.load_drops(spark, str(root), str(tmp_path / "house")).collect()
+    assert [(r["file_name"], r["action"], r["route"]) for r in done] == [("other.csv", "unroutable", None)]
 
 
 def test_reconcile(spark):
