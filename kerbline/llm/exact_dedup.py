@@ -173,8 +173,9 @@ def exact_dedup(docs: DataFrame, incoming: Column) -> DataFrame:
     source = docs.select(
         F.col("doc_id").alias("id"), F.coalesce(incoming, F.lit(False)).alias("side"), "text"
     )
+    # the merge join is dealt and split alike at every size
     texts = source.join(
-        ends, source.id.eqNullSafe(ends.doc_id) & (F.col("side") == F.col("new")), "inner"
+        ends.hint("merge"), source.id.eqNullSafe(ends.doc_id) & (F.col("side") == F.col("new")), "inner"
     ).select("sha", "new", no_spaces("text").alias("body"))
     # a doc_id that several rows share brings their other texts along
     texts = texts.where(F.sha2("body", 256) == F.col("sha"))
