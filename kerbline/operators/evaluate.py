@@ -26,8 +26,9 @@ def ordered_pairs(df: DataFrame, *, key: str, actual: str, predicted: str) -> Da
 
 def confusion(df: DataFrame, *, actual: str = "label", predicted: str = "prediction") -> DataFrame:
     """Counts for every pair of labels seen on either side, zeros included."""
+    kind = df.schema[actual].dataType
     pairs = df.select(
-        F.col(actual).cast("int").alias("label"), F.col(predicted).cast("int").alias("prediction")
+        F.col(actual).alias("label"), F.col(predicted).cast(kind).alias("prediction")
     )
     counts = contingency(pairs, "label", "prediction")
     both = F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction")))

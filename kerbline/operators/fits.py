@@ -62,7 +62,7 @@ def _huber_block(t, y, mask, eps, alpha, tol, max_iter):
         sigma = np.where(good, s, sigma)
         resid = np.where(good[:, None], r, resid)
         active = good & (moved > tol)
-    return slope, level - slope * centre, sigma, n
+    return slope, level - slope * centre, sigma, n, ~active
 
 
 def huber_lines(
@@ -82,7 +82,7 @@ def huber_lines(
 
     A key's points (one per day at most, enforced) travel as two arrays, so the
     reweighting rounds need no further job. Fewer than three points give the
-    least-squares line.
+    least-squares line. ``converged`` is false for a key whose rounds ended at ``max_iter``.
     """
     rows = unique_periods(
         df.where(within(time, *span) & F.col(value).isNotNull()), key=key, time=time, value=value
@@ -100,6 +100,7 @@ def huber_lines(
             T.StructField("intercept", T.DoubleType()),
             T.StructField("scale", T.DoubleType()),
             T.StructField("n", T.LongType()),
+            T.StructField("converged", T.BooleanType()),
         ]
     )
 
@@ -114,7 +115,7 @@ def huber_lines(
                 mask = np.zeros((len(part), width), dtype=bool)
                 for j, (tv, yv) in enumerate(zip(part["t"], part["y"])):
                     t[j, : len(tv)], y[j, : len(yv)], mask[j, : len(tv)] = tv, yv, True
-                slope, intercept, scale, n = _huber_block(
+                slope, intercept, scale, n, converged = _huber_block(
                     t, y, mask, epsilon, alpha, tol, max_iter
                 )
                 yield pd.DataFrame(
@@ -124,6 +125,7 @@ def huber_lines(
                         "intercept": intercept,
                         "scale": scale,
                         "n": n.astype("int64"),
+                        "converged": converged,
                     }
                 )
 
@@ -132,6 +134,7 @@ def huber_lines(
         key,
         *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("slope", "intercept", "scale")],
         "n",
+        "converged",
     )
 
 
@@ -273,7 +276,8 @@ def fit_pool(
     one EM step. Every third round starts from an extrapolation of the spreads over the two
     before it (squared extrapolation of EM) and is taken only if it raises the log
     posterior. Stops when rounds change it by less than ``tol`` per observation.
-    Returns the population level and the posterior per key.
+    Returns the population level and the posterior per key; a level that has not settled
+    after ``max_rounds`` is an error.
     """
     sums = cut(pooled_sums(df, span, t0, key=key, time=time, value=value))
     start = sums.agg(
@@ -292,8 +296,7 @@ def fit_pool(
         rounds += 2
         settled = abs(after_one - here) < enough and abs(here - before) < enough
         if settled:
-            pool = two
-            break
+            return replace(two, rounds=rounds), pooled_posterior(sums, two, key=key)
         before = after_one
         x0, x1, x2 = _spreads(pool), _spreads(one), _spreads(two)
         r, v = x1 - x0, (x2 - x1) - (x1 - x0)
@@ -308,7 +311,7 @@ def fit_pool(
                 pool, before, longest = landed, there, longest * 4
             else:
                 longest = max(longest / 4, 2.0)
-    return replace(pool, rounds=rounds), pooled_posterior(sums, pool, key=key)
+    raise RuntimeError(f"the pooled level has not settled after {rounds} rounds")
 
 
 def pooled_summary(posterior: DataFrame, *, key: str) -> DataFrame:

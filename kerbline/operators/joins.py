@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import rank_rows
 
 BROADCAST_ROWS = 200_000
 
@@ -54,9 +55,22 @@ def attach(df: DataFrame, table: DataFrame, on: str | list[str]) -> DataFrame:
 
 
 def name_of(df: DataFrame, names: DataFrame, on: str) -> DataFrame:
-    """Id to name; ids without a name keep NULL. A repeated id takes its smallest name."""
+    """Id to name; ids without a name keep NULL. A repeated id takes its smallest row."""
     others = [c for c in names.columns if c != on]
-    return df.join(names.groupBy(on).agg(*[F.min(c).alias(c) for c in others]), on, "left")
+    # the smallest row as a whole, so that its columns belong together
+    one = names.groupBy(on).agg(F.min(F.struct(*others)).alias("_n")).select(on, "_n.*")
+    return df.join(one, on, "left")
+
+
+def index_encode(df: DataFrame, column: str, *, out: str = "code") -> DataFrame:
+    """0-based code of each value in the order of the values; NULL has no code.
+
+    The codes are counted and broadcast when they are few, so a value that very many rows
+    share is not shuffled.
+    """
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    codes = rank_rows(values, [column], rank=out)
+    return join_counted(df, codes.df, column, "left")
 
 
 def period_grid(df: DataFrame, *, key: str, time: str) -> DataFrame:

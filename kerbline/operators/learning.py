@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -30,7 +30,7 @@ from ..session import cut
 from .blocks import knn_classify
 from .evaluate import mean_silhouette, regression_scores, silhouettes
 from .projection import quoted
-from .ranking import affine_steps, rank_rows, tile_of
+from .ranking import affine_place, affine_steps, rank_rows, tile_of
 
 # ---- features -----------------------------------------------------------------------
 
@@ -68,13 +68,21 @@ def assemble(df: DataFrame, names: Sequence[str], out: str = "features") -> Data
 def series_vectors(
     df: DataFrame, *, key: str, time: str, value: str, out: str = "features"
 ) -> DataFrame:
-    """One vector per key, ordered by period; keys of unequal length are an error to mix."""
-    points = F.sort_array(F.collect_list(F.struct(F.col(time), F.col(value).alias("_v"))))
-    return (
-        df.groupBy(key)
-        .agg(points.alias("_p"))
-        .select(key, array_to_vector(F.col("_p._v")).alias(out))
-    )
+    """One vector per key, ordered by period; keys of unequal length raise an error.
+
+    A key's values come from distinct periods; a repeated one raises an error too.
+    """
+    points = F.sort_array(F.collect_list(F.struct(F.col(time).alias("_t"), F.col(value).alias("_v"))))
+    vectors = cut(df.groupBy(key).agg(points.alias("_p")))
+    repeats = F.size("_p") - F.size(F.array_distinct("_p._t"))
+    shortest, longest, most = vectors.agg(
+        F.min(F.size("_p")), F.max(F.size("_p")), F.max(repeats)
+    ).first()
+    if shortest != longest:
+        raise ValueError(f"series of {shortest} to {longest} values have no common vector space")
+    if most:
+        raise ValueError(f"a series repeats {most} of its periods")
+    return vectors.select(key, array_to_vector("_p._v").alias(out))
 
 
 # ---- splits -------------------------------------------------------------------------
@@ -124,11 +132,11 @@ def shuffle_columns(
         ),
         *[
             F.struct(
-                F.pmod(F.col("_r") * F.lit(a) + F.lit(b), F.lit(n)).alias("_to"),
+                affine_place("_r", step, n).alias("_to"),
                 F.lit(i).alias("_c"),
                 F.col(quoted(c)).cast("double").alias("_v"),
             )
-            for i, (c, (a, b)) in enumerate(zip(names, steps))
+            for i, (c, step) in enumerate(zip(names, steps))
         ],
     )
     cells = ranked.df.select(key, F.explode(moved).alias("_m")).select(key, "_m.*")
@@ -154,14 +162,15 @@ def cluster(
     max_iter: int = 50,
     tol: float = 1e-2,
     seed: int = 0,
+    start: str = "random",
 ) -> KMeansModel:
-    """K-means from random starts; the restart with the lowest cost wins."""
+    """K-means from ``random`` or spread-out (``k-means||``) starts; the lowest cost wins."""
     kept = df.select(features).persist()
     try:
         best = None
         for i in range(restarts):
             model = KMeans(
-                k=k, initMode="random", maxIter=max_iter, tol=tol, seed=seed + i,
+                k=k, initMode=start, maxIter=max_iter, tol=tol, seed=seed + i,
                 featuresCol=features, predictionCol="cluster",
             ).fit(kept)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
@@ -173,14 +182,17 @@ def cluster(
 
 def cluster_sweep(
     df: DataFrame, ks: Sequence[int], *, key: str, features: str = "features",
-    exact: bool = True, restarts: int = 10, seed: int = 0,
+    exact: bool = False, restarts: int = 10, seed: int = 0, start: str = "random",
 ) -> DataFrame:
-    """(k, silhouette) for each k. ``exact=False`` uses squared distances to centroids."""
+    """(k, silhouette) for each k, by squared distances to centroids.
+
+    ``exact=True`` compares every row with every other, which is quadratic.
+    """
     table = cut(df.select(key, features))
     centroid = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
     rows = []
     for k in ks:
-        model = cluster(table, k, features=features, restarts=restarts, seed=seed)
+        model = cluster(table, k, features=features, restarts=restarts, seed=seed, start=start)
         labelled = model.transform(table)
         if exact:
             arrays = labelled.select(key, vector_to_array(features).alias("_x"), "cluster")
@@ -191,29 +203,52 @@ def cluster_sweep(
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
+@dataclass(frozen=True)
+class Projection:
+    """Standardised columns on principal components, learnt from one table."""
+
+    scaler: Scaler
+    model: PCAModel
+    names: Sequence[str]
+    variances: Sequence[float]
+
+    @staticmethod
+    def fit(df: DataFrame, names: Sequence[str], k: int | None = None) -> Projection:
+        """``k`` components (all without it) of the rows that have every column."""
+        whole = cut(df.select(*[F.col(quoted(c)) for c in names]).dropna("any"))
+        scaler = Scaler.fit(whole, names)
+        n = whole.count()
+        k = k or len(names)
+        model = PCA(k=k, inputCol="features", outputCol="_pc").fit(assemble(scaler.apply(whole), names))
+        # a column scaled by its population deviation has the sample variance n / (n - 1),
+        # a constant one has none
+        varying = sum(1 for _, sd in scaler.stats.values() if sd)
+        total = varying * n / (n - 1) if n > 1 else 0.0
+        return Projection(scaler, model, list(names), [float(v) * total for v in model.explainedVariance])
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Columns pc1, pc2, ... of any rows that have the columns."""
+        scaled = self.model.transform(assemble(self.scaler.apply(df), self.names))
+        parts = vector_to_array("_pc")
+        named = [parts[i].alias(f"pc{i + 1}") for i in range(len(self.variances))]
+        return scaled.select(*[F.col(quoted(c)) for c in df.columns], *named)
+
+
 def principal_components(
-    df: DataFrame, names: Sequence[str], k: int
+    df: DataFrame, names: Sequence[str], k: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Scores of the standardised columns on k components, and the variance of each.
 
-    The sign of a component is arbitrary.
+    Rows with a missing column are left out before anything is learnt. The sign of a
+    component is arbitrary.
     """
-    df = cut(df)
-    scaled = assemble(Scaler.fit(df, names).apply(df), names)
-    model = PCA(k=k, inputCol="features", outputCol="_pc").fit(scaled)
-    # sample variance of a column scaled by its population deviation is n / (n - 1)
-    n = scaled.count()
-    total = len(names) * n / (n - 1)
-    spark = df.sparkSession
-    ratios = [float(v) for v in model.explainedVariance]
-    variance = spark.createDataFrame(
-        [(i + 1, r * total, r) for i, r in enumerate(ratios)],
+    fitted = Projection.fit(df, names, k)
+    ratios = [float(v) for v in fitted.model.explainedVariance]
+    variance = df.sparkSession.createDataFrame(
+        [(i + 1, v, r) for i, (v, r) in enumerate(zip(fitted.variances, ratios))],
         "component int, variance double, ratio double",
     )
-    scores = model.transform(scaled).withColumn("_pc", vector_to_array("_pc"))
-    for i in range(k):
-        scores = scores.withColumn(f"pc{i + 1}", F.col("_pc")[i])
-    return scores.drop("_pc", "features"), variance
+    return fitted.apply(df), variance
 
 
 # ---- estimators with the penalties of the analyses ----------------------------------
@@ -313,8 +348,8 @@ def neighbours(key: str) -> Maker:
 NEIGHBOUR_GRID = {"n_neighbors": [3, 5]}
 REGRESSION_GRIDS = {
     "ridge": (ridge, {"alpha": [200, 300, 400, 500, 600, 700, 800, 900]}),
-    "huber": (huber, {"alpha": [300, 400, 500, 600], "epsilon": [1.35]}),
-    "tree": (regression_tree, {"max_depth": [2, 3, 4, 5, 6, 7, 8]}),
+    "huber": (huber, {"alpha": [300, 400, 600], "epsilon": [1.35]}),
+    "tree": (regression_tree, {"max_depth": [2, 4, 6, 8]}),
 }
 CLASSIFIER_GRIDS = {
     "logistic": (logistic, {"C": [0.01, 0.1, 1.0, 10.0]}),
@@ -353,7 +388,8 @@ def cross_validate(
     """Score of every candidate on every fold, then mean and population deviation.
 
     ``df`` holds ``key``, ``features`` and ``label``; folds are contiguous in key order.
-    Returns (model, params, scores, mean_score, sd_score), best mean first.
+    Returns (model, params, scores, mean_score, sd_score, candidate), best mean first, ties
+    in the order of the candidates. Folds without a score are NULL and do not count.
     """
     spark = df.sparkSession
     table = cut(with_folds(df.select(key, "features", "label"), folds, key=key))
@@ -362,7 +398,7 @@ def cross_validate(
     ]
     sizes = [size_of(train, "label") for train, _ in parts]
 
-    def run(job: tuple[int, int]) -> float:
+    def run(job: tuple[int, int]) -> float | None:
         which, fold = job
         _, make, params = candidates[which]
         train, test = parts[fold]
@@ -374,14 +410,17 @@ def cross_validate(
     rows = []
     for i, (name, _, params) in enumerate(candidates):
         scores = [got[(i, f)] for f in range(folds)]
-        mean = sum(scores) / folds
-        sd = math.sqrt(sum((s - mean) ** 2 for s in scores) / folds)
+        # a fold whose labels are all alike has no score
+        known = [float(s) for s in scores if s is not None]
+        mean = sum(known) / len(known) if known else None
+        sd = math.sqrt(sum((s - mean) ** 2 for s in known) / len(known)) if known else None
         shown = ",".join(f"{k}={v}" for k, v in sorted(params.items()))
-        rows.append((name, shown, [float(s) for s in scores], mean, sd))
-    rows.sort(key=lambda r: (-r[3], r[0], r[1]))
+        rows.append((name, shown, [None if s is None else float(s) for s in scores], mean, sd, i))
+    rows.sort(key=lambda r: (r[3] is None, -(r[3] or 0.0), r[0], r[5]))
     return spark.createDataFrame(
         rows,
-        "model string, params string, scores array<double>, mean_score double, sd_score double",
+        "model string, params string, scores array<double>, mean_score double, sd_score double, "
+        "candidate int",
     )
 
 
@@ -401,9 +440,10 @@ def grid_search(
 ) -> tuple[Model, dict, DataFrame]:
     """Cross-validate a grid, then fit the best setting on all rows."""
     options = expand(grid)
-    named = [(str(i), make, p) for i, p in enumerate(options)]
+    df = cut(df)
+    named = [(make.__name__, make, p) for p in options]
     board = cross_validate(df, named, key=key, folds=folds, score=score, parallelism=parallelism)
-    best = options[int(board.first()["model"])]
+    best = options[board.first()["candidate"]]
     model = make(size_of(df, "label"), best).fit(df)
     return model, best, board
 
@@ -440,9 +480,9 @@ def permutation_importance(
         *[
             F.struct(
                 F.lit(i).alias("rep"),
-                F.pmod(F.col("_r") * F.lit(a) + F.lit(b), F.lit(n)).alias("_from"),
+                affine_place("_r", step, n).alias("_from"),
             )
-            for i, (a, b) in enumerate(steps)
+            for i, step in enumerate(steps)
         ]
     )
     donors = rows.select(F.col("_r").alias("_from"), F.col("_x").alias("_dx"))
@@ -482,14 +522,18 @@ def permutation_importance(
 
 @dataclass(frozen=True)
 class Experiment:
-    """What one modelling run leaves behind."""
+    """What one modelling run leaves behind; the importance is worked out when asked for."""
 
     model: Model
     params: dict
     board: DataFrame
     scores: DataFrame
     pairs: DataFrame
-    importance: DataFrame
+    explain: Callable[[], DataFrame]
+
+    @property
+    def importance(self) -> DataFrame:
+        return self.explain()
 
 
 def run_experiment(
@@ -503,16 +547,17 @@ def run_experiment(
     key: str,
     folds: int = 5,
     repeats: int = 30,
+    scoring: Callable[[Model, DataFrame], float] = r2_of,
 ) -> Experiment:
-    """Scale on the training rows, search a grid, score and explain the winner."""
+    """Scale on the training rows, search a grid by ``scoring``, score and explain the winner."""
     scaler = Scaler.fit(train, names)
 
     def prepare(df: DataFrame) -> DataFrame:
         wanted = df.select(key, *names, F.col(label).cast("double").alias("label"))
         return assemble(scaler.apply(wanted.dropna("any")), names)
 
-    tr, te = prepare(train), prepare(test)
-    model, best, board = grid_search(tr, make, grid, key=key, folds=folds)
+    tr, te = cut(prepare(train)), cut(prepare(test))
+    model, best, board = grid_search(tr, make, grid, key=key, folds=folds, score=scoring)
     shown = [
         model.transform(part).select(key, F.lit(tag).alias("part"), "label", "prediction")
         for part, tag in ((tr, "train"), (te, "test"))
@@ -520,7 +565,8 @@ def run_experiment(
     tagged = shown[0].unionByName(shown[1])
     ranked = rank_rows(tagged, ["part", "label", key], rank="place").df
     scores = regression_scores(shown[1], actual="label", predicted="prediction")
-    importance = permutation_importance(
-        model, te.drop("features"), names, key=key, repeats=repeats
-    )
-    return Experiment(model, best, board, scores, ranked, importance)
+
+    def explain() -> DataFrame:
+        return permutation_importance(model, te.drop("features"), names, key=key, repeats=repeats)
+
+    return Experiment(model, best, board, scores, ranked, explain)

@@ -117,6 +117,13 @@ def exact_quantiles(
     return out
 
 
+def affine_place(place: Column | str, step: tuple[int, int], n: int) -> Column:
+    """``(a*place + b) mod n``, in decimals wide enough for the product."""
+    a, b = (F.lit(str(x)).cast("decimal(19,0)") for x in step)
+    p = F.col(place) if isinstance(place, str) else place
+    return F.pmod(p.cast("decimal(18,0)") * a + b, F.lit(str(n)).cast("decimal(19,0)")).cast("long")
+
+
 def affine_steps(n: int, count: int, seed: int) -> list[tuple[int, int]]:
     """``count`` pairs (a, b) such that ``i -> (a*i + b) mod n`` permutes 0..n-1."""
     import random

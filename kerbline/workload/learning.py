@@ -20,7 +20,7 @@ from ..operators.reshape import one_hot
 from ..operators.series import extract_series, slice_period
 from ..plans.at_risk import compare_models, final_model
 from ..plans.pooling import pooled_lines
-from ..session import staging_path
+from ..session import cut, staging_path
 from ..sources.tables import load_model, save_model
 from .base import R, SUPPLIER_WEEK, case, supplier_week, table, text, tidy
 from .cells import order_stats
@@ -71,7 +71,7 @@ def embedding_vectors(spark, sf):
 @case("m02_kmeans_embeddings")
 def m02(spark, sf):
     rows = embedding_vectors(spark, sf)
-    model = learning.cluster(rows, 3, restarts=3, seed=0)
+    model = learning.cluster(rows, 3)
     return model.transform(rows).select("vec_id", "cluster")
 
 
@@ -81,20 +81,20 @@ def m02b(spark, sf):
         supplier_week(spark, sf), "1996-01-01", "1996-12-31", **_C, upper=None, unique=True
     )
     rows = learning.series_vectors(series, **_C)
-    return learning.cluster(rows, 3, restarts=3).transform(rows).select("key", "cluster")
+    return learning.cluster(rows, 3).transform(rows).select("key", "cluster")
 
 
 @case("m04_cluster_sweep")
 def m04(spark, sf):
     return learning.cluster_sweep(
-        embedding_vectors(spark, sf), [2, 3, 4, 5], key="vec_id", restarts=2
+        embedding_vectors(spark, sf), [2, 3, 4, 5], key="vec_id", exact=True
     )
 
 
 @case("m04_cluster_sweep_centroid")
 def m04b(spark, sf):
     return learning.cluster_sweep(
-        embedding_vectors(spark, sf), [2, 3, 4, 5], key="vec_id", restarts=2, exact=False
+        embedding_vectors(spark, sf), [2, 3, 4, 5], key="vec_id"
     )
 
 
@@ -109,31 +109,50 @@ def m03(spark, sf):
 @case("m06_principal_components")
 def m06(spark, sf):
     rows = customer_matrix(spark, sf).dropna("any")
-    _, variance = learning.principal_components(rows, FEATURES, 4)
+    _, variance = learning.principal_components(rows, FEATURES)
     return variance
 
 
 @case("m06_component_scores")
 def m06b(spark, sf):
     rows = customer_matrix(spark, sf).dropna("any").select("c_custkey", *FEATURES)
-    scores, _ = learning.principal_components(rows, FEATURES, 2)
-    return scores.select("c_custkey", "pc1", "pc2")
+    scores, variance = learning.principal_components(rows, FEATURES)
+    # components of (nearly) no variance have no direction of their own
+    clear = variance.where("ratio > 1e-9").count()
+    return scores.select("c_custkey", *[f"pc{i + 1}" for i in range(clear)])
 
 
 @case("m07_shuffle_control")
 def m07(spark, sf):
-    """Clustering of shuffled columns, the null case of the sweep."""
+    """The sweep, and the sweep of shuffled columns, its null case."""
     names = ["n_orders", "mean_price", "sd_price", "c_acctbal"]
     rows = customer_matrix(spark, sf).dropna("any").select("c_custkey", *names)
     scaled = learning.Scaler.fit(rows, names).apply(rows)
     mixed = learning.shuffle_columns(scaled, names, key="c_custkey", seed=12)
-    return learning.cluster_sweep(
-        learning.assemble(mixed, names), [2, 4], key="c_custkey", restarts=2, exact=False
-    )
+    sweeps = [
+        learning.cluster_sweep(learning.assemble(part, names), [2, 3, 4, 5], key="c_custkey").withColumn(
+            "columns", F.lit(tag)
+        )
+        for part, tag in ((scaled, "as they are"), (mixed, "shuffled"))
+    ]
+    return sweeps[0].union(sweeps[1])
 
 
 # ---- regression ---------------------------------------------------------------------
 
+
+def _scaled_customers(spark, sf):
+    """Scaled features of every customer, and the top price as label."""
+    rows = cut(customer_matrix(spark, sf).dropna("any"))
+    scaled = learning.Scaler.fit(rows, FEATURES).apply(rows)
+    return learning.assemble(scaled.withColumn("label", F.col("top_price")), FEATURES)
+
+
+def _fitted(spark, sf, make, params):
+    ready = _scaled_customers(spark, sf)
+    model = make(learning.size_of(ready, "label"), params).fit(ready)
+    return model.transform(ready).select("c_custkey", "label", "prediction")
+
 _XY = """x AS (SELECT o_custkey AS key, min(o_totalprice) / 1000 AS x, max(o_totalprice) / 1000 AS y FROM orders GROUP BY 1)"""
 
 
@@ -157,26 +176,26 @@ def m09(spark, sf):
     ).select(tidy("b", 5).alias("slope"), tidy("a", 3).alias("intercept"))
 
 
+@case("m09_ridge_all_features")
+def m09_all(spark, sf):
+    return _fitted(spark, sf, learning.ridge, {"alpha": 200})
+
+
 @case("m10_huber")
 def m10(spark, sf):
-    rows = _one_feature(spark, sf)
-    model = learning.huber(learning.size_of(rows, "label"), {"alpha": 300}).fit(rows)
-    return model.transform(rows).select("key", "label", "prediction")
+    return _fitted(spark, sf, learning.huber, {"alpha": 300})
 
 
 @case("m11_regression_tree")
 def m11(spark, sf):
-    rows = _one_feature(spark, sf)
-    model = learning.regression_tree(learning.size_of(rows, "label"), {"max_depth": 4}).fit(rows)
-    return model.transform(rows).select("key", "label", "prediction")
+    return _fitted(spark, sf, learning.regression_tree, {"max_depth": 4})
 
 
 def _experiment(spark, sf):
     rows = customer_matrix(spark, sf)
     train, test = learning.split_rows(rows, 0.33, key="c_custkey")
     return learning.run_experiment(
-        train, test, FEATURES, "top_price", learning.ridge, {"alpha": [200, 900]},
-        key="c_custkey", folds=3, repeats=10,
+        train, test, FEATURES, "top_price", *learning.REGRESSION_GRIDS["ridge"], key="c_custkey"
     )
 
 
@@ -185,11 +204,25 @@ def m15(spark, sf):
     return _experiment(spark, sf).scores
 
 
+@case("m15_experiment_board")
+def m15_board(spark, sf):
+    return _experiment(spark, sf).board.drop("scores")
+
+
+@case("m15_experiment_pairs")
+def m15_pairs(spark, sf):
+    """Actual and predicted values of the training and the test part, in order."""
+    return _experiment(spark, sf).pairs
+
+
+@case("m15_experiment_importance")
+def m15_importance(spark, sf):
+    return _experiment(spark, sf).importance
+
+
 @case("m14_permutation_importance")
 def m14(spark, sf):
-    rows = customer_matrix(spark, sf).dropna("any")
-    scaled = learning.Scaler.fit(rows, FEATURES).apply(rows)
-    ready = learning.assemble(scaled.withColumn("label", F.col("top_price")), FEATURES)
+    ready = _scaled_customers(spark, sf)
     model = learning.ridge(learning.size_of(ready, "label"), {"alpha": 200}).fit(ready)
     return learning.permutation_importance(
         model, ready.drop("features"), FEATURES, key="c_custkey", repeats=30, only_clear=False
@@ -198,15 +231,20 @@ def m14(spark, sf):
 
 @case("m12_grid_search")
 def m12(spark, sf):
-    rows = customer_matrix(spark, sf).dropna("any")
-    scaled = learning.Scaler.fit(rows, FEATURES).apply(rows)
-    ready = learning.assemble(scaled.withColumn("label", F.col("top_price")), FEATURES)
+    ready = _scaled_customers(spark, sf)
     _, _, board = learning.grid_search(
-        ready, learning.regression_tree, {"max_depth": [2, 4, 6]}, key="c_custkey", folds=3
+        ready, *learning.REGRESSION_GRIDS["tree"], key="c_custkey"
     )
     return board.drop("scores")
 
 
+@case("m12_grid_search_huber")
+def m12_huber(spark, sf):
+    ready = _scaled_customers(spark, sf)
+    _, _, board = learning.grid_search(ready, *learning.REGRESSION_GRIDS["huber"], key="c_custkey")
+    return board.drop("scores")
+
+
 @case(
     "d04_actual_against_predicted",
     f"""WITH {_XY}, s AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x)
@@ -259,23 +297,20 @@ def _add_classifier(name: str, make, params) -> None:
 
 _add_classifier("m17_logistic", learning.logistic, {"C": 10})
 _add_classifier("m18_classification_tree", learning.classification_tree, {"criterion": "entropy"})
-_add_classifier("m19_random_forest", learning.forest, {"criterion": "gini", "trees": 30})
-_add_classifier("m21_linear_svc", learning.linear_svc, {"C": 1.0, "max_iter": 30})
-_add_classifier("m22_boosted_trees", learning.boosted_trees, {"rounds": 5})
+_add_classifier("m18_classification_tree_gini", learning.classification_tree, {"criterion": "gini"})
+_add_classifier("m19_random_forest", learning.forest, {"criterion": "gini"})
+_add_classifier("m19_random_forest_entropy", learning.forest, {"criterion": "entropy"})
+for _cost in learning.CLASSIFIER_GRIDS["linear_svc"][1]["C"]:
+    _mark = "" if _cost == 1.0 else f"_c{_cost:g}".replace(".", "_")
+    _add_classifier(f"m21_linear_svc{_mark}", learning.linear_svc, {"C": _cost})
+_add_classifier("m22_boosted_trees", learning.boosted_trees, {})
 
 
 @case("m23_model_comparison")
 def m23(spark, sf):
-    grids = {
-        "logistic": (learning.logistic, {"C": [0.01, 10.0]}),
-        "decision_tree": (learning.classification_tree, {"criterion": ["gini", "entropy"]}),
-        "naive_bayes": (learning.gaussian_bayes, {}),
-        "k_neighbours": (learning.neighbours("c_custkey"), learning.NEIGHBOUR_GRID),
-    }
-    board = compare_models(
-        labelled_customers(spark, sf), FEATURES, key="c_custkey", folds=5, grids=grids
-    )
-    return board.drop("scores")
+    """Ten folds of seven classes of model in all their settings, on the training part."""
+    train, _ = learning.split_rows(labelled_customers(spark, sf), 0.3, key="c_custkey")
+    return compare_models(train, FEATURES, key="c_custkey").drop("scores")
 
 
 @case("m29_final_model_scores")
@@ -360,10 +395,17 @@ def d03(spark, sf):
     fits = lines(spark, sf)
     shifts = parameter_shift(fits, "a", "b", key="key", scaled=True).dropna("any")
     ready = learning.assemble(shifts, ["slope", "intercept"])
-    model = learning.cluster(ready, 3, restarts=3)
-    return model.transform(ready).select(
-        "key", "slope", "intercept", "slope_shift", "intercept_shift", "cluster"
-    )
+    names = ["key", "slope", "intercept", "slope_shift", "intercept_shift"]
+    by_line = learning.cluster(ready, 3).transform(ready).select(*names, "cluster")
+    moved = learning.assemble(by_line, ["slope_shift", "intercept_shift"])
+    model = learning.cluster(moved, 3).setPredictionCol("shift_cluster")
+    return model.transform(moved).select(*names, "cluster", "shift_cluster")
+
+
+@case("d03_rand_of_clusterings")
+def d03_rand(spark, sf):
+    """How far the clusters of lines and those of their shifts agree."""
+    return evaluate.adjusted_rand(d03(spark, sf), "cluster", "shift_cluster")
 
 
 # a stated population level, so that the posterior has a closed form in SQL too

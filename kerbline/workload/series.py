@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import reshape
 from ..operators import series as ops
+from ..operators.joins import index_encode
 from ..operators.ranking import rank_rows
 from .base import (
     NATION_MONTH,
@@ -118,8 +119,7 @@ def w14(spark, sf):
 )
 def w15(spark, sf):
     rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    codes = rank_rows(rows.select("c_mktsegment").distinct(), ["c_mktsegment"], rank="code")
-    return rows.join(codes.df, "c_mktsegment")
+    return index_encode(rows, "c_mktsegment")
 
 
 # ---- reshape ------------------------------------------------------------------------

@@ -3,6 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbline.operators import aggregates, blocks, evaluate
+from kerbline.operators.blocks import nearest
+from kerbline.operators.evaluate import confusion
+from kerbline.operators.joins import index_encode, name_of
 
 
 def points(spark, x, c):
@@ -112,3 +115,26 @@ def test_sums_and_shares_of_nulls(spark):
     }
     assert got[1]["total"] == 0.0 and got[1]["percent_a"] is None
     assert got[2]["percent_we"] == 0.25 and got[2]["percent_a"] == 1.0
+
+
+def test_labels_keep_their_type(spark):
+    rows = spark.createDataFrame([(1, 1.7, 1.7), (2, 0.2, 1.7)], "id int, label double, prediction double")
+    got = {(r["label"], r["prediction"]): r["n"] for r in confusion(rows).collect()}
+    assert got == {(1.7, 1.7): 1, (0.2, 1.7): 1, (1.7, 0.2): 0, (0.2, 0.2): 0}
+
+
+def test_neighbours_keep_the_label(spark):
+    train = spark.createDataFrame([(i, [float(i)], i + 0.7) for i in range(40)], "id long, x array<double>, label double")
+    got = nearest(train, train, 3, key="id", vector="x", label="label", size=8).where("id = 5").orderBy("place")
+    assert [(r["place"], r["neighbour"], r["label"], r["distance"]) for r in got.collect()] == [
+        (1, 5, 5.7, 0.0), (2, 4, 4.7, 1.0), (3, 6, 6.7, 1.0)
+    ]
+
+
+def test_names_and_codes(spark):
+    names = spark.createDataFrame([(1, "b", "y"), (1, "a", "z"), (2, "c", None)], "id int, n string, m string")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    got = {tuple(r) for r in name_of(ids, names, "id").collect()}
+    assert got == {(1, "a", "z"), (2, "c", None), (3, None, None)}
+    coded = {tuple(r) for r in index_encode(names.select("m", "n"), "m").select("n", "code").collect()}
+    assert coded == {("b", 0), ("a", 1), ("c", None)}

@@ -4,6 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from kerbline.operators import learning as ml
+from kerbline.operators.ranking import affine_place
 from kerbline.plans.at_risk import compare_models, final_model, labelled_matrix
 from kerbline.sources.tables import load_model, save_model
 
@@ -158,3 +159,54 @@ def test_comparison_and_final_model(spark, tmp_path):
     again = load_model(str(tmp_path / "m"))
     ready = ml.assemble(rows, NAMES)
     assert again.transform(ready).select("prediction").collect() == model.transform(ready).select("prediction").collect()
+
+
+def test_pca_leaves_constant_columns_and_gaps_out(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(20, 2))
+    rows = [(i, float(a), float(b), 3.0) for i, (a, b) in enumerate(x)] + [(99, 50.0, None, 3.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    _, variance = ml.principal_components(df, NAMES)
+    got = [r["variance"] for r in variance.orderBy("component").collect()]
+    z = (x - x.mean(0)) / x.std(0)
+    assert got == pytest.approx([*np.linalg.eigvalsh(np.cov(z.T))[::-1], 0.0], abs=1e-9)
+    # the fitted projection serves other rows
+    fitted = ml.Projection.fit(df.where("id < 99"), NAMES, 1)
+    centre = spark.createDataFrame([(float(x[:, 0].mean()), float(x[:, 1].mean()), 3.0)], "a double, b double, c double")
+    assert fitted.apply(centre).first()["pc1"] == pytest.approx(0.0, abs=1e-9)
+
+
+def test_fold_of_one_label_has_no_score(spark):
+    rows = [(i, float(i), 1.0 if i < 10 else float(i)) for i in range(20)]
+    ready = ml.assemble(spark.createDataFrame(rows, "id long, a double, label double"), ["a"])
+    candidates = [("same", ml.ridge, {"alpha": a}) for a in (10, 2, 2)]
+    board = ml.cross_validate(ready, candidates, key="id", folds=2, score=ml.r2_of).collect()
+    assert all(r["scores"][0] is None and r["mean_score"] == r["scores"][1] for r in board)
+    # equal means keep the order of the candidates
+    assert [r["candidate"] for r in board if r["params"] == "alpha=2"] == [1, 2]
+
+
+def test_places_of_very_many_rows(spark):
+    n, step = 4_000_000_007, (3_999_999_999, 3_999_999_998)
+    got = spark.range(n - 3, n).select(affine_place("id", step, n).alias("p")).collect()
+    assert [r["p"] for r in got] == [(step[0] * i + step[1]) % n for i in range(n - 3, n)]
+
+
+def test_unequal_series_raise(spark):
+    rows = spark.createDataFrame([(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0)], "key int, t int, v double")
+    with pytest.raises(ValueError, match="1 to 2 values"):
+        ml.series_vectors(rows, key="key", time="t", value="v")
+
+
+def test_experiment_by_another_score(spark):
+    _, _, rows = matrix(spark)
+    train, test = ml.split_rows(rows, 0.33, key="id")
+
+    def least_error(model, df):
+        return -model.transform(df).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0]
+
+    done = ml.run_experiment(
+        train, test, NAMES, "label", ml.ridge, {"alpha": [500, 0.1]}, key="id", folds=2, scoring=least_error
+    )
+    assert done.params == {"alpha": 0.1} and done.board.first()["mean_score"] < 0
+    assert done.importance.count() > 0
