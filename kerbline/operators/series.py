@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import cap as cap_column
 from ..functions.scalars import within
+from ..session import cut
 
 
 def duplicate_periods(df: DataFrame, *, key: str, time: str) -> DataFrame:
@@ -54,6 +55,7 @@ def densify(
     value: str,
     keep_incomplete: bool = True,
     unique: bool = False,
+    periods: DataFrame | None = None,
 ) -> DataFrame:
     """Give every key a row for every observed period and fill the gaps.
 
@@ -64,11 +66,15 @@ def densify(
     No key x period grid is joined: each observation emits the stretch of positions up
     to the next observation of its key. A key's window holds one row per period.
 
-    ``unique=True`` says that ``df`` already has one row per (key, day).
+    ``unique=True`` says that ``df`` already has one row per (key, day). ``periods`` are rows
+    with all the days the calendar is to have; without them the days come from ``df``, which
+    is worked out once and checkpointed for the two uses.
     """
     base = df if unique else unique_periods(df, key=key, time=time, value=value)
     base = base.select(key, F.col(time).cast("date").alias(time), F.col(value).cast("double"))
-    days = calendar(base, time=time)
+    if periods is None:
+        periods = base = cut(base)
+    days = calendar(periods, time=time)
 
     placed = base.join(F.broadcast(days), time).select(key, "pos", "n_periods", value)
     along = Window.partitionBy(key).orderBy("pos")
@@ -133,8 +139,11 @@ def extract_series(
     value: str,
     upper: float | None = 5.0,
     unique: bool = False,
+    periods: DataFrame | None = None,
 ) -> DataFrame:
     """Densify, drop incomplete keys over the whole range, then slice, then cap."""
-    full = densify(df, key=key, time=time, value=value, keep_incomplete=False, unique=unique)
+    full = densify(
+        df, key=key, time=time, value=value, keep_incomplete=False, unique=unique, periods=periods
+    )
     part = slice_period(full, start, end, time=time)
     return part if upper is None else part.withColumn(value, cap_column(value, upper))

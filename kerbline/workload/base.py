@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -82,10 +83,27 @@ def nation_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def supplier_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_week(
+    spark: SparkSession, sf_dir: str, span: tuple[str, str] | None = None
+) -> DataFrame:
+    """Mean line price by supplier and week; with a ``span`` only of its weeks.
+
+    The span is stated on the raw column, widened to whole weeks, so that it reaches the scan.
+    """
     week = F.date_trunc("week", "l_shipdate").cast("date")
+    lines = table(spark, sf_dir, "lineitem")
+    if span:
+        first, last = (datetime.date.fromisoformat(d) for d in span)
+        first -= datetime.timedelta(days=first.weekday())
+        last += datetime.timedelta(days=6 - last.weekday())
+        kind = lines.schema["l_shipdate"].dataType
+        after = last + datetime.timedelta(days=1)
+        lines = lines.where(
+            (F.col("l_shipdate") >= F.lit(str(first)).cast(kind))
+            & (F.col("l_shipdate") < F.lit(str(after)).cast(kind))
+        )
     return (
-        table(spark, sf_dir, "lineitem")
+        lines
         .groupBy(F.col("l_suppkey").alias("key"), week.alias("t"))
         .agg(F.avg("l_extendedprice").alias("v"))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import repair_name
 from ..operators import joins
 from ..operators.aggregates import mean_and_spread
+from ..session import cut
 from .base import R, SUPPLIER_WEEK, case, supplier_week, table, text, tidy
 
 
@@ -56,38 +57,41 @@ def j03(spark, sf):
     return joins.fan_out(table(spark, sf, "supplier").select("s_suppkey", "s_name"), lookup, "s_suppkey")
 
 
+_PARTS = {
+    "urgent": "1-URGENT", "high": "2-HIGH", "medium": "3-MEDIUM", "open": "4-NOT SPECIFIED", "low": "5-LOW"
+}
+
+
 def _customer_features(spark, sf):
-    o = table(spark, sf, "orders")
-    per = [
-        o.where(F.col("o_orderpriority") == p)
-        .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias(name))
-        for p, name in (("1-URGENT", "urgent"), ("5-LOW", "low"), ("3-MEDIUM", "medium"))
+    """A feature table per priority, all from one count of the orders."""
+    counts = cut(
+        table(spark, sf, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    )
+    return [
+        counts.where(F.col("o_orderpriority") == p).select("o_custkey", F.col("n").alias(name))
+        for name, p in _PARTS.items()
     ]
-    return per
 
 
 def _parts_sql() -> str:
     return ", ".join(
         f"{n} AS (SELECT o_custkey, count(*) AS {n} FROM orders WHERE o_orderpriority = '{p}' GROUP BY 1)"
-        for p, n in (("1-URGENT", "urgent"), ("5-LOW", "low"), ("3-MEDIUM", "medium"))
+        for n, p in _PARTS.items()
     )
 
 
-@case(
-    "j04_full_outer_merge",
-    f"""WITH {_parts_sql()} SELECT o_custkey, urgent, low, medium
-FROM urgent FULL JOIN low USING (o_custkey) FULL JOIN medium USING (o_custkey)""",
-)
+def _merged_sql(kind: str) -> str:
+    first, *rest = _PARTS
+    joined = " ".join(f"{kind} JOIN {n} USING (o_custkey)" for n in rest)
+    return f"WITH {_parts_sql()} SELECT o_custkey, {', '.join(_PARTS)} FROM {first} {joined}"
+
+
+@case("j04_full_outer_merge", _merged_sql("FULL"))
 def j04(spark, sf):
     return joins.merge_all(_customer_features(spark, sf), "o_custkey", "full")
 
 
-@case(
-    "j05_inner_merge",
-    f"""WITH {_parts_sql()} SELECT o_custkey, urgent, low, medium
-FROM urgent JOIN low USING (o_custkey) JOIN medium USING (o_custkey)""",
-)
+@case("j05_inner_merge", _merged_sql("INNER"))
 def j05(spark, sf):
     return joins.merge_all(_customer_features(spark, sf), "o_custkey", "inner")
 
@@ -95,13 +99,12 @@ def j05(spark, sf):
 @case(
     "j06_left_statistics",
     f"""SELECT c_custkey, n, {R('m')} AS mean FROM customer LEFT JOIN (
-  SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS m FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+  SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS m FROM orders GROUP BY 1)
 ON c_custkey = o_custkey""",
 )
 def j06(spark, sf):
     stats = (
         table(spark, sf, "orders")
-        .where(F.col("o_orderstatus") == "F")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("n"), tidy(F.avg("o_totalprice")).alias("mean"))
     )
@@ -111,13 +114,12 @@ def j06(spark, sf):
 @case(
     "j07_left_clusters",
     """SELECT l_suppkey, n, s_nationkey FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)
-LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey""",
+LEFT JOIN supplier ON l_suppkey = s_suppkey""",
 )
 def j07(spark, sf):
     counts = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
     clusters = (
         table(spark, sf, "supplier")
-        .where(F.col("s_acctbal") > 0)
         .select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     )
     return joins.attach(counts, clusters, "l_suppkey")

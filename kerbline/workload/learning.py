@@ -321,18 +321,17 @@ def m29(spark, sf):
 
 # ---- robust and pooled lines --------------------------------------------------------
 
+_POOLED = ("1996-01-01", "1997-12-31")
+
 
 @case("a17_huber_lines")
 def a17(spark, sf):
-    return huber_lines(supplier_week(spark, sf), ("1996-01-01", "1997-12-31"), "1996-01-01", **_C)
+    return huber_lines(supplier_week(spark, sf, _POOLED), _POOLED, _POOLED[0], **_C)
 
 
-def _index_series(spark, sf):
+def _index_series(spark, sf, span=_POOLED):
     """Supplier weeks relative to the overall level, around 1 as a yearly index is."""
-    return supplier_week(spark, sf).withColumn("v", F.col("v") / 50000)
-
-
-_POOLED = ("1996-01-01", "1997-12-31")
+    return supplier_week(spark, sf, span).withColumn("v", F.col("v") / 50000)
 
 
 @case("h01_pooled_lines")
@@ -348,7 +347,7 @@ FROM sw WHERE t BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""",
 )
 def h02(spark, sf):
     from ..functions.scalars import weeks_since
-    rows = slice_period(supplier_week(spark, sf), *_POOLED, time="t")
+    rows = slice_period(supplier_week(spark, sf, _POOLED), *_POOLED, time="t")
     return rows.select("key", tidy(weeks_since("t", _POOLED[0]), 5).alias("weeks"), tidy("v").alias("v"))
 
 
@@ -375,14 +374,15 @@ def h03(spark, sf):
 
 @case("h04_predictive_band")
 def h04(spark, sf):
-    series = _index_series(spark, sf)
+    """Fitted on two years, predicted for every week."""
+    series = _index_series(spark, sf, None)
     pool, posterior = fit_pool(series, _POOLED, _POOLED[0], **_C)
     return predictive_band(posterior, pool, _POOLED[0], key="key", time="t", periods=series)
 
 
 @case("h05_band_with_actuals")
 def h05(spark, sf):
-    _, _, band = pooled_lines(_index_series(spark, sf), **_C, span=_POOLED)
+    _, _, band = pooled_lines(_index_series(spark, sf, None), **_C, span=_POOLED)
     return band
 
 
