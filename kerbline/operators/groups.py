@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import month_window, ratio, within
 from ..session import cut
 from .aggregates import in_span
-from .ranking import add_tile, exact_quantiles, rank_rows, tile_of
+from .ranking import add_tile, exact_quantiles, not_before, rank_rows, rows_at, tile_starts
 
 
 def quantile_label(
@@ -87,31 +87,33 @@ def risk_labels(df: DataFrame, month: str, start: str, end: str, *, key, time, v
     return quantile_label(table, "ratio", key=key).select(key, "ratio", "label")
 
 
-def _tile_sizes(n: int, tiles: int) -> list[int]:
-    return [n // tiles + (1 if i < n % tiles else 0) for i in range(tiles)]
-
-
-def _pick(values: Sequence[int], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
-
-
 def two_level_split(
     df: DataFrame, first: str, second: str, tiles: int, *, key: str
 ) -> DataFrame:
     """Equal-count split by ``first``, then inside each part by ``second``.
 
-    Adds 0-based ``_i`` and ``_j``. Both levels are global ranks, so a part of the table
-    is never sorted by a single task.
+    Adds 0-based ``_i`` and ``_j``. Both levels rank a value and the key alone, over the
+    whole table, so a part of it is never sorted by a single task. The rows at which parts
+    begin are fetched, and all other columns are labelled by comparison with them.
     """
-    one = rank_rows(df, [first, key], rank="_r1")
-    parted = one.df.withColumn("_i", tile_of(F.col("_r1"), one.n, tiles))
-    two = rank_rows(parted, ["_i", second, key], rank="_r2")
-    sizes = _tile_sizes(one.n, tiles)
-    starts = [sum(sizes[:i]) for i in range(tiles)]
-    inside = F.col("_r2") - _pick(starts, F.col("_i"))
-    return two.df.withColumn("_j", tile_of(inside, _pick(sizes, F.col("_i")), tiles)).drop(
-        "_r1", "_r2"
-    )
+    parted = add_tile(df, first, tiles, key=key, out="_i")
+    narrow = parted.select("_i", F.col(second).alias("_v"), F.col(key).alias("_k"))
+    ranked = rank_rows(narrow, ["_i", "_v", "_k"])
+    starts = tile_starts(ranked.n, tiles)
+    sizes = [b - a for a, b in zip(starts, [*starts[1:], ranked.n])]
+    begins = {
+        (i, j): start + inner
+        for i, (start, size) in enumerate(zip(starts, sizes))
+        for j, inner in enumerate(tile_starts(size, tiles))
+        if j and inner < size
+    }
+    # tiles * (tiles - 1) rows
+    edges = rows_at(ranked, list(begins.values()))
+    label = F.lit(0)
+    for (i, _), place in begins.items():
+        reached = (F.col("_i") == i) & not_before(F.col(second), F.col(key), edges[place])
+        label = label + reached.cast("int")
+    return parted.withColumn("_j", label.cast("int"))
 
 
 def split_with_means(

@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -79,13 +79,90 @@ def tile_of(rank: Column, n_rows: int | Column, tiles: int) -> Column:
     )
 
 
+def tile_starts(n: int, tiles: int) -> list[int]:
+    """Ranks at which the tiles of :func:`tile_of` begin; equal where a tile is empty."""
+    return [t * (n // tiles) + min(t, n % tiles) for t in range(tiles)]
+
+
+def rows_at(ranked: Ranked, places: Sequence[int]) -> dict[int, Row]:
+    """The rows of a few places, by place."""
+    wanted = sorted({p for p in places if p < ranked.n})
+    return {r["rank"]: r for r in ranked.df.where(F.col("rank").isin(wanted)).collect()}
+
+
+def not_before(value: Column, key: Column, at: Row, *, descending: bool = False) -> Column:
+    """True for rows at or after the row ``at`` (_v, _k) by value, nulls last, then key."""
+    tied = key >= F.lit(at["_k"])
+    if at["_v"] is None:
+        return value.isNull() & tied
+    edge = F.lit(at["_v"])
+    beyond = value < edge if descending else value > edge
+    return value.isNull() | beyond | ((value == edge) & tied)
+
+
 def add_tile(
     df: DataFrame, column: str, tiles: int, *, key: str, out: str, descending: bool = False
 ) -> DataFrame:
-    """Equal-count split of all rows by ``column``, ties broken by ``key``; 0-based."""
-    first = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
-    ranked = rank_rows(df, [first, key], rank="_rank")
-    return ranked.df.withColumn(out, tile_of(F.col("_rank"), ranked.n, tiles)).drop("_rank")
+    """Equal-count split of all rows by ``column``, ties broken by ``key``; 0-based.
+
+    Only the column and the key are ranked. The rows at which tiles begin are fetched, and
+    the other columns are labelled where they are, by comparison with these few rows.
+    """
+    df = cut(df)
+    first = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_last()
+    ranked = rank_rows(df.select(F.col(column).alias("_v"), F.col(key).alias("_k")), [first, "_k"])
+    starts = tile_starts(ranked.n, tiles)[1:]
+    edges = rows_at(ranked, starts)
+    label = F.lit(0)
+    for start in starts:
+        if start in edges:
+            reached = not_before(F.col(column), F.col(key), edges[start], descending=descending)
+            label = label + reached.cast("int")
+    return df.withColumn(out, label.cast("int"))
+
+
+_COLLECTED = 100_000  # values of a bracket that may go to the driver
+_ACCURACY = 10_000
+
+
+def order_statistics(
+    rows: DataFrame, ranks: Sequence[int], margin: float = 2 / _ACCURACY
+) -> dict[int, float]:
+    """The values ``_v`` (no nulls) at 0-based ``ranks`` of a fixed table, without a sort.
+
+    Approximate percentiles bracket each rank, a count places the bracket, and the few
+    values inside, with their counts, tell the rank exactly. A bracket that still holds
+    too many rows is narrowed in the same way; one of a single value is the answer.
+    """
+    n = rows.count()
+    around = [
+        F.percentile_approx("_v", [max(0.0, (r - 1) / n - margin), min(1.0, (r + 2) / n + margin)], _ACCURACY)
+        for r in ranks
+    ]
+    brackets = [tuple(x) for x in rows.agg(*[a.alias(f"b{i}") for i, a in enumerate(around)]).first()]
+    counts = rows.agg(
+        *[F.count(F.when(F.col("_v") < lo, 1)) for lo, _ in brackets],
+        *[F.count(F.when(F.col("_v").between(lo, hi), 1)) for lo, hi in brackets],
+    ).first()
+    found: dict[int, float] = {}
+    for i, (rank, (lo, hi)) in enumerate(zip(ranks, brackets)):
+        before, inside = counts[i], counts[len(ranks) + i]
+        if not before <= rank < before + inside:
+            # the percentile was further off than it states
+            found[rank] = order_statistics(rows, [rank], 10 * margin)[rank]
+            continue
+        part = rows.where(F.col("_v").between(lo, hi))
+        if lo == hi:
+            found[rank] = lo
+        elif inside > _COLLECTED and inside < n:
+            found[rank] = order_statistics(part, [rank - before])[rank - before]
+        else:
+            for value, count in sorted(part.groupBy("_v").count().collect()):
+                before += count
+                if rank < before:
+                    found[rank] = value
+                    break
+    return found
 
 
 def exact_quantiles(
@@ -93,23 +170,16 @@ def exact_quantiles(
 ) -> list[float | None]:
     """Linearly interpolated quantiles of a column, nulls left out.
 
-    Reads at most two rows per probability from the ranked table, so nothing but the
-    answer reaches the driver and no task holds the distinct values.
+    The column alone is checkpointed, and :func:`order_statistics` finds the two values of
+    each probability in three passes over it.
     """
-    ranked = rank_rows(
-        df.select(F.col(column).cast("double").alias("_v"), F.col(key).alias("_k")).where(
-            F.col("_v").isNotNull()
-        ),
-        ["_v", "_k"],
-        rank="_rank",
-    )
-    if ranked.n == 0:
+    rows = cut(df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull()))
+    n = rows.count()
+    if n == 0:
         return [None] * len(probs)
-    at = [(ranked.n - 1) * p for p in probs]
+    at = [(n - 1) * p for p in probs]
     wanted = sorted({int(math.floor(h)) for h in at} | {int(math.ceil(h)) for h in at})
-    found = dict(
-        ranked.df.where(F.col("_rank").isin(wanted)).select("_rank", "_v").collect()
-    )
+    found = order_statistics(rows, wanted)
     out = []
     for h in at:
         lo, hi = found[math.floor(h)], found[math.ceil(h)]
