@@ -1,6 +1,6 @@
 """Toxicity by compression distance: dictionaries of toxic and of ordinary text.
 
-A text is cut into windows of 16 words. Each window is compressed twice, once with a
+A text is cut into windows of ten words. Each window is compressed twice, once with a
 zstandard dictionary trained on ordinary text and once with the same dictionary behind
 one learned from toxic text. What the toxic dictionary saves is the window's distance. The
 largest distances and the shares of windows above several distances make the score, with
@@ -24,7 +24,7 @@ from .common import staged
 from .labelled import held_out, learning_sample
 from .quality import fit_additive
 
-_WINDOW = 16
+_WINDOW = 10
 _ORDINARY_BYTES, _TOXIC_BYTES = 8192, 2048
 _STEM = 7  # bytes of a word's start, the space before it included
 _STEPS = (2, 3, 4, 6)
@@ -97,7 +97,7 @@ class Dictionaries:
         """With ordinary text behind toxic text both find ordinary matches equally near."""
         size = len(self.ordinary) + len(self.toxic)
         rules = zstandard.ZstdCompressionParameters.from_level(
-            7, source_size=128, dict_size=max(size, 8), min_match=4,
+            6, source_size=128, dict_size=max(size, 8), min_match=4,
             format=zstandard.FORMAT_ZSTD1_MAGICLESS,
             write_checksum=0, write_content_size=0, write_dict_id=0,
         )
