@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     joining,
     learning,
     projecting,
+    properties,
     scoring,
     series,
 )

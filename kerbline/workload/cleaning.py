@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import staging_path
-from ..sources import drops, feeds
+from ..sources import drops, feeds, inputs
 from ..sources.tables import read_csv, write_csv
 from ..streaming.folder import land_stream
 from .base import R, case, table, text, tidy
@@ -372,3 +372,60 @@ def st1(spark, sf):
     return done.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("n"), tidy(F.sum("worker_population_percentage"), 2).alias("workers")
     )
+
+
+# ---- declared inputs ----------------------------------------------------------------
+
+
+def _add_scan(name: str, kind: str, sql: str, select, shown) -> None:
+    """A table in the layout of an input, with its columns in another order, read back."""
+
+    @case(name, sql)
+    def run(spark, sf):
+        where = staging_path(spark, kind) + ".csv"
+        write_csv(select(spark, sf), where)
+        return shown(inputs.read_input(spark, kind, where))
+
+
+_add_scan(
+    "s13_weekly_spend_scan",
+    "weekly_spend",
+    f"""SELECT o_orderkey AS area_id, strftime(o_orderdate, '%Y')::INT AS yr, month(o_orderdate)::INT AS wk,
+  CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS week_start,
+  'area ' || o_custkey AS area_name, {R('o_totalprice', 2)} AS txn_amt_wd_retail FROM orders""",
+    lambda spark, sf: table(spark, sf, "orders").select(
+        F.lit("x").alias("further"),
+        F.col("o_totalprice").alias("txn_amt_wd_retail"),
+        F.concat(F.lit("area "), F.col("o_custkey").cast("string")).alias("area_name"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("week_start"),
+        F.month("o_orderdate").alias("wk"),
+        F.year("o_orderdate").alias("yr"),
+        F.col("o_orderkey").alias("area_id"),
+    ),
+    lambda df: df.withColumns(
+        {"week_start": text("week_start"), "txn_amt_wd_retail": tidy("txn_amt_wd_retail", 2)}
+    ),
+)
+_add_scan(
+    "s13_area_lookup_scan",
+    "area_lookup",
+    "SELECT 'E' || s_suppkey AS msoa11cd, s_name AS area_name FROM supplier",
+    lambda spark, sf: table(spark, sf, "supplier").select(
+        F.col("s_name").alias("area_name"),
+        F.concat(F.lit("E"), F.col("s_suppkey").cast("string")).alias("msoa11cd"),
+    ),
+    lambda df: df,
+)
+_add_scan(
+    "s13_clusters_scan",
+    "clusters",
+    """SELECT p_partkey AS area_id, p_size AS cluster_hourly, p_size % 7 AS cluster_daily, p_size % 3 AS cluster_size
+FROM part""",
+    lambda spark, sf: table(spark, sf, "part").select(
+        (F.col("p_size") % 3).alias("cluster_size"),
+        (F.col("p_size") % 7).alias("cluster_daily"),
+        F.col("p_size").alias("cluster_hourly"),
+        F.col("p_partkey").alias("area_id"),
+    ),
+    lambda df: df,
+)
