@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import days_since, ratio
@@ -31,6 +31,7 @@ LINE_SPANS = {
     "2021": (("2021-02-12", "2021-08-31"), "2021-04-12"),
     "full": (("2020-01-01", "2021-12-31"), "2020-04-01"),
 }
+# The sectors, as the spend columns name them.
 SECTORS = ["eating", "retail", "apparel"]
 
 # Columns of the area profile, spelt as they are delivered.
@@ -144,31 +145,26 @@ def parameter_shift(
 ) -> DataFrame:
     """Change of slope and intercept between two fits.
 
-    ``scaled`` measures it in population deviations of the earlier fit.
+    ``scaled`` measures it in population deviations of the earlier fit. The two fits of a
+    key meet in one aggregate.
     """
     if scaled:
         lines = cut(lines)
 
-    def part(fit: str) -> DataFrame:
-        return lines.where(F.col("fit") == fit).select(key, "slope", "intercept")
+    def of(fit: str, name: str) -> Column:
+        return F.max(F.when(F.col("fit") == fit, F.col(name)))
 
-    a, b = part(before), part(after)
-    start = a
+    units = {"slope": 1.0, "intercept": 1.0}
     if scaled:
-        scaler = Scaler.fit(a, ["slope", "intercept"])
-        a, b = scaler.apply(a), scaler.apply(b)
-    a = a.withColumnsRenamed({"slope": "_s0", "intercept": "_i0"})
-    return (
-        start.join(a, key)
-        .join(b.withColumnsRenamed({"slope": "_s1", "intercept": "_i1"}), key)
-        .select(
-            key,
-            "slope",
-            "intercept",
-            (F.col("_s1") - F.col("_s0")).alias("slope_shift"),
-            (F.col("_i1") - F.col("_i0")).alias("intercept_shift"),
-        )
+        earlier = Scaler.fit(lines.where(F.col("fit") == before), list(units))
+        units = {c: sd or 1.0 for c, (_, sd) in earlier.stats.items()}
+    fits = F.count(F.when(F.col("fit").isin(before, after), 1))
+    both = lines.groupBy(key).agg(
+        *[of(before, c).alias(c) for c in units],
+        *[((of(after, c) - of(before, c)) / F.lit(u)).alias(f"{c}_shift") for c, u in units.items()],
+        fits.alias("_n"),
     )
+    return both.where(F.col("_n") == 2).drop("_n")
 
 
 def recovery_cells(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kerbline.operators import learning as ml
 from kerbline.operators.ranking import affine_place
-from kerbline.plans.at_risk import compare_models, final_model, labelled_matrix
+from kerbline.plans.at_risk import at_risk_flow, compare_models, final_model, labelled_matrix
 from kerbline.sources.tables import load_model, save_model
 
 
@@ -151,6 +151,9 @@ def test_comparison_and_final_model(spark, tmp_path):
     assert len(board) == 5 and [r["mean_score"] for r in board] == sorted((r["mean_score"] for r in board), reverse=True)
     assert all(len(r["scores"]) == 2 and r["mean_score"] > 0.5 for r in board)
     features, labels = rows.drop("label"), rows.select("id", "label").where("id < 80")
+    flow = at_risk_flow(features, labels, NAMES, key="id", folds=2, grids={"logistic": grids["logistic"]})
+    assert flow.board.count() == 1 and flow.predictions.count() == 24
+    assert flow.overall.first()["accuracy"] > 0.6 and flow.per_class.count() == 3
     table = labelled_matrix(features, labels, NAMES, key="id")
     model, predicted, _, per_class, overall = final_model(table, NAMES, key="id")
     assert table.count() == 80 and predicted.count() == 24 and per_class.count() == 3
