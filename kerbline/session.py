@@ -19,6 +19,8 @@ def local_session(cores: str = "8", app: str = "kerbline", **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # checkpoints go when nothing refers to them any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for name, setting in conf.items():
@@ -54,6 +56,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _staging_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, removed by :func:`drop_staged`."""
+    return f"{_staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all staged tables of this application; call it when its results are written."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging_root(spark))
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
