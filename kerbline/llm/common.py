@@ -42,11 +42,6 @@ def word_count(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Deal rows evenly over tasks, whatever their sources or copies."""
-    return df.repartition(F.xxhash64(key))
-
-
 def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Smallest reachable node for each of ``n`` nodes under the links ``u``-``v``."""
     root = np.arange(n)

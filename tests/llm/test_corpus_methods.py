@@ -21,7 +21,7 @@ from kerbline.llm.nearest import nearest_neighbours
 from kerbline.llm.packing import best_fit, pack
 from kerbline.llm.passages import align, chains, edits, repeated_passages, seeds
 from kerbline.llm.quality import fit_additive
-from kerbline.llm.simhash import fingerprint, near_links, simhash_groups, trie_links
+from kerbline.llm.simhash import fingerprint, near_links, trie_links
 from tools.check import keyed
 
 SF = "/root/testdata/sf0.001"
@@ -442,7 +442,11 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in after["line-dedup"]} == kept
     lines = [line.lower().split() for r in after["line-dedup"] for line in r.text.split("\n") if line.split()]
     assert len(lines) == len({tuple(x) for x in lines})
-    prints = [fingerprint(r.text.encode()) for r in after["simhash"]]
-    assert len(set(prints)) == len(prints)
+    prints = {r.doc_id: fingerprint(r.text.encode()) for r in after["line-dedup"]}
+    root = roots(sorted(set(prints.values())))
+    first = {}
+    for doc_id, p in sorted(prints.items()):
+        first.setdefault(root[p], doc_id)
+    assert sorted(r.doc_id for r in after["simhash"]) == sorted(first.values())
     assert {r.doc_id for r in after["mixing"]} <= {r.doc_id for r in after["simhash"]}
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "copy", "piece", "start_word", "words", "bin"]
