@@ -28,7 +28,7 @@ _WINDOW = 10
 _ORDINARY_BYTES, _TOXIC_BYTES = 8192, 2048
 _STEM = 7  # bytes of a word's start, the space before it included
 _STEPS = (2, 3, 4, 6)
-_DICTIONARY_ROWS, _CALIBRATION_ROWS = 4_000, 20_000
+_DICTIONARY_ROWS, _DICTIONARY_CHARS, _CALIBRATION_ROWS = 4_000, 20_000, 20_000
 
 
 def windows(words: list[bytes], size: int = _WINDOW) -> list[bytes]:
@@ -152,8 +152,8 @@ def toxicity_scores(
     """Toxicity of every whole text: doc_id, held_out, score (0 to 1), predicted (0 or 1).
 
     Only labelled rows outside the held-out fold are learned from: about half of them, at
-    most ``dictionary_rows``, train the dictionaries, and of the others at most
-    ``calibration_rows`` calibrate the thresholds (nine numbers each). Texts are
+    most ``dictionary_rows`` of up to 20,000 characters, train the dictionaries, and of the
+    others at most ``calibration_rows`` calibrate the thresholds (nine numbers each). Texts are
     lower-cased (A-Z). No other column than text and doc_id is read, and doc_id only picks
     the rows. Null and empty texts are scored as texts without a window. Without usable
     labels every score is the smoothed share of label 1. One row per row of ``docs``,
@@ -163,7 +163,9 @@ def toxicity_scores(
     texts = learning_sample(
         docs.select("doc_id", "text"), labels.where(odd), label, folds, fold, dictionary_rows
     )
-    rows = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label").collect()
+    rows = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    # bounds what the driver takes in; all texts are scored, and calibrate, whole
+    rows = rows.where(F.length("text") <= _DICTIONARY_CHARS).collect()
     rows.sort(key=lambda r: r.doc_id)
     learned = train([(r.text.encode(), r.label) for r in rows])
     del rows
