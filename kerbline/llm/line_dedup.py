@@ -194,7 +194,8 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     meets = halves.join(shared, "key", "left_semi").select("h").distinct()
     wanted = distinct.select("h", "first").join(meets, "h", "left_semi")
-    variants = staged(_variants(docs, wanted).dropDuplicates(["h", "gap"]), "line-variants")
+    # a row that repeats a doc_id repeats its variants, which only finds the same pairs again
+    variants = staged(_variants(docs, wanted), "line-variants")
 
     whole = variants.where("gap = -1").select("h", "first", "key", "line")
     less = variants.where("gap >= 0").select("h", "first", "key", "gap")
