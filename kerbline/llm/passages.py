@@ -253,10 +253,13 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
     kind = texts.schema["doc_id"].dataType.simpleString()
     found = staged(document_seeds(texts), "seeds")
     shared = found.groupBy("seed").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("last_id"))
-    shared = shared.where("keep_id < last_id").select("seed", "keep_id")
+    # a table of its own, so that the join deals both sides anew and can split a hot seed;
     # the merge join is dealt and split alike at every size
+    shared = staged(shared.where("keep_id < last_id").select("seed", "keep_id"), "seed-owners")
     met = staged(found.join(shared.hint("merge"), "seed"), "shared-seeds")
-    origin = met.where("doc_id = keep_id").groupBy("seed").agg(F.min("pos").alias("to"))
+    origin = staged(
+        met.where("doc_id = keep_id").groupBy("seed").agg(F.min("pos").alias("to")), "seed-origins"
+    )
     matches = met.where("doc_id > keep_id").join(origin.hint("merge"), "seed")
     pairs = matches.groupBy("doc_id", "keep_id").agg(
         # no more than the seeds of one document
