@@ -238,6 +238,8 @@ def simhash_groups(docs: DataFrame, budget: int = 3) -> DataFrame:
     component = first.join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")
     )
+    # a table of its own, so that the last join deals both sides anew and can split a hot fp
+    component = staged(component, "fingerprint-components")
     return prints.join(component, "fp", "left").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
