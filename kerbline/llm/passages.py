@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,22 +15,27 @@ from pyspark.sql import functions as F
 from .common import staged
 
 K = 8  # words of a seed
-REACH = 14  # of that many neighbouring k-mers one at least is a seed
+REACH = 14  # words between the matches that are kept of an equal run
 GAP = 40  # words; matches further apart belong to different passages
+HOT = 32  # places; a run that more have leads to the first of them, and is told apart by longer ones
 _GAP_COST = 0.1  # of a match, for each word by which a chain moves on, both texts' mean
 _TURN = np.uint64(0x9E3779B97F4A7C15)
-_STEP = 1 << 16
+_BUCKET_CHARS = 1 << 23  # of text, whose seeds meet in one bucket
+_FLUSH = 1 << 20  # seeds that a task holds before it deals them to the buckets
+_SEED_BYTES = 5  # of a hash that are kept; matches are compared word by word in the end
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the k-mers that are smallest among REACH neighbours.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
 
-    Two texts with an equal run of K + REACH - 1 words have a seed of it in common.
-    """
+
+def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all k-mers."""
     n = len(words) - K + 1
     if n < 1:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -36,36 +43,170 @@ def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     mers = np.zeros(n, np.uint64)
     for j in range(K):
         mers = mers * _TURN + each[j : j + n]
-    mers = (mers ^ (mers >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    mers ^= mers >> np.uint64(29)
-    if n <= REACH:
-        at = np.array([np.argmin(mers)])
-    else:
-        found = []
-        for lo in range(0, n - REACH + 1, _STEP):
-            part = mers[lo : lo + _STEP + REACH - 1]
-            view = np.lib.stride_tricks.sliding_window_view(part, REACH)
-            found.append(np.unique(np.argmin(view, axis=1) + np.arange(lo, lo + len(view))))
-        at = np.unique(np.concatenate(found))
-    return at, mers[at].view(np.int64)
-
-
-def document_seeds(docs: DataFrame) -> DataFrame:
+    return np.arange(n), _mixed(mers).view(np.int64)
+
+
+def longer_seeds(words: list[bytes], spots: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of longer runs, and of two k-mers as far apart, that start at ``spots``."""
+    mers = seeds(words)[1].view(np.uint64)
+    places, hashes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for length in sorted({x for x in (2 * K, 4 * K, min_words) if K < x <= max(2 * K, min_words)}):
+        last = length - K
+        at = spots[spots + last < len(mers)]
+        for kind, steps in enumerate(([*range(0, last, K), last], [0, last])):
+            x = np.full(len(at), 2 * length + kind, np.uint64)
+            for step in steps:
+                x = _mixed(x * _TURN + mers[at + step])
+            places.append(at)
+            hashes.append(x.view(np.int64))
+    return np.concatenate(places), np.concatenate(hashes)
+
+
+# ---- seeds in buckets ----------------------------------------------------------------
+
+
+def _squeezed(x: np.ndarray) -> bytes:
+    """An int32 array as compressed differences, byte by byte."""
+    steps = np.diff(x, prepend=np.int32(0)).astype(np.int32)
+    return pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def _stretched(data: bytes, n: int) -> np.ndarray:
+    flat = pa.decompress(data, 4 * n, "zstd", asbytes=True)
+    steps = np.frombuffer(flat, np.uint8).reshape(4, n).T.copy().view(np.int32).ravel()
+    return np.cumsum(steps, dtype=np.int32)
+
+
+def _dealt(ids: pa.Array, rows: np.ndarray, places: np.ndarray, mers: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The seeds of some documents, one row a bucket."""
+    mers = mers.view(np.uint64) >> np.uint64(64 - 8 * _SEED_BYTES)
+    bucket = (mers % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+    numbers, counts, hashes, owners, spots, own, sizes = [], [], [], [], [], [], [0]
+    lo = 0
+    for hi in ends.tolist():
+        part = order[lo:hi]
+        here, index = np.unique(rows[part], return_inverse=True)
+        numbers.append(bucket[part[0]])
+        counts.append(hi - lo)
+        hashes.append(mers[part].view(np.uint8).reshape(-1, 8)[:, :_SEED_BYTES].T.tobytes())
+        owners.append(_squeezed(index.astype(np.int32)))
+        spots.append(_squeezed(places[part].astype(np.int32)))
+        own.append(here)
+        sizes.append(sizes[-1] + len(here))
+        lo = hi
+    used = ids.take(pa.array(np.concatenate([np.empty(0, np.int64), *own])))
+    columns = [
+        pa.array(numbers, pa.int32()), pa.array(counts, pa.int32()), pa.array(hashes, pa.binary()),
+        pa.array(owners, pa.binary()), pa.array(spots, pa.binary()),
+        pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), used),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "n", "hashes", "owners", "places", "ids"])
+
+
+def _in_buckets(docs: DataFrame, buckets: int, min_words: int) -> DataFrame:
+    """All seeds of ``docs``, or the longer ones at ``spots`` where it has such a column."""
+    longer = "spots" in docs.columns
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, rows, places, hashes, held, docs_held = [], [], [], [], 0, 0
+
+        def flushed() -> pa.RecordBatch:
+            every = pa.concat_arrays(ids)
+            return _dealt(every, np.concatenate(rows), np.concatenate(places), np.concatenate(hashes), buckets)
+
         for batch in batches:
-            rows, places, hashes = [], [], []
             for row, text in enumerate(batch.column("text").cast(pa.binary())):
-                at, mers = seeds(words_of(text.as_py()))
-                rows.append(np.full(len(at), row))
+                words = words_of(text.as_py())
+                if longer:
+                    spots = batch.column("spots")[row].values.to_numpy(zero_copy_only=False)
+                    at, mers = longer_seeds(words, np.unique(spots).astype(np.int64), min_words)
+                else:
+                    at, mers = seeds(words)
+                if not len(at):
+                    continue
+                ids.append(batch.column("doc_id").slice(row, 1))
+                rows.append(np.full(len(at), docs_held))
                 places.append(at)
                 hashes.append(mers)
-            if rows:
-                ids = batch.column("doc_id").take(pa.array(np.concatenate(rows).astype(np.int64)))
-                columns = [pa.array(np.concatenate(hashes)), ids, pa.array(np.concatenate(places).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["seed", "doc_id", "pos"])
+                held, docs_held = held + len(at), docs_held + 1
+                if held >= _FLUSH:
+                    yield flushed()
+                    ids, rows, places, hashes, held, docs_held = [], [], [], [], 0, 0
+        if held:
+            yield flushed()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(compute, f"seed long, doc_id {kind}, pos int")
+    return docs.mapInArrow(
+        compute, f"bucket int, n int, hashes binary, owners binary, places binary, ids array<{kind}>"
+    )
+
+
+def met(h: np.ndarray, code: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted seeds (code, pos), pairs of them (here, there), and those of hot hashes.
+
+    Places of one hash are paired with all that earlier documents have of it, or, where
+    more than HOT have it, with the first of them.
+    """
+    order = np.argsort(h, kind="stable")
+    same = h[order][1:] == h[order][:-1]
+    order = order[np.append(same, False) | np.insert(same, 0, False)] if len(h) > 1 else order[:0]
+    order = order[np.lexsort((pos[order], code[order], h[order]))]
+    h, code, pos = h[order], code[order], pos[order]
+    if len(h):
+        # rows that repeat a doc_id
+        new = np.insert((h[1:] != h[:-1]) | (code[1:] != code[:-1]) | (pos[1:] != pos[:-1]), 0, True)
+        h, code, pos = h[new], code[new], pos[new]
+    starts = np.flatnonzero(np.insert(h[1:] != h[:-1], 0, True)) if len(h) else np.empty(0, np.int64)
+    size = np.diff(np.append(starts, len(h)))
+    first, end = np.repeat(starts, size), np.repeat(starts + size, size)
+    several = code[first] != code[end - 1]
+    hot = several & (end - first > HOT)
+    here, there = [np.flatnonzero(hot & (code > code[first]))], []
+    there.append(first[here[0]])
+    left = np.flatnonzero(several & ~hot)
+    for k in range(1, HOT):
+        left = left[left + k < end[left]]
+        if not len(left):
+            break
+        apart = left[code[left + k] > code[left]]
+        here.append(apart + k)
+        there.append(apart)
+    return code, pos, np.concatenate(here), np.concatenate(there), np.flatnonzero(hot)
+
+
+def _matches(dealt: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, keep_id, pos, to) of the pairs, and (doc_id, null, pos, null) of hot seeds."""
+
+    def compute(own: pa.Table) -> pa.Table:
+        hashes, owners, places, ids, before = [], [], [], [], 0
+        for n, h, o, p, names in zip(*(own.column(c) for c in ("n", "hashes", "owners", "places", "ids")), strict=True):
+            n = n.as_py()
+            whole = np.zeros((n, 8), np.uint8)
+            whole[:, :_SEED_BYTES] = np.frombuffer(h.as_py(), np.uint8).reshape(_SEED_BYTES, n).T
+            hashes.append(whole.view(np.uint64).ravel())
+            owners.append(_stretched(o.as_py(), n).astype(np.int64) + before)
+            places.append(_stretched(p.as_py(), n))
+            ids.append(names.values)
+            before += len(names.values)
+        every = pa.concat_arrays(ids)
+        distinct = every.unique()
+        distinct = distinct.take(pc.sort_indices(distinct))
+        code = pc.index_in(every, value_set=distinct).to_numpy(zero_copy_only=False)
+        code, pos, here, there, hot = met(
+            np.concatenate(hashes), code[np.concatenate(owners)], np.concatenate(places)
+        )
+        none = len(hot)
+        columns = [
+            distinct.take(pa.array(np.concatenate([code[here], code[hot]]))),
+            pa.concat_arrays([distinct.take(pa.array(code[there])), pa.nulls(none, distinct.type)]),
+            pa.array(np.concatenate([pos[here], pos[hot]]), pa.int32()),
+            pa.concat_arrays([pa.array(pos[there], pa.int32()), pa.nulls(none, pa.int32())]),
+        ]
+        return pa.Table.from_arrays(columns, names=["doc_id", "keep_id", "pos", "to"])
+
+    return dealt.groupBy("bucket").applyInArrow(compute, f"doc_id {kind}, keep_id {kind}, pos int, to int")
 
 
 # ---- chains --------------------------------------------------------------------------
@@ -144,12 +285,15 @@ def edits(a: list[bytes], b: list[bytes]) -> int:
     return row[-1]
 
 
+_OVER = ((1, 1), (1, 0), (0, 1))  # words here and there that an end passes over
+
+
 def align(a: list[bytes], b: list[bytes], links: list[tuple[int, int]]) -> tuple[int, int, int, int, int]:
     """Ends of the passage in both lists (start, end, start, end) and its word edits.
 
     The chain's matches are fixed points; what lies between two of them is aligned, and
-    both ends go on as long as words agree, over single replaced words that four equal
-    ones follow.
+    both ends go on as long as words agree, over single replaced, inserted or deleted
+    words that four equal ones follow.
     """
     (i, j), errors = links[0], 0
     start, to = i, j
@@ -164,10 +308,11 @@ def align(a: list[bytes], b: list[bytes], links: list[tuple[int, int]]) -> tuple
     while True:
         if goes_on(start - 1, to - 1, -1, 1):
             start, to = start - 1, to - 1
-        elif goes_on(start - 2, to - 2, -1, 4):
-            start, to, errors = start - 2, to - 2, errors + 1
         else:
-            break
+            over = next((x for x in _OVER if goes_on(start - 1 - x[0], to - 1 - x[1], -1, 4)), None)
+            if over is None:
+                break
+            start, to, errors = start - over[0], to - over[1], errors + 1
     for p, q in links[1:]:
         errors += edits(a[i:p], b[j:q])
         i, j = p, q
@@ -175,31 +320,80 @@ def align(a: list[bytes], b: list[bytes], links: list[tuple[int, int]]) -> tuple
     while True:
         if goes_on(i, j, 1, 1):
             i, j = i + 1, j + 1
-        elif goes_on(i + 1, j + 1, 1, 4):
-            i, j, errors = i + 2, j + 2, errors + 1
         else:
-            break
+            over = next((x for x in _OVER if goes_on(i + x[0], j + x[1], 1, 4)), None)
+            if over is None:
+                break
+            i, j, errors = i + over[0], j + over[1], errors + 1
     return start, i, to, j, errors
 
 
+def alike(
+    a: list[bytes], b: list[bytes], links: list[tuple[int, int]], min_words: int, min_identity: float
+) -> list[tuple[int, int, int, int, int]]:
+    """Alignments of a chain that are long and alike enough, the chain cut at its worst gaps."""
+    found, rest = [], [links]
+    while rest:
+        links = rest.pop()
+        i, j, p, q, errors = align(a, b, links)
+        if j - i < min_words:
+            continue
+        if errors <= (1 - min_identity) * max(j - i, q - p) + 1e-9:
+            found.append((i, j, p, q, errors))
+        elif len(links) > 1:
+            gaps = [edits(a[x[0] : y[0]], b[x[1] : y[1]]) for x, y in zip(links, links[1:], strict=False)]
+            cut = gaps.index(max(gaps)) + 1
+            rest += [links[cut:], links[:cut]]
+    return found
+
+
 # ---- on Spark ------------------------------------------------------------------------
 
 _LINKS = "array<struct<pos:int,to:int>>"
 
 
-def _chained(pairs: DataFrame, shortest: int) -> DataFrame:
-    """Chains of each pair (doc_id, keep_id, matches) that span ``shortest`` words here."""
+def thinned(rows: np.ndarray, pos: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Indices, by row and place, of the ends of equal runs and each REACH-th match between."""
+    order = np.lexsort((pos, to - pos, rows))
+    r, p, d = rows[order], pos[order], (to - pos)[order]
+    if not len(r):
+        return order
+    new = np.insert((r[1:] != r[:-1]) | (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1), 0, True)
+    again = np.insert((r[1:] == r[:-1]) & (d[1:] == d[:-1]) & (p[1:] == p[:-1]), 0, False)
+    starts = np.flatnonzero(new)
+    begin = np.repeat(p[starts], np.diff(np.append(starts, len(p))))
+    keep = ((p - begin) % REACH == 0) | np.append(new[1:], True)
+    order = order[keep & ~(again & ~np.append(new[1:], True))]
+    return order[np.lexsort((to[order], pos[order], rows[order]))]
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Short batches, since what Python makes of a row takes more memory than the row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _chained(pairs: DataFrame) -> DataFrame:
+    """Chains of each pair (doc_id, keep_id, matches)."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             rows, numbers, found = [], [], []
-            for row, matches in enumerate(batch.column("matches").to_pylist()):
-                made = chains([(m["pos"], m["to"]) for m in matches])
-                for number, links in enumerate(made):
-                    if links[-1][0] + K - links[0][0] >= shortest:
-                        rows.append(row)
-                        numbers.append(number)
-                        found.append([{"pos": p, "to": q} for p, q in links])
+            matches = batch.column("matches")
+            flat, counts = matches.flatten(), pc.list_value_length(matches).to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(batch.num_rows), counts)
+            pos, to = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+            kept = thinned(owner, pos, to)
+            ends = np.searchsorted(owner[kept], np.arange(batch.num_rows + 1))
+            pos, to = pos[kept].tolist(), to[kept].tolist()
+            for row in range(batch.num_rows):
+                lo, hi = ends[row], ends[row + 1]
+                mine = sorted(set(zip(pos[lo:hi], to[lo:hi], strict=True)))
+                for number, links in enumerate(chains(mine)):
+                    rows.append(row)
+                    numbers.append(number)
+                    found.append([{"pos": p, "to": q} for p, q in links])
             at = pa.array(rows, pa.int64())
             kind = pa.list_(pa.struct([("pos", pa.int32()), ("to", pa.int32())]))
             columns = [batch.column("doc_id").take(at), batch.column("keep_id").take(at)]
@@ -210,6 +404,33 @@ def _chained(pairs: DataFrame, shortest: int) -> DataFrame:
     return pairs.mapInArrow(compute, f"doc_id {kind}, keep_id {kind}, chain int, links {_LINKS}")
 
 
+def _first_likes(found: DataFrame) -> DataFrame:
+    """Of the passages of each document those with a word that none before has, by keep_id."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, covered = None, []
+        for batch in batches:
+            keep = []
+            spans = (batch.column(c).to_pylist() for c in ("doc_id", "start_word", "end_word"))
+            for doc_id, start, end in zip(*spans, strict=True):
+                if doc_id != last:
+                    last, covered = doc_id, []
+                at = bisect.bisect_right(covered, (start, float("inf"))) - 1
+                keep.append(at < 0 or covered[at][1] < end)
+                if keep[-1]:
+                    lo = at if at >= 0 and covered[at][1] >= start else at + 1
+                    hi = bisect.bisect_right(covered, (end, float("inf")))
+                    if hi > lo:
+                        start, end = min(start, covered[lo][0]), max(end, covered[hi - 1][1])
+                    covered[lo:hi] = [(start, end)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    ordered = found.repartition("doc_id").sortWithinPartitions(
+        "doc_id", "keep_id", "start_word", F.desc("end_word"), "keep_start", "keep_end"
+    )
+    return ordered.mapInArrow(compute, found.schema)
+
+
 def _slices(requests: DataFrame, schema: str) -> DataFrame:
     """Words ``lo`` to ``hi`` of the texts that were joined to ``requests``, for ``text``."""
 
@@ -235,15 +456,20 @@ def _slices(requests: DataFrame, schema: str) -> DataFrame:
 def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
     """Passages that an earlier document has too, equal or nearly so.
 
-    Texts are compared by their words, A-Z lower-cased. Seeds are 8-word runs, of 14
-    neighbouring ones at least one, so any equal run of 21 words shares a seed. A seed that
-    several documents have leads from each of them to the smallest doc_id that has it, so
-    a passage of very many documents costs one row for each. Matches of two documents are
-    chained with gap costs, and the chains are aligned word by word. Passages of at least
-    ``min_words`` words remain whose alignment has at most ``1 - min_identity`` edits a word.
+    Texts are compared by their words, A-Z lower-cased. Seeds are all 8-word runs, and lead
+    to every place that an earlier document has them at. A run with more than HOT places
+    leads to the first of them alone, but so do the runs of 16, 32 and ``min_words`` words
+    that start with it, and the pairs of 8-word runs as far apart: of these too, each leads
+    to all its places up to HOT. So an equal passage is always found, and a near one unless
+    every such run it shares is in more places and the first of them is no part of its
+    like. Matches of two documents are chained with gap costs, and chains of any span are
+    aligned word by word, and cut at their worst gaps where they are not alike enough.
+    Passages of at least ``min_words`` words remain whose alignment has at most
+    ``1 - min_identity`` edits a word.
 
     Returns doc_id, start_word, end_word (exclusive), keep_id, keep_start, keep_end, edits,
-    identity: one row per passage of doc_id with its like in keep_id < doc_id. A passage
+    identity: one row per passage of doc_id with its like in keep_id < doc_id, where the
+    smaller keep_id goes first and a passage inside those before gives no row. A passage
     without an earlier like, and repeats inside one document, give no row. Rows with a
     null doc_id take no part, rows that repeat a doc_id are taken for one document, null
     and empty texts have no passage, and an empty table gives an empty result. Other
@@ -251,23 +477,25 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
     """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = staged(document_seeds(texts), "seeds")
-    shared = found.groupBy("seed").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("last_id"))
-    # a table of its own, so that the join deals both sides anew and can split a hot seed;
-    # the merge join is dealt and split alike at every size
-    shared = staged(shared.where("keep_id < last_id").select("seed", "keep_id"), "seed-owners")
-    met = staged(found.join(shared.hint("merge"), "seed"), "shared-seeds")
-    origin = staged(
-        met.where("doc_id = keep_id").groupBy("seed").agg(F.min("pos").alias("to")), "seed-origins"
-    )
-    matches = met.where("doc_id > keep_id").join(origin.hint("merge"), "seed")
+    # one row; buckets of about equal size at every size of the table
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = 1 + chars // _BUCKET_CHARS
+    met_rows = staged(_matches(_in_buckets(texts.select("doc_id", "text"), buckets, min_words), kind), "matches")
+    matches = met_rows.where("keep_id IS NOT NULL")
+    hot = met_rows.where("keep_id IS NULL")
+    if not hot.isEmpty():
+        # no more than the words of one document
+        spots = hot.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("pos").alias("spots"))
+        again = texts.join(spots, F.col("doc_id") == F.col("id")).select("doc_id", "text", "spots")
+        longer = _matches(_in_buckets(again, buckets, min_words), kind)
+        matches = matches.union(longer.where("keep_id IS NOT NULL"))
     pairs = matches.groupBy("doc_id", "keep_id").agg(
-        # no more than the seeds of one document
-        F.sort_array(F.collect_list(F.struct("pos", "to"))).alias("matches")
+        # no more than HOT for each seed of one document
+        F.collect_list(F.struct("pos", "to")).alias("matches")
     )
-    chained = staged(_chained(pairs, min_words - 2 * (REACH - 1)), "chains")
+    chained = staged(_chained(pairs), "chains")
 
-    margin = K + REACH
+    margin = max(min_words, K + REACH)
     first, last = F.col("links")[0], F.element_at("links", -1)
     key = ["doc_id", "keep_id", "chain"]
     here = chained.select(
@@ -293,18 +521,19 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
     ready = both.join(chained, key)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             rows, ends = [], []
             for row, x in enumerate(batch.select(["lo", "words", "keep_lo", "keep_words", "links"]).to_pylist()):
                 a, b = x["words"].split(), x["keep_words"].split()
                 links = [(m["pos"] - x["lo"], m["to"] - x["keep_lo"]) for m in x["links"]]
-                if links[-1][0] + K > len(a) or links[-1][1] + K > len(b):
-                    continue  # another row of a repeated doc_id
-                i, j, p, q, errors = align(a, b, links)
-                size = max(j - i, q - p)
-                if j - i >= min_words and errors <= (1 - min_identity) * size + 1e-9:
+                # another row of a repeated doc_id, or another run of the same hash
+                links = [(i, j) for i, j in links if a[i : i + K] == b[j : j + K] and i + K <= len(a)]
+                if not links:
+                    continue
+                for i, j, p, q, errors in alike(a, b, links, min_words, min_identity):
                     rows.append(row)
-                    ends.append((i + x["lo"], j + x["lo"], p + x["keep_lo"], q + x["keep_lo"], errors, 1 - errors / size))
+                    identity = 1 - errors / max(j - i, q - p)
+                    ends.append((i + x["lo"], j + x["lo"], p + x["keep_lo"], q + x["keep_lo"], errors, identity))
             at = pa.array(rows, pa.int64())
             ints = [pa.array([e[n] for e in ends], pa.int32()) for n in range(5)]
             columns = [batch.column("doc_id").take(at), ints[0], ints[1], batch.column("keep_id").take(at)]
@@ -312,8 +541,9 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "start_word", "end_word", "keep_id", "keep_start", "keep_end", "edits", "identity"]
-    return ready.mapInArrow(
+    found = ready.mapInArrow(
         compute,
         f"doc_id {kind}, start_word int, end_word int, keep_id {kind}, keep_start int, keep_end int, "
         "edits int, identity double",
     )
+    return _first_likes(found)

@@ -326,6 +326,24 @@ def test_planted_passages(spark):
     }
 
 
+def prose_of(rnd, n):
+    return ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("fragments", [1, 50])
+def test_fragments_do_not_hide_the_whole_passage(spark, fragments):
+    # the smallest doc_ids hold the first 45 words only, of them 50 more than a hot run has places
+    rnd = random.Random(12)
+    whole = prose_of(rnd, 60)
+    texts = [prose_of(rnd, 20) + whole[:45] + prose_of(rnd, 20) for _ in range(fragments)]
+    texts += [prose_of(rnd, 30) + whole + prose_of(rnd, 9), prose_of(rnd, 12) + whole + prose_of(rnd, 30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.keep_id, r.start_word, r.end_word, r.edits) for r in got} == {
+        (fragments + 1, fragments, 12, 72, 0)
+    }
+
+
 # ---- nearest ---------------------------------------------------------------------------------
 
 
