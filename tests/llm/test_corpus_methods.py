@@ -344,6 +344,31 @@ def test_fragments_do_not_hide_the_whole_passage(spark, fragments):
     }
 
 
+def test_near_passages_with_many_edits(spark):
+    # of any passage that has one equal run of 8 words, however short its chain
+    rnd = random.Random(13)
+    rows, planted = [], {}
+    for n in range(40):
+        words = prose_of(rnd, 60)
+        other = list(words)
+        for at in range(rnd.randint(4, 7), 60, 12):
+            other[at] = "changed"
+        rows += [(2 * n, " ".join(prose_of(rnd, 20) + words)), (2 * n + 1, " ".join(other + prose_of(rnd, 30)))]
+        planted[2 * n + 1] = 2 * n
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.keep_id for r in got} == planted
+    assert all(r.edits == 5 and r.end_word - r.start_word == 60 for r in got)
+
+
+def test_bad_gap_does_not_drop_a_good_passage(spark):
+    rnd = random.Random(14)
+    good, line = prose_of(rnd, 60), prose_of(rnd, 9)
+    texts = [good + prose_of(rnd, 40) + line, good + prose_of(rnd, 40) + line]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.keep_id, r.start_word, r.end_word) for r in got] == [(1, 0, 0, 60)]
+
+
 # ---- nearest ---------------------------------------------------------------------------------
 
 
