@@ -78,8 +78,13 @@ def near(a: list[bytes], b: list[bytes]) -> bool:
     return a[same + (len(a) == len(b)) :] == b[same + 1 :]
 
 
+def _text_key() -> Column:
+    """With doc_id it names a row; rows of one doc_id and text have the same lines."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def split_lines(docs: DataFrame) -> DataFrame:
-    """Every line that has a word: doc_id, line_no, words, h, k0 to k3."""
+    """Every line that has a word: doc_id, text_key, line_no, words, h, k0 to k3."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,20 +98,20 @@ def split_lines(docs: DataFrame) -> DataFrame:
                         hashes.append(line_hash(line))
                         keys.append(half_keys(line))
             columns = [
-                batch.column("doc_id").take(pa.array(at, pa.int64())),
+                *(batch.column(c).take(pa.array(at, pa.int64())) for c in ("doc_id", "text_key")),
                 pa.array(numbers, pa.int32()),
                 pa.array(words, pa.int32()),
                 pa.array(hashes, pa.binary()),
                 *(pa.array([k[i] for k in keys], pa.int64()) for i in range(4)),
             ]
             yield pa.RecordBatch.from_arrays(
-                columns, names=["doc_id", "line_no", "words", "h", "k0", "k1", "k2", "k3"]
+                columns, names=["doc_id", "text_key", "line_no", "words", "h", "k0", "k1", "k2", "k3"]
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     halves = ", ".join(f"k{i} long" for i in range(4))
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        compute, f"doc_id {kind}, line_no int, words int, h binary, {halves}"
+    return docs.select("doc_id", _text_key().alias("text_key"), F.col("text").cast("string")).mapInArrow(
+        compute, f"doc_id {kind}, text_key long, line_no int, words int, h binary, {halves}"
     )
 
 
@@ -116,18 +121,18 @@ def _place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
 
 
 def _variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Deletion variants of the ``wanted`` lines (h, first).
+    """Deletion variants of the ``wanted`` lines (h, first, text_key).
 
     Rows h, first, key, gap and, where gap is -1 and key stands for the whole line, its
     words in ``line``.
     """
-    own = wanted.groupBy(F.col("first.doc_id").alias("id")).agg(
-        # no more than the lines of one document
+    own = wanted.groupBy(F.col("first.doc_id").alias("id"), "text_key").agg(
+        # no more than the lines of one text
         F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("lines")
     )
     # the merge join is dealt and split alike at every size
-    rows = docs.select("doc_id", F.col("text").cast("string")).join(
-        own.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id"))
+    rows = docs.select("doc_id", F.col("text").cast("string"), _text_key().alias("key")).join(
+        own.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("text_key"))
     )
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +142,7 @@ def _variants(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 numbers, hashes, keys, gaps, lines = [], [], [], [], []
                 for line in batch.column("lines")[row].as_py():
                     number = line["line_no"]
-                    # another row of this doc_id may have another line here
+                    # another text of this doc_id and key may have another line here
                     if number >= len(split) or line_hash(split[number]) != line["h"]:
                         continue
                     whole, less = deletions(split[number])
@@ -182,7 +187,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """For each distinct line (h, first) with an earlier near one: (h, near_first), the earliest.
+    """For each distinct line (h, first, text_key) with an earlier near one: (h, near_first), the earliest.
 
     Lines that share no half with another line have no near line, and are not expanded.
     The others emit their deletion variants. Lines that lack a word at one place and agree
@@ -193,7 +198,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     halves = distinct.select("h", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).where("key IS NOT NULL")
     shared = halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     meets = halves.join(shared, "key", "left_semi").select("h").distinct()
-    wanted = distinct.select("h", "first").join(meets, "h", "left_semi")
+    wanted = distinct.select("h", "first", "text_key").join(meets, "h", "left_semi")
     # a row that repeats a doc_id repeats its variants, which only finds the same pairs again
     variants = staged(_variants(docs, wanted), "line-variants")
 
@@ -222,25 +227,13 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return _verified(pairs).groupBy("h").agg(F.min("first").alias("near_first"))
 
 
-def line_decisions(docs: DataFrame) -> DataFrame:
-    """What becomes of every line that has a word.
-
-    A line stays if no earlier line, by doc_id (null last) and line number, is equal to
-    it or, for lines of at least ten words, near to it: one word inserted, deleted or
-    replaced, so nine tenths of the words at least agree. Lines are compared by their
-    words with A-Z lower-cased. An earlier line counts whether or not it stays itself.
-
-    Returns doc_id, line_no (from 0, lines end at \\n), words, keep_doc_id, keep_line_no
-    (the earliest near line, else the earliest equal one), distance (0 or 1 words), kept.
-    Lines without a word are no rows and always stay. Null and empty texts have none.
-    Rows that repeat a doc_id are one document: their equal lines at one place stay or go
-    together. An empty table gives an empty result; other columns are not read.
-    """
+def _decisions(docs: DataFrame) -> DataFrame:
+    """:func:`line_decisions` with the text_key and the h of each line."""
     lines = staged(split_lines(docs), "lines")
     keys = [F.min(f"k{i}").alias(f"k{i}") for i in range(4)]
-    distinct = staged(
-        lines.groupBy("h").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), *keys), "distinct-lines"
-    )
+    least = F.min(F.struct(_place().alias("first"), "text_key")).alias("least")
+    distinct = lines.groupBy("h").agg(least, F.count("*").alias("n"), *keys)
+    distinct = staged(distinct.select("h", "least.first", "least.text_key", "n", "k0", "k1", "k2", "k3"), "distinct-lines")
     close = near_lines(docs, distinct)
     fate = (
         distinct.select("h", "first", "n")
@@ -252,12 +245,14 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     place = _place()
     goal = F.coalesce("near_first", "first", place)
     return (
-        lines.select("doc_id", "line_no", "words", "h")
+        lines.select("doc_id", "text_key", "line_no", "words", "h")
         .join(fate, "h", "left")
         .select(
             "doc_id",
+            "text_key",
             "line_no",
             "words",
+            "h",
             goal["doc_id"].alias("keep_doc_id"),
             goal["line_no"].alias("keep_line_no"),
             F.when(F.col("near_first").isNull(), 0).otherwise(1).alias("distance"),
@@ -266,22 +261,40 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     )
 
 
+def line_decisions(docs: DataFrame) -> DataFrame:
+    """What becomes of every line that has a word.
+
+    A line stays if no earlier line, by doc_id (null last) and line number, is equal to
+    it or, for lines of at least ten words, near to it: one word inserted, deleted or
+    replaced, so nine tenths of the words at least agree. Lines are compared by their
+    words with A-Z lower-cased. An earlier line counts whether or not it stays itself.
+
+    Returns doc_id, line_no (from 0, lines end at \\n), words, keep_doc_id, keep_line_no
+    (the earliest near line, else the earliest equal one), distance (0 or 1 words), kept.
+    Lines without a word are no rows and always stay. Null and empty texts have none.
+    Rows that repeat a doc_id are one document: their equal lines at one place stay or go
+    together. An empty table gives an empty result; other columns are not read.
+    """
+    return _decisions(docs).drop("text_key", "h")
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that :func:`line_decisions` lets go, all rows kept.
 
     The other lines stay as they are, in order; n_chars, where there is one, is that of
-    the new text. A null text stays null.
+    the new text. A null text stays null. Rows that share a doc_id, or have none, lose
+    their own lines only.
     """
     gone = (
-        line_decisions(docs)
+        _decisions(docs)
         .where("NOT kept")
-        .select(F.col("doc_id").alias("gone_id"), "line_no")
-        .distinct()
-        .groupBy("gone_id")
-        # no more than the lines of one document
+        .groupBy(F.col("doc_id").alias("gone_id"), "text_key")
+        # no more than the lines of one text
         .agg(F.collect_set("line_no").alias("gone"))
     )
-    joined = packed(docs).join(gone.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("gone_id")), "left")
+    same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("text_key"))
+    keyed = packed(docs).withColumn("key", F.xxhash64(F.col("row.text").cast("string")))
+    joined = keyed.join(gone.hint("merge"), same, "left")
     stays = F.expr("filter(split(row.text, '\n', -1), (x, i) -> NOT array_contains(gone, i))")
     new = {"text": F.array_join(stays, "\n")}
     if "n_chars" in docs.columns:

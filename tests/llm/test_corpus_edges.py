@@ -138,3 +138,19 @@ def test_vectors(spark):
     assert [x[1] for x in sorted(found[100])] == [2, 300, 0]
     assert [x[1] for x in sorted(found[300])] == [0, 0, 1]
     assert nearest_neighbours(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_rows_of_one_id_lose_only_their_own_lines(spark):
+    rows = [
+        (1, "aa bb"), (None, "aa bb\nkeep one"), (None, "unique zero\nkeep two"), (None, None),
+        (3, "aa bb\nkeep three"), (3, "other line\nkeep four"), (4, "x " * 12), (None, "y\n" + "x " * 11 + "z"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in dedup_lines(df).collect()), key=str)
+    assert got == sorted(
+        [
+            (1, "aa bb"), (None, "keep one"), (None, "unique zero\nkeep two"), (None, None),
+            (3, "keep three"), (3, "other line\nkeep four"), (4, "x " * 12), (None, "y"),
+        ],
+        key=str,
+    )
