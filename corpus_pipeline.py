@@ -12,26 +12,32 @@ from kerbline.llm.line_dedup import dedup_lines
 from kerbline.llm.mixing import mix_sources
 from kerbline.llm.packing import pack
 from kerbline.llm.quality import quality_scores
-from kerbline.llm.simhash import simhash_groups
+from kerbline.llm.simhash import component_rows
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is one of ``ids`` (id)."""
+_KEY = "pipeline_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a hash of the whole row, which with doc_id names the row and its copies."""
+    return docs.withColumn(_KEY, F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+
+
+def _own(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` (row, key) joined to those of ``rows`` (id, key) by both."""
+    keyed = packed(docs).select("row", F.xxhash64(*(F.col("row")[c] for c in docs.columns)).alias("key"))
     # the merge join is dealt and split alike at every size
-    return packed(docs).join(ids.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("id")), "left_semi").select("row.*")
+    same = (F.col("key") == F.col(_KEY)) & F.col("row.doc_id").eqNullSafe(F.col("id"))
+    return keyed.join(rows.hint("merge"), same, how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model does not reject.
-
-    The scores are joined back by doc_id, so rows that repeat a doc_id stay if one of
-    them is not rejected.
-    """
-    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
-    stay = scores.where("predicted = 1").select(F.col("doc_id").alias("id")).distinct()
-    return _with_ids(docs, stay)
+    """Documents that the quality model does not reject, each row by its own score."""
+    scores = quality_scores(_keyed(docs), table(spark, sf_dir, "labels"), carry=(_KEY,))
+    stay = scores.where("predicted = 1").select(F.col("doc_id").alias("id"), _KEY)
+    return _own(docs, stay, "left_semi").select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,26 +46,28 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays.
+    """Of each group of near copies the row with the smallest doc_id stays, null last.
 
-    Rows that repeat a doc_id are one document, of which one row stays.
+    Rows that repeat a doc_id, or have none, are copies only if their fingerprints are
+    linked; of rows with the same smallest doc_id that of the smallest hash stays.
     """
-    groups = simhash_groups(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _with_ids(docs, stay.withColumnRenamed("doc_id", "id")).dropDuplicates(["doc_id"])
+    rows = component_rows(_keyed(docs), (_KEY,))
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").alias("id"), F.col(_KEY)))
+    stay = rows.groupBy("root").agg(first.alias("least")).select("least.id", f"least.{_KEY}")
+    # of equal rows it does not matter which one stays; null ids are equal here
+    kept = _own(docs, stay, "left_semi").withColumn("id", F.col("row.doc_id"))
+    return kept.dropDuplicates(["key", "id"]).select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, a part of at least half as a whole.
 
-    Rows that repeat a doc_id are taken as often as all of them together.
+    Rows that are equal in all columns are taken as often as all of them together.
     """
-    mixed = mix_sources(docs).select(
-        F.col("doc_id").alias("id"),
-        (F.col("whole") + (2 * F.col("part") >= F.greatest("size", F.lit(1))).cast("int")).alias("times"),
-    )
-    taken = mixed.where("times > 0").hint("merge")
-    rows = packed(docs).join(taken, F.col("row.doc_id").eqNullSafe(F.col("id")))
+    mixed = mix_sources(_keyed(docs), carry=(_KEY,))
+    due = F.col("whole") + (2 * F.col("part") >= F.greatest("size", F.lit(1))).cast("int")
+    taken = mixed.groupBy(F.col("doc_id").alias("id"), _KEY).agg(F.sum(due).cast("int").alias("times"))
+    rows = _own(docs, taken.where("times > 0"), "inner").dropDuplicates(["key", "id"])
     return rows.withColumn("times", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 

@@ -39,7 +39,8 @@ def water_fill(sources: DataFrame, epochs: int = 3) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, *, epochs: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix-1"
+    docs: DataFrame, *, epochs: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix-1",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """How often each document is taken so that sources meet their target weights.
 
@@ -52,7 +53,8 @@ def mix_sources(
     Returns doc_id, source, size, source_size, target, whole (int), part (words of the
     fractional repetition), taken, and keeps repeated rows. Null texts and texts without
     a word have size 0 and are taken 0 words; an empty table gives an empty result;
-    further columns of ``docs`` are not read. Rows with equal doc_id order by size.
+    of further columns of ``docs`` only ``carry`` are read, and returned. Rows with equal
+    doc_id order by size, then by these.
     """
     seeded = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
     rows = staged(
@@ -63,6 +65,7 @@ def mix_sources(
             F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("key"),
             word_count("text").alias("size"),
             seeded.alias("h"),
+            *carry,
         ).withColumn("slice", F.conv(F.substring("h", 1, 3), 16, 10).cast("int")),
         "mix-rows",
     )
@@ -88,7 +91,7 @@ def mix_sources(
     )
     inside = (
         W.partitionBy("key", "slice")
-        .orderBy("h", F.col("doc_id").asc_nulls_last(), "size")
+        .orderBy("h", F.col("doc_id").asc_nulls_last(), "size", *carry)
         .rowsBetween(W.unboundedPreceding, -1)
     )
     room = F.col("rest") - F.col("before") - F.col("inside")
@@ -105,6 +108,7 @@ def mix_sources(
             "whole",
             "part",
             (F.col("whole") * F.col("size") + F.col("part")).alias("taken"),
+            *carry,
         )
     )
 

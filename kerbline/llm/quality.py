@@ -223,23 +223,25 @@ def fit_additive(
 # ---- on Spark ------------------------------------------------------------------------
 
 
-def text_features(docs: DataFrame) -> DataFrame:
-    """(doc_id, x) with the numbers of every whole text."""
+def text_features(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, x) with the numbers of every whole text, and the columns ``carry``."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [features(t.as_py()) for t in batch.column("text").cast(pa.binary())]
             numbers = pa.array(x, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), numbers], names=["doc_id", "x"])
+            own = [batch.column(c) for c in ("doc_id", *carry)]
+            yield pa.RecordBatch.from_arrays([*own, numbers], names=["doc_id", *carry, "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select("doc_id", F.col("text").cast("string"))
-    return source.mapInArrow(compute, f"doc_id {kind}, x array<double>")
+    further = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    source = docs.select("doc_id", *carry, F.col("text").cast("string"))
+    return source.mapInArrow(compute, f"doc_id {kind}, {further}x array<double>")
 
 
 def quality_scores(
     docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds: int = 3, fold: int = 1,
-    learn_rows: int = _LEARN_ROWS,
+    learn_rows: int = _LEARN_ROWS, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Quality of every whole text: doc_id, held_out, score (0 to 1), predicted (0 or 1).
 
@@ -248,9 +250,10 @@ def quality_scores(
     column than text and doc_id is read, and doc_id only picks the rows. Null and empty
     texts are scored like a text without words. Without usable labels every score is the
     smoothed share of label 1 (0.5 without any). One row per row of ``docs``, repeated
-    rows and null doc_ids included; an empty table gives an empty result.
+    rows and null doc_ids included, with the columns ``carry`` of it; an empty table gives
+    an empty result.
     """
-    numbers = staged(text_features(docs), "quality-features")
+    numbers = staged(text_features(docs, carry), "quality-features")
     sample = learning_sample(numbers, labels, label, folds, fold, learn_rows)
     rows = sample.orderBy("doc_id").select("x", "label").collect()
     x = np.array([r.x for r in rows], np.float64).reshape(len(rows), len(FEATURES))
@@ -261,8 +264,10 @@ def quality_scores(
             flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
             p = model.probability(flat.reshape(batch.num_rows, len(FEATURES)))
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted"])
+            columns += [batch.column(c) for c in carry]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted", *carry])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
+    further = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     marked = numbers.withColumn("held_out", held_out(folds, fold))
-    return marked.mapInArrow(score, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return marked.mapInArrow(score, f"doc_id {kind}, held_out boolean, score double, predicted int{further}")

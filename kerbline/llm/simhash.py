@@ -42,17 +42,20 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *carry, fp) of every row; fp is the fingerprint as a signed long."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             fps = np.array([fingerprint(t.as_py()) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+            own = [batch.column(c) for c in ("doc_id", *carry)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(fps)], names=["doc_id", *carry, "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(compute, f"doc_id {kind}, fp long")
+    further = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    source = docs.select("doc_id", *carry, F.col("text").cast("string"))
+    return source.mapInArrow(compute, f"doc_id {kind}, {further}fp long")
 
 
 # ---- the trie self-join --------------------------------------------------------------
@@ -213,6 +216,31 @@ def near_links(fps: DataFrame, budget: int = 3, per_task: int = _PER_TASK) -> Da
     )
 
 
+def _components(docs: DataFrame, budget: int, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and for each fp its component: (fp, root, component_id)."""
+    prints = staged(fingerprints(docs, carry), "fingerprints")
+    first = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    joined = components(near_links(first.select("fp"), budget))
+    # one row per fingerprint that has a neighbour, the root included
+    ends = joined.select(F.col("node").alias("fp"), "root").union(
+        joined.select(F.col("root").alias("fp"), "root").distinct()
+    )
+    smallest = ends.join(first, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
+    linked = ends.join(smallest, "root").select("fp", "root", "component_id")
+    component = first.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first_id").alias("component_id")
+    )
+    # a table of its own, so that the last join deals both sides anew and can split a hot fp
+    component = staged(component, "fingerprint-components")
+    return prints, component
+
+
+def component_rows(docs: DataFrame, carry: tuple[str, ...], budget: int = 3) -> DataFrame:
+    """(doc_id, *carry, root) of every row; root names the component, also without a doc_id."""
+    prints, component = _components(docs, budget, carry)
+    return prints.join(component.select("fp", "root"), "fp").select("doc_id", *carry, "root")
+
+
 def simhash_groups(docs: DataFrame, budget: int = 3) -> DataFrame:
     """Near-duplicate groups: (doc_id, fp, fingerprint, component_id), one row per row.
 
@@ -226,20 +254,7 @@ def simhash_groups(docs: DataFrame, budget: int = 3) -> DataFrame:
 
     Only distinct fingerprints are joined, so copies cost one aggregate.
     """
-    prints = staged(fingerprints(docs), "fingerprints")
-    first = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    joined = components(near_links(first.select("fp"), budget))
-    # one row per fingerprint that has a neighbour, the root included
-    ends = joined.select(F.col("node").alias("fp"), "root").union(
-        joined.select(F.col("root").alias("fp"), "root").distinct()
-    )
-    smallest = ends.join(first, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = ends.join(smallest, "root").select("fp", "component_id")
-    component = first.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id")
-    )
-    # a table of its own, so that the last join deals both sides anew and can split a hot fp
-    component = staged(component, "fingerprint-components")
+    prints, component = _components(docs, budget)
     return prints.join(component, "fp", "left").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

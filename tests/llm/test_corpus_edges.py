@@ -154,3 +154,31 @@ def test_rows_of_one_id_lose_only_their_own_lines(spark):
         ],
         key=str,
     )
+
+
+def test_pipeline_rows_without_an_own_id(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
+    rows = [(None, texts[0], "s"), (None, texts[1], "s"), (None, texts[1], "s"), (7, texts[2], "s"), (7, texts[3], "t")]
+    rows += [(8, texts[4], "s"), (9, texts[4], "t"), (9, texts[5], "t"), (None, texts[5], "u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_dedup(spark, df, "").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[i] for i in (0, 1, 3, 4, 5, 7)], key=str)
+    # no row is multiplied by another row of its doc_id
+    mixed = corpus_pipeline.mix(spark, df, "")
+    due = mix_sources(df).selectExpr("sum(whole + int(2 * part >= greatest(size, 1)))").first()[0]
+    assert mixed.count() == due
+
+
+def test_quality_stage_decides_by_row(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    def scored(docs, labels, carry=()):
+        return docs.select("doc_id", F.col("text").startswith("good").cast("int").alias("predicted"), *carry)
+
+    monkeypatch.setattr(corpus_pipeline, "quality_scores", scored)
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(1, "good a"), (1, "bad b"), (None, "good c"), (None, "bad d"), (2, "bad e")]
+    got = corpus_pipeline.quality(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
