@@ -4,6 +4,7 @@ import glob
 import hashlib
 import os
 import random
+import textwrap
 
 import duckdb
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from kerbline.llm.common import components
 from kerbline.llm.exact_dedup import build_filter, exact_dedup, passes
-from kerbline.llm.licences import licence_paragraphs
+from kerbline.llm.licences import TEMPLATES, licence_paragraphs
 from kerbline.llm.line_dedup import deletions, half_keys, line_decisions, near
 from kerbline.llm.mixing import mix_sources, water_fill
 from kerbline.llm.nearest import nearest_neighbours
@@ -269,6 +270,26 @@ def test_licences_and_prose(spark):
     }
 
 
+def test_wrapped_notices(spark):
+    def wrapped(text, width, mark):
+        return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+    notices = {f: max(TEMPLATES[f], key=len) for f in ("MIT", "GPL", "BSD")}
+    rows, want = [], set()
+    for n, (family, notice) in enumerate(notices.items()):
+        for mark, width in (("# ", 50), (" * ", 70), ("", 60)):
+            body = wrapped(notice, width, mark)
+            doc_id = len(rows)
+            rows.append((doc_id, f"int a{n};\n\n{body}\n\nint main() {{}}"))
+            want.add((doc_id, 2, 1 + len(body.split("\n")), family))
+    rows.append((99, "the people of the city\nwent to the library and\nwere free to read there"))
+    got = licence_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.family) for r in got} == {(d, f) for d, _, _, f in want}
+    # whole notices, but for lines that add no pair
+    assert all(r.likeness > 0.9 and r.last_line > r.paragraph for r in got)
+    assert {(r.doc_id, r.paragraph) for r in got} == {w[:2] for w in want} and len(got) == len(want)
+
+
 # ---- passages --------------------------------------------------------------------------------
 
 
