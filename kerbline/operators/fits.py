@@ -280,6 +280,13 @@ def fit_pool(
     after ``max_rounds`` is an error.
     """
     sums = cut(pooled_sums(df, span, t0, key=key, time=time, value=value))
+    return settled_pool(sums, key=key, max_rounds=max_rounds, tol=tol)
+
+
+def settled_pool(
+    sums: DataFrame, *, key: str, max_rounds: int = 300, tol: float = 1e-7
+) -> tuple[Pool, DataFrame]:
+    """:func:`fit_pool` on the sums per key of :func:`pooled_sums`."""
     start = sums.agg(
         F.sum("n"), F.sum("sy"), F.sum("syy"), F.avg(F.col("sy") / F.col("n")),
         F.stddev_pop(F.col("sy") / F.col("n")),
