@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
+import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -19,7 +20,6 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from . import lloyd
 from .blocks import knn_classify
 from .evaluate import mean_silhouette, regression_scores, silhouettes
 from .projection import quoted
@@ -188,18 +189,23 @@ def cluster_sweep(
 
     ``exact=True`` compares every row with every other, which is quadratic.
     """
+    if not exact and start == "random":
+        # all numbers of clusters and restarts side by side
+        board = lloyd.cluster_sweep(df, ks, key=key, features=features, restarts=restarts, seed=seed)
+        return board.select("k", "silhouette")
     table = cut(df.select(key, features))
-    centroid = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
     rows = []
     for k in ks:
         model = cluster(table, k, features=features, restarts=restarts, seed=seed, start=start)
+        if not exact:
+            found = lloyd.Centres(k, np.array(model.clusterCenters()), model.summary.trainingCost, 0)
+            points = table.select(vector_to_array(features).alias("x"))
+            rows += zip([k], lloyd.centroid_silhouettes(points, [found]))
+            continue
         labelled = model.transform(table)
-        if exact:
-            arrays = labelled.select(key, vector_to_array(features).alias("_x"), "cluster")
-            scores = silhouettes(arrays, key=key, vector="_x", cluster="cluster")
-            rows.append((k, mean_silhouette(scores).first()[0]))
-        else:
-            rows.append((k, centroid.evaluate(labelled)))
+        arrays = labelled.select(key, vector_to_array(features).alias("_x"), "cluster")
+        scores = silhouettes(arrays, key=key, vector="_x", cluster="cluster")
+        rows.append((k, mean_silhouette(scores).first()[0]))
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
