@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     composites,
     joining,
     learning,
+    modelling,
     projecting,
     properties,
     scoring,
