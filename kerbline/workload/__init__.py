@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     aggregation,
     cleaning,
     cells,
+    checks,
     composites,
     joining,
     learning,
