@@ -22,6 +22,7 @@ _GAP_COST = 0.1  # of a match, for each word by which a chain moves on, both tex
 _TURN = np.uint64(0x9E3779B97F4A7C15)
 _BUCKET_CHARS = 1 << 23  # of text, whose seeds meet in one bucket
 _FLUSH = 1 << 20  # seeds that a task holds before it deals them to the buckets
+_ASKED = 1024  # spans of one document that are cut in one visit of its text
 _SEED_BYTES = 5  # of a hash that are kept; matches are compared word by word in the end
 
 
@@ -431,26 +432,49 @@ def _first_likes(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(compute, found.schema)
 
 
-def _slices(requests: DataFrame, schema: str) -> DataFrame:
-    """Words ``lo`` to ``hi`` of the texts that were joined to ``requests``, for ``text``."""
+def _slices(texts: DataFrame, requests: DataFrame) -> DataFrame:
+    """Words ``lo`` to ``hi`` of the text of ``id`` for each row of ``requests``.
+
+    A text travels once for every _ASKED requests, ahead of them, and is split into words
+    once; a document that very many ask for is so dealt to several tasks. Of rows that
+    repeat an id the one with the smallest hash of its text is read.
+    """
+    # a table of its own, so that the joins deal both sides anew and can split a hot id
+    asked = staged(requests.groupBy("id").agg(F.ceil(F.count("*") / _ASKED).cast("int").alias("slices")), "asked")
+    own = [c for c in requests.columns if c != "id"]
+    told = requests.join(asked, "id").select(
+        "id", F.pmod(F.xxhash64(*own), "slices").cast("int").alias("slice"), F.lit(1).alias("kind"),
+        F.lit(0).cast("long").alias("order"), *own, F.lit(None).cast("string").alias("text"),
+    )
+    read = texts.join(asked, "id").select(
+        "id", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("kind"),
+        F.xxhash64("text").alias("order"),
+        *[F.lit(None).cast(requests.schema[c].dataType).alias(c) for c in own], "text",
+    )
+    place = ["id", "slice", "kind", "order"]
+    dealt = told.union(read).repartition("id", "slice").sortWithinPartitions(*place)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, words = object(), []
-        for batch in batches:
-            cut = []
-            ids = batch.column("id").to_pylist()
-            spans = zip(batch.column("lo").to_pylist(), batch.column("hi").to_pylist(), strict=True)
-            for row, (lo, hi) in enumerate(spans):
-                # a document that many ask for comes in consecutive rows
-                if ids[row] != last:
-                    last, words = ids[row], words_of(batch.column("text")[row].cast(pa.binary()).as_py())
-                cut.append(b" ".join(words[lo:hi]))
-            kept = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in kept), pa.array(cut, pa.binary())], names=[*kept, "words"]
-            )
-
-    return requests.mapInArrow(compute, schema)
+        last, words = None, []
+        for whole in batches:
+            for batch in _parts([whole]):
+                cut, rows = [], []
+                columns = (batch.column(c).to_pylist() for c in ("id", "slice", "kind", "lo", "hi"))
+                for row, (name, slice_, kind, lo, hi) in enumerate(zip(*columns, strict=True)):
+                    if kind:
+                        rows.append(row)
+                        cut.append(b" ".join(words[lo:hi]))
+                    elif (name, slice_) != last:
+                        last = name, slice_
+                        words = words_of(batch.column("text")[row].cast(pa.binary()).as_py())
+                at = pa.array(rows, pa.int64())
+                kept = ["id", *own]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(n).take(at) for n in kept), pa.array(cut, pa.binary())], names=[*kept, "words"]
+                )
+
+    fields = ", ".join(f"{c} {requests.schema[c].dataType.simpleString()}" for c in requests.columns)
+    return dealt.select("id", "slice", "kind", *own, "text").mapInArrow(compute, f"{fields}, words binary")
 
 
 def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
@@ -506,11 +530,7 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
         F.col("keep_id").alias("id"), *key, F.lit(1).alias("side"),
         F.greatest(F.lit(0), first["to"] - margin).alias("lo"), (last["to"] + K + margin).alias("hi"),
     )
-    asked = texts.withColumnRenamed("doc_id", "id").join(here.union(there).hint("merge"), "id")
-    fields = f"id {kind}, doc_id {kind}, keep_id {kind}, chain int, side int, lo int, hi int"
-    cut = _slices(
-        asked.select("id", *key, "side", "lo", "hi", "text"), f"{fields}, words binary"
-    )
+    cut = _slices(texts.withColumnRenamed("doc_id", "id"), here.union(there))
     own = F.col("side") == 0
     both = cut.groupBy(key).agg(
         F.max(F.when(own, F.col("lo"))).alias("lo"),
