@@ -13,7 +13,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -31,11 +30,9 @@ class Line:
     intercept: float
 
     def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
-        @F.pandas_udf("double")
-        def value(x: pd.Series) -> pd.Series:
-            return pd.Series(np.stack(x.to_numpy()) @ self.coefficients + self.intercept if len(x) else [], dtype="float64")
-
-        return df.withColumn("prediction", value(vector_to_array(features)))
+        weights = F.array(*[F.lit(float(w)) for w in self.coefficients])
+        parts = F.zip_with(vector_to_array(features), weights, lambda x, w: x * w)
+        return df.withColumn("prediction", F.aggregate(parts, F.lit(float(self.intercept)), lambda total, x: total + x))
 
 
 @dataclass(frozen=True)

@@ -62,15 +62,21 @@ def month_ratio(
     time: str,
     value: str,
     out: str = "ratio",
+    count: str | None = None,
 ) -> DataFrame:
     """Mean of one month over the mean of the comparison months, keys with both only.
 
-    The comparison months end before the month of ``end``.
+    The comparison months end before the month of ``end``. With ``count`` a row stands for
+    so many, ``value`` is their sum, and ``time`` any day of their month.
     """
     first, last = month_window(start, end)
     m = f"{month[:7]}-01"
-    latest = F.avg(in_span(value, time, (m, _month_end(m))))
-    usual = F.avg(in_span(value, time, (first, last)))
+
+    def mean(span: tuple[str, str]) -> Column:
+        v = in_span(value, time, span)
+        return F.try_divide(F.sum(v), F.sum(in_span(count, time, span))) if count else F.avg(v)
+
+    latest, usual = mean((m, _month_end(m))), mean((first, last))
     wanted = within(time, m, _month_end(m)) | within(time, first, last)
     return (
         df.where(wanted)
@@ -81,9 +87,11 @@ def month_ratio(
     )
 
 
-def risk_labels(df: DataFrame, month: str, start: str, end: str, *, key, time, value) -> DataFrame:
+def risk_labels(
+    df: DataFrame, month: str, start: str, end: str, *, key, time, value, count: str | None = None
+) -> DataFrame:
     """Quartile label of the month ratio; the key stays with its label."""
-    table = month_ratio(df, month, start, end, key=key, time=time, value=value)
+    table = month_ratio(df, month, start, end, key=key, time=time, value=value, count=count)
     return quantile_label(table, "ratio", key=key).select(key, "ratio", "label")
 
 

@@ -19,7 +19,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from . import lloyd
+from . import gram, lloyd
 from .blocks import knn_classify
 from .evaluate import mean_silhouette, regression_scores, silhouettes
 from .projection import quoted
@@ -164,8 +164,16 @@ def cluster(
     tol: float = 1e-2,
     seed: int = 0,
     start: str = "random",
-) -> KMeansModel:
-    """K-means from ``random`` or spread-out (``k-means||``) starts; the lowest cost wins."""
+) -> lloyd.Centres:
+    """K-means from ``random`` or spread-out (``k-means||``) starts; the lowest cost wins.
+
+    All restarts from random rows run side by side.
+    """
+    if start == "random":
+        runs = lloyd.lloyd_runs(
+            df, [k], features=features, restarts=restarts, max_iter=max_iter, tol=tol, seed=seed
+        )
+        return lloyd.best_runs(runs)[k]
     kept = df.select(features).persist()
     try:
         best = None
@@ -176,7 +184,8 @@ def cluster(
             ).fit(kept)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
-        return best
+        centres = np.array(best.clusterCenters())
+        return lloyd.Centres(k, centres, best.summary.trainingCost, best.summary.numIter, features)
     finally:
         kept.unpersist()
 
@@ -198,9 +207,8 @@ def cluster_sweep(
     for k in ks:
         model = cluster(table, k, features=features, restarts=restarts, seed=seed, start=start)
         if not exact:
-            found = lloyd.Centres(k, np.array(model.clusterCenters()), model.summary.trainingCost, 0)
             points = table.select(vector_to_array(features).alias("x"))
-            rows += zip([k], lloyd.centroid_silhouettes(points, [found]))
+            rows += zip([k], lloyd.centroid_silhouettes(points, [model]))
             continue
         labelled = model.transform(table)
         arrays = labelled.select(key, vector_to_array(features).alias("_x"), "cluster")
@@ -447,6 +455,10 @@ def grid_search(
     """Cross-validate a grid, then fit the best setting on all rows."""
     options = expand(grid)
     df = cut(df)
+    if make is ridge and score is r2_of:
+        # all penalties and folds from one pass over the rows
+        board, line = gram.ridge_board(df, [p["alpha"] for p in options], key=key, folds=folds)
+        return line, options[board.first()["candidate"]], board
     named = [(make.__name__, make, p) for p in options]
     board = cross_validate(df, named, key=key, folds=folds, score=score, parallelism=parallelism)
     best = options[board.first()["candidate"]]

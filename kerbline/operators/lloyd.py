@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -18,20 +18,25 @@ from .passes import added_up, matrix
 
 @dataclass(frozen=True)
 class Centres:
-    """The centres of one run, what it costs, and the rounds it took."""
+    """The centres of one run, what it costs, and the rounds it took; ``out`` names the cluster."""
 
     k: int
     centres: np.ndarray
     cost: float
     rounds: int
+    features: str = "features"
+    out: str = "cluster"
 
-    def transform(self, df: DataFrame, features: str = "features", out: str = "cluster") -> DataFrame:
+    def named(self, out: str) -> Centres:
+        return replace(self, out=out)
+
+    def transform(self, df: DataFrame) -> DataFrame:
         @F.pandas_udf("int")
         def nearest(x: pd.Series) -> pd.Series:
             found = _squares(np.stack(x.to_numpy()), self.centres).argmin(axis=1) if len(x) else []
             return pd.Series(found, dtype="int32")
 
-        return df.withColumn(out, nearest(vector_to_array(features)))
+        return df.withColumn(self.out, nearest(vector_to_array(self.features)))
 
 
 def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -40,31 +45,40 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(apart, 0)
 
 
-def random_starts(table: DataFrame, ks: Sequence[int], restarts: int, *, key: str, seed: int = 0) -> list[np.ndarray]:
-    """For each k and restart k different rows, those of the smallest seeded key hashes.
+def random_starts(
+    table: DataFrame, ks: Sequence[int], restarts: int, *, key: str | None = None, seed: int = 0
+) -> list[np.ndarray]:
+    """For each k and restart k different vectors, those of the smallest seeded hashes of the
+    key, or of the vector where there is none.
 
     All runs are drawn together; the driver gets some rows more than the largest k for each
     restart, whatever the size of the table. Runs of one restart share their first rows.
     """
     most = max(ks)
+    named = F.col(key) if key else F.col("x")
     salted = F.explode(F.array(*[
-        F.struct(F.lit(r).alias("restart"), F.xxhash64(F.lit(seed), F.lit(r), F.col(key)).alias("h")) for r in range(restarts)
+        F.struct(F.lit(r).alias("restart"), F.xxhash64(F.lit(seed), F.lit(r), named).alias("h")) for r in range(restarts)
     ]))
-    rows = table.select("x", F.col(key).alias("key"), salted.alias("s")).select("x", "key", "s.*")
-    # hashes spread evenly, so a share of their range holds the smallest ones with room to spare
-    share = min(1.0, (8.0 * most + 64) / max(1, table.count()))
-    few = rows.where(F.col("h") <= min(2**63 - 1, int(-(2**63) + share * 2**64)))
-    found: dict[int, list] = {}
-    for row in few.orderBy("restart", "h", "key").collect():
-        found.setdefault(row["restart"], []).append(row["x"])
-    picked = [found.get(r, []) for r in range(restarts)]
-    if any(len(p) < most for p in picked):
-        raise ValueError(f"fewer than {most} rows to start from")
-    return [np.array(p[:k], float) for k in ks for p in picked]
+    rows = table.select("x", salted.alias("s")).select("x", "s.*")
+    n = table.count()
+    # hashes spread evenly, so a share of their range holds the smallest ones with room to
+    # spare; equal vectors may need more of it
+    share = min(1.0, (8.0 * most + 64) / max(1, n))
+    while True:
+        few = rows.where(F.col("h") <= min(2**63 - 1, int(-(2**63) + share * 2**64)))
+        found: dict[int, list] = {r: [] for r in range(restarts)}
+        for row in few.orderBy("restart", "h", "x").collect():
+            if row["x"] not in found[row["restart"]] and len(found[row["restart"]]) < most:
+                found[row["restart"]].append(row["x"])
+        if all(len(p) == most for p in found.values()):
+            return [np.array(p[:k], float) for k in ks for p in found.values()]
+        if share == 1.0:
+            raise ValueError(f"fewer than {most} different rows to start from")
+        share = min(1.0, 8 * share)
 
 
 def lloyd_runs(
-    df: DataFrame, ks: Sequence[int], *, key: str, features: str = "features", restarts: int = 10,
+    df: DataFrame, ks: Sequence[int], *, key: str | None = None, features: str = "features", restarts: int = 10,
     max_iter: int = 50, tol: float = 1e-2, seed: int = 0, starts: Sequence[np.ndarray] | None = None,
 ) -> list[Centres]:
     """Lloyd's rounds of every k and restart side by side, in the order of ``ks``.
@@ -73,8 +87,14 @@ def lloyd_runs(
     clusters. A run settles when no centre moves by more than ``tol``, or after
     ``max_iter`` rounds, and drops out; a centre without rows stays where it is.
     """
-    table = cut(df.select(F.col(key), vector_to_array(features).cast("array<double>").alias("x")))
-    return _runs(table, ks, key, restarts, max_iter, tol, seed, starts)
+    table = cut(_vectors(df, key, features))
+    runs = _runs(table, ks, key, restarts, max_iter, tol, seed, starts)
+    return [replace(r, features=features) for r in runs]
+
+
+def _vectors(df: DataFrame, key: str | None, features: str) -> DataFrame:
+    own = [F.col(key)] if key else []
+    return df.select(*own, vector_to_array(features).cast("array<double>").alias("x"))
 
 
 def _runs(table, ks, key, restarts, max_iter, tol, seed, starts) -> list[Centres]:
@@ -180,7 +200,7 @@ def cluster_sweep(
     max_iter: int = 50, tol: float = 1e-2,
 ) -> DataFrame:
     """(k, cost, rounds, silhouette) of the cheapest of ``restarts`` runs for each k."""
-    table = cut(df.select(F.col(key), vector_to_array(features).cast("array<double>").alias("x")))
+    table = cut(_vectors(df, key, features))
     runs = best_runs(_runs(table, ks, key, restarts, max_iter, tol, seed, None))
     scores = centroid_silhouettes(table, [runs[k] for k in ks])
     rows = [(k, runs[k].cost, runs[k].rounds, s) for k, s in zip(ks, scores, strict=True)]

@@ -81,12 +81,14 @@ SELECT key, {R('ratio')} AS ratio, (ratio > q0)::INT + (ratio > q1)::INT + (rati
 FROM k, e""",
 )
 def w06(spark, sf):
-    orders, customers = table(spark, sf, "orders"), table(spark, sf, "customer")
-    rows = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-        F.col("c_nationkey").alias("key"), "o_orderdate", "o_totalprice"
+    # orders shrink to months of customers before they meet the customer table
+    months = table(spark, sf, "orders").groupBy("o_custkey", F.trunc("o_orderdate", "month").alias("month")).agg(
+        F.sum("o_totalprice").alias("total"), F.count("o_totalprice").alias("n")
     )
+    customers = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("key"))
+    rows = months.join(customers, months.o_custkey == customers.c_custkey)
     out = groups.risk_labels(
-        rows, "2001-03", "2000-03", "2001-02", key="key", time="o_orderdate", value="o_totalprice"
+        rows, "2001-03", "2000-03", "2001-02", key="key", time="month", value="total", count="n"
     )
     return out.select("key", tidy("ratio").alias("ratio"), "label")
 

@@ -398,7 +398,7 @@ def d03(spark, sf):
     names = ["key", "slope", "intercept", "slope_shift", "intercept_shift"]
     by_line = learning.cluster(ready, 3).transform(ready).select(*names, "cluster")
     moved = learning.assemble(by_line, ["slope_shift", "intercept_shift"])
-    model = learning.cluster(moved, 3).setPredictionCol("shift_cluster")
+    model = learning.cluster(moved, 3).named("shift_cluster")
     return model.transform(moved).select(*names, "cluster", "shift_cluster")
 
 

@@ -47,7 +47,7 @@ def m02_nearest(spark, sf):
     """Rows that another centre is nearer to than the one of their cluster."""
     rows = embedding_vectors(spark, sf)
     model = learning.cluster(rows, 3)
-    centres = [[float(v) for v in centre] for centre in model.clusterCenters()]
+    centres = [[float(v) for v in centre] for centre in model.centres]
 
     def apart(centre: list[float]) -> Column:
         gaps = F.zip_with("_x", F.lit(centre), lambda a, b: (a - b) * (a - b))

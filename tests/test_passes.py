@@ -72,6 +72,16 @@ def test_centroid_silhouettes_as_the_evaluator(spark):
         lloyd.lloyd_runs(df.limit(2), [3], key="key")
 
 
+def test_starts_are_different_vectors(spark):
+    x = np.array([[0.0, 0.0]] * 400 + [[float(i), 1.0] for i in range(5)])
+    table = vectors(spark, x).select("key", "x")
+    for key in ("key", None):
+        for start in lloyd.random_starts(table, [4, 6], 3, key=key):
+            assert len(np.unique(start, axis=0)) == len(start)
+    with pytest.raises(ValueError):
+        lloyd.random_starts(table, [7], 2)
+
+
 @pytest.fixture(scope="module")
 def table():
     rng = np.random.default_rng(3)
