@@ -350,7 +350,10 @@ def alike(
 
 # ---- on Spark ------------------------------------------------------------------------
 
-_LINKS = "array<struct<pos:int,to:int>>"
+# a match in one number, the place here above 32 bits and the place there below; an array
+# of numbers takes a quarter of the bytes of an array of structs
+_LINKS = "array<long>"
+_LOW = (1 << 32) - 1
 
 
 def thinned(rows: np.ndarray, pos: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -384,7 +387,8 @@ def _chained(pairs: DataFrame) -> DataFrame:
             matches = batch.column("matches")
             flat, counts = matches.flatten(), pc.list_value_length(matches).to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(batch.num_rows), counts)
-            pos, to = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+            both = flat.to_numpy(zero_copy_only=False)
+            pos, to = both >> 32, both & _LOW
             kept = thinned(owner, pos, to)
             ends = np.searchsorted(owner[kept], np.arange(batch.num_rows + 1))
             pos, to = pos[kept].tolist(), to[kept].tolist()
@@ -394,11 +398,10 @@ def _chained(pairs: DataFrame) -> DataFrame:
                 for number, links in enumerate(chains(mine)):
                     rows.append(row)
                     numbers.append(number)
-                    found.append([{"pos": p, "to": q} for p, q in links])
+                    found.append([p << 32 | q for p, q in links])
             at = pa.array(rows, pa.int64())
-            kind = pa.list_(pa.struct([("pos", pa.int32()), ("to", pa.int32())]))
             columns = [batch.column("doc_id").take(at), batch.column("keep_id").take(at)]
-            columns += [pa.array(numbers, pa.int32()), pa.array(found, kind)]
+            columns += [pa.array(numbers, pa.int32()), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "keep_id", "chain", "links"])
 
     kind = pairs.schema["doc_id"].dataType.simpleString()
@@ -515,20 +518,22 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
         matches = matches.union(longer.where("keep_id IS NOT NULL"))
     pairs = matches.groupBy("doc_id", "keep_id").agg(
         # no more than HOT for each seed of one document
-        F.collect_list(F.struct("pos", "to")).alias("matches")
+        F.collect_list(F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("to").cast("long"))).alias("matches")
     )
     chained = staged(_chained(pairs), "chains")
 
     margin = max(min_words, K + REACH)
-    first, last = F.col("links")[0], F.element_at("links", -1)
+    ends = {"first": F.col("links")[0], "last": F.element_at("links", -1)}
+    pos = {k: F.shiftright(v, 32).cast("int") for k, v in ends.items()}
+    to = {k: v.bitwiseAND(F.lit(_LOW)).cast("int") for k, v in ends.items()}
     key = ["doc_id", "keep_id", "chain"]
     here = chained.select(
         F.col("doc_id").alias("id"), *key, F.lit(0).alias("side"),
-        F.greatest(F.lit(0), first["pos"] - margin).alias("lo"), (last["pos"] + K + margin).alias("hi"),
+        F.greatest(F.lit(0), pos["first"] - margin).alias("lo"), (pos["last"] + K + margin).alias("hi"),
     )
     there = chained.select(
         F.col("keep_id").alias("id"), *key, F.lit(1).alias("side"),
-        F.greatest(F.lit(0), first["to"] - margin).alias("lo"), (last["to"] + K + margin).alias("hi"),
+        F.greatest(F.lit(0), to["first"] - margin).alias("lo"), (to["last"] + K + margin).alias("hi"),
     )
     cut = _slices(texts.withColumnRenamed("doc_id", "id"), here.union(there))
     own = F.col("side") == 0
@@ -545,7 +550,7 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
             rows, ends = [], []
             for row, x in enumerate(batch.select(["lo", "words", "keep_lo", "keep_words", "links"]).to_pylist()):
                 a, b = x["words"].split(), x["keep_words"].split()
-                links = [(m["pos"] - x["lo"], m["to"] - x["keep_lo"]) for m in x["links"]]
+                links = [((m >> 32) - x["lo"], (m & _LOW) - x["keep_lo"]) for m in x["links"]]
                 # another row of a repeated doc_id, or another run of the same hash
                 links = [(i, j) for i, j in links if a[i : i + K] == b[j : j + K] and i + K <= len(a)]
                 if not links:
