@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +21,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that its lineage ends there."""
+# paths of staged tables, by the scratch blocks they were made in, the innermost last
+_SCRATCH: list[list[str]] = []
+
+
+def staged(df: DataFrame, name: str, *, outlives: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that its lineage ends there.
+
+    In a :func:`scratch` block the table goes with the block, or, if it ``outlives`` it,
+    with the block around it.
+    """
     path = staging_path(df.sparkSession, name)
+    level = len(_SCRATCH) - 1 - outlives
+    if level >= 0:
+        _SCRATCH[level].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end, but for those that outlive the block.
+
+    Whatever is still to be read must be staged so, since a DataFrame is not read before
+    it is asked for. Blocks are opened by the driver, one inside the other.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def packed(df: DataFrame) -> DataFrame:
     """The rows of ``df`` as one struct column ``row``, so that no name of theirs can clash."""
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))

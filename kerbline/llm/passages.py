@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import scratch, staged
 
 K = 8  # words of a seed
 REACH = 14  # words between the matches that are kept of an equal run
@@ -23,6 +23,7 @@ _TURN = np.uint64(0x9E3779B97F4A7C15)
 _BUCKET_CHARS = 1 << 23  # of text, whose seeds meet in one bucket
 _FLUSH = 1 << 20  # seeds that a task holds before it deals them to the buckets
 _ASKED = 1024  # spans of one document that are cut in one visit of its text
+Visit = Callable[[pa.RecordBatch, list[list[bytes]]], pa.RecordBatch]
 _SEED_BYTES = 5  # of a hash that are kept; matches are compared word by word in the end
 
 
@@ -435,19 +436,24 @@ def _first_likes(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(compute, found.schema)
 
 
-def _slices(texts: DataFrame, requests: DataFrame) -> DataFrame:
-    """Words ``lo`` to ``hi`` of the text of ``id`` for each row of ``requests``.
+def _asked(chained: DataFrame, name: str) -> DataFrame:
+    """(id, slices): how often the text of each ``name`` has to travel, once for _ASKED chains."""
+    counts = chained.groupBy(F.col(name).alias("id")).agg(F.ceil(F.count("*") / _ASKED).cast("int").alias("slices"))
+    # a table of its own, so that the joins deal both sides anew and can split a hot id
+    return staged(counts, "asked")
+
+
+def _at_texts(texts: DataFrame, asked: DataFrame, requests: DataFrame, visit: Visit, fields: str) -> DataFrame:
+    """What ``visit`` makes of batches of ``requests`` (id, slice, ...) and the words of their texts.
 
-    A text travels once for every _ASKED requests, ahead of them, and is split into words
-    once; a document that very many ask for is so dealt to several tasks. Of rows that
+    A text travels once for every slice of its requests, ahead of them, and is split into
+    words once; a document that very many ask for is so dealt to several tasks. Of rows that
     repeat an id the one with the smallest hash of its text is read.
     """
-    # a table of its own, so that the joins deal both sides anew and can split a hot id
-    asked = staged(requests.groupBy("id").agg(F.ceil(F.count("*") / _ASKED).cast("int").alias("slices")), "asked")
-    own = [c for c in requests.columns if c != "id"]
-    told = requests.join(asked, "id").select(
-        "id", F.pmod(F.xxhash64(*own), "slices").cast("int").alias("slice"), F.lit(1).alias("kind"),
-        F.lit(0).cast("long").alias("order"), *own, F.lit(None).cast("string").alias("text"),
+    own = [c for c in requests.columns if c not in ("id", "slice")]
+    told = requests.select(
+        "id", "slice", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("order"),
+        *own, F.lit(None).cast("string").alias("text"),
     )
     read = texts.join(asked, "id").select(
         "id", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("kind"),
@@ -461,23 +467,24 @@ def _slices(texts: DataFrame, requests: DataFrame) -> DataFrame:
         last, words = None, []
         for whole in batches:
             for batch in _parts([whole]):
-                cut, rows = [], []
-                columns = (batch.column(c).to_pylist() for c in ("id", "slice", "kind", "lo", "hi"))
-                for row, (name, slice_, kind, lo, hi) in enumerate(zip(*columns, strict=True)):
+                met: list[list[bytes]] = []
+                rows = []
+                columns = (batch.column(c).to_pylist() for c in ("id", "slice", "kind"))
+                for row, (name, slice_, kind) in enumerate(zip(*columns, strict=True)):
                     if kind:
                         rows.append(row)
-                        cut.append(b" ".join(words[lo:hi]))
+                        met.append(words)
                     elif (name, slice_) != last:
                         last = name, slice_
                         words = words_of(batch.column("text")[row].cast(pa.binary()).as_py())
-                at = pa.array(rows, pa.int64())
-                kept = ["id", *own]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(n).take(at) for n in kept), pa.array(cut, pa.binary())], names=[*kept, "words"]
-                )
+                yield visit(batch.take(pa.array(rows, pa.int64())), met)
+
+    return dealt.select("id", "slice", "kind", *own, "text").mapInArrow(compute, fields)
+
 
-    fields = ", ".join(f"{c} {requests.schema[c].dataType.simpleString()}" for c in requests.columns)
-    return dealt.select("id", "slice", "kind", *own, "text").mapInArrow(compute, f"{fields}, words binary")
+def _span(links: list[int], shift: int, margin: int) -> tuple[int, int]:
+    """The words of a text that a chain can reach: its own and ``margin`` on either side."""
+    return max(0, (links[0] >> shift & _LOW) - margin), (links[-1] >> shift & _LOW) + K + margin
 
 
 def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: float = 0.8) -> DataFrame:
@@ -507,68 +514,72 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 50, min_identity: flo
     # one row; buckets of about equal size at every size of the table
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 + chars // _BUCKET_CHARS
-    met_rows = staged(_matches(_in_buckets(texts.select("doc_id", "text"), buckets, min_words), kind), "matches")
-    matches = met_rows.where("keep_id IS NOT NULL")
-    hot = met_rows.where("keep_id IS NULL")
-    if not hot.isEmpty():
-        # no more than the words of one document
-        spots = hot.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("pos").alias("spots"))
-        again = texts.join(spots, F.col("doc_id") == F.col("id")).select("doc_id", "text", "spots")
-        longer = _matches(_in_buckets(again, buckets, min_words), kind)
-        matches = matches.union(longer.where("keep_id IS NOT NULL"))
-    pairs = matches.groupBy("doc_id", "keep_id").agg(
-        # no more than HOT for each seed of one document
-        F.collect_list(F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("to").cast("long"))).alias("matches")
-    )
-    chained = staged(_chained(pairs), "chains")
-
+    # the matches are many times the chains
+    with scratch(texts.sparkSession):
+        met_rows = staged(_matches(_in_buckets(texts.select("doc_id", "text"), buckets, min_words), kind), "matches")
+        matches = met_rows.where("keep_id IS NOT NULL")
+        hot = met_rows.where("keep_id IS NULL")
+        if not hot.isEmpty():
+            # no more than the words of one document
+            spots = hot.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("pos").alias("spots"))
+            again = texts.join(spots, F.col("doc_id") == F.col("id")).select("doc_id", "text", "spots")
+            longer = _matches(_in_buckets(again, buckets, min_words), kind)
+            matches = matches.union(longer.where("keep_id IS NOT NULL"))
+        pairs = matches.groupBy("doc_id", "keep_id").agg(
+            # no more than HOT for each seed of one document
+            F.collect_list(F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("to").cast("long"))).alias("matches")
+        )
+        chained = staged(_chained(pairs), "chains", outlives=True)
+    here, there = _asked(chained, "doc_id"), _asked(chained, "keep_id")
+    # both slices are known before any words travel, so these travel once, from here to there
+    told = chained
+    for asked, own, other in ((here, "doc_id", "keep_id"), (there, "keep_id", "doc_id")):
+        told = told.join(asked.withColumnRenamed("id", own), own).withColumn(
+            f"{own}_slice", F.pmod(F.xxhash64(other, "chain"), "slices").cast("int")
+        ).drop("slices")
     margin = max(min_words, K + REACH)
-    ends = {"first": F.col("links")[0], "last": F.element_at("links", -1)}
-    pos = {k: F.shiftright(v, 32).cast("int") for k, v in ends.items()}
-    to = {k: v.bitwiseAND(F.lit(_LOW)).cast("int") for k, v in ends.items()}
-    key = ["doc_id", "keep_id", "chain"]
-    here = chained.select(
-        F.col("doc_id").alias("id"), *key, F.lit(0).alias("side"),
-        F.greatest(F.lit(0), pos["first"] - margin).alias("lo"), (pos["last"] + K + margin).alias("hi"),
-    )
-    there = chained.select(
-        F.col("keep_id").alias("id"), *key, F.lit(1).alias("side"),
-        F.greatest(F.lit(0), to["first"] - margin).alias("lo"), (to["last"] + K + margin).alias("hi"),
-    )
-    cut = _slices(texts.withColumnRenamed("doc_id", "id"), here.union(there))
-    own = F.col("side") == 0
-    both = cut.groupBy(key).agg(
-        F.max(F.when(own, F.col("lo"))).alias("lo"),
-        F.max(F.when(own, F.col("words"))).alias("words"),
-        F.max(F.when(~own, F.col("lo"))).alias("keep_lo"),
-        F.max(F.when(~own, F.col("words"))).alias("keep_words"),
-    )
-    ready = both.join(chained, key)
 
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            rows, ends = [], []
-            for row, x in enumerate(batch.select(["lo", "words", "keep_lo", "keep_words", "links"]).to_pylist()):
-                a, b = x["words"].split(), x["keep_words"].split()
-                links = [((m >> 32) - x["lo"], (m & _LOW) - x["keep_lo"]) for m in x["links"]]
-                # another row of a repeated doc_id, or another run of the same hash
-                links = [(i, j) for i, j in links if a[i : i + K] == b[j : j + K] and i + K <= len(a)]
-                if not links:
-                    continue
-                for i, j, p, q, errors in alike(a, b, links, min_words, min_identity):
-                    rows.append(row)
-                    identity = 1 - errors / max(j - i, q - p)
-                    ends.append((i + x["lo"], j + x["lo"], p + x["keep_lo"], q + x["keep_lo"], errors, identity))
-            at = pa.array(rows, pa.int64())
-            ints = [pa.array([e[n] for e in ends], pa.int32()) for n in range(5)]
-            columns = [batch.column("doc_id").take(at), ints[0], ints[1], batch.column("keep_id").take(at)]
-            columns += [*ints[2:], pa.array([e[5] for e in ends], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    def cut(batch: pa.RecordBatch, texts: list[list[bytes]]) -> pa.RecordBatch:
+        spans = [_span(links, 32, margin) for links in batch.column("links").to_pylist()]
+        words = [b" ".join(text[lo:hi]) for text, (lo, hi) in zip(texts, spans, strict=True)]
+        kept = ["keep_id", "keep_id_slice", "id", "links"]
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in kept), pa.array([lo for lo, _ in spans], pa.int32()), pa.array(words, pa.binary())],
+            names=["id", "slice", "doc_id", "links", "lo", "words"],
+        )
+
+    def aligned(batch: pa.RecordBatch, texts: list[list[bytes]]) -> pa.RecordBatch:
+        rows, ends = [], []
+        columns = (batch.column(c).to_pylist() for c in ("lo", "words", "links"))
+        for row, (text, lo, words, links) in enumerate(zip(texts, *columns, strict=True)):
+            keep_lo, keep_hi = _span(links, 0, margin)
+            a, b = words.split(), text[keep_lo:keep_hi]
+            links = [((m >> 32) - lo, (m & _LOW) - keep_lo) for m in links]
+            # another row of a repeated doc_id, or another run of the same hash
+            links = [(i, j) for i, j in links if a[i : i + K] == b[j : j + K] and i + K <= len(a)]
+            if not links:
+                continue
+            for i, j, p, q, errors in alike(a, b, links, min_words, min_identity):
+                rows.append(row)
+                identity = 1 - errors / max(j - i, q - p)
+                ends.append((i + lo, j + lo, p + keep_lo, q + keep_lo, errors, identity))
+        at = pa.array(rows, pa.int64())
+        ints = [pa.array([e[n] for e in ends], pa.int32()) for n in range(5)]
+        columns = [batch.column("doc_id").take(at), ints[0], ints[1], batch.column("id").take(at)]
+        columns += [*ints[2:], pa.array([e[5] for e in ends], pa.float64())]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "start_word", "end_word", "keep_id", "keep_start", "keep_end", "edits", "identity"]
-    found = ready.mapInArrow(
-        compute,
+    texts = texts.withColumnRenamed("doc_id", "id")
+    asking = told.select(
+        F.col("doc_id").alias("id"), F.col("doc_id_slice").alias("slice"), "keep_id", "keep_id_slice", "links"
+    )
+    slices = _at_texts(
+        texts, here, asking, cut, f"id {kind}, slice int, doc_id {kind}, links {_LINKS}, lo int, words binary"
+    )
+    found = _at_texts(
+        texts, there, slices, aligned,
         f"doc_id {kind}, start_word int, end_word int, keep_id {kind}, keep_start int, keep_end int, "
         "edits int, identity double",
-    )
+    )
     return _first_likes(found)
