@@ -9,6 +9,7 @@ thresholds that are calibrated on labelled documents the dictionaries have not s
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ from .labelled import held_out, learning_sample
 from .quality import fit_additive
 
 _WINDOW = 10
-_ORDINARY_BYTES, _TOXIC_BYTES = 8192, 2048
+_ORDINARY_BYTES = 8192
 _STEM = 7  # bytes of a word's start, the space before it included
 _STEPS = (2, 3, 4, 6)
 _DICTIONARY_ROWS, _DICTIONARY_CHARS, _CALIBRATION_ROWS = 4_000, 20_000, 20_000
@@ -42,30 +43,35 @@ def toxic_spans(texts: list[tuple[bytes, int]]) -> list[bytes]:
     """What toxic texts say and ordinary ones do not, as text to train a dictionary on.
 
     Most words of a toxic text are ordinary. So words are grouped by how they start, and
-    a group counts when it is met in many different places of toxic texts (a place is the
-    word and the one before it, so that copies of a text count once) and at least eight
-    times as rarely in ordinary ones. A group stands for its longest start that most of
-    its words share, and these starts are the toxic dictionary, commonest last: some
-    hundred bytes, of which zstandard's trainer, made for kilobytes, would drop most.
+    a group counts when it is met at least eight times as often in toxic texts, by
+    different places (a place is the word and the one before it, so that copies of a text
+    count once), and its log-likelihood ratio exceeds what the most uneven of as many
+    groups would reach by chance. That is a matter of evidence, not of a share: with more
+    labels rarer words are learned. A group stands for its longest start that most of
+    its words share, and these starts are the toxic dictionary, commonest last.
     """
     places: tuple[dict[bytes, set[int]], dict[bytes, set[int]]] = (defaultdict(set), defaultdict(set))
     whole: dict[bytes, set[bytes]] = defaultdict(set)
-    toxic_texts = 0
     for text, label in texts:
         words = text.lower().split()
-        toxic_texts += label
         for before, word in zip([b"", *words], words, strict=False):
             stem = (b" " + word)[:_STEM]
             places[label][stem].add(xxhash.xxh64_intdigest(before + b" " + word))
             if label:
                 whole[stem].add(word)
     ordinary, toxic = ({k: len(v) for k, v in p.items()} for p in places)
-    n_ordinary, n_toxic = max(1, sum(ordinary.values())), max(1, sum(toxic.values()))
-    least = max(4, 0.03 * toxic_texts)
+    n_ordinary, n_toxic = sum(ordinary.values()), sum(toxic.values())
+    if not n_ordinary or not n_toxic:
+        return []
+    share = n_toxic / (n_ordinary + n_toxic)
+    # a ratio of 2 ln(n) is exceeded by about one in n of what differs by chance alone
+    least = 2 * math.log(len(toxic) + 1)
     spans: list[bytes] = []
     for stem, n in sorted(toxic.items(), key=lambda x: (x[1], x[0])):
-        expected = (ordinary.get(stem, 0) + 1) * n_toxic / n_ordinary
-        if n < least or n < 8 * expected or len(stem) < 4:
+        m = ordinary.get(stem, 0)
+        ratio = 2 * n * math.log(n / ((n + m) * share))
+        ratio += 2 * m * math.log(m / ((n + m) * (1 - share))) if m else 0
+        if n < 2 or ratio < least or n < 8 * (m + 1) * n_toxic / n_ordinary or len(stem) < 4:
             continue
         own = [b" " + word + b" " for word in whole[stem]]
         while True:
@@ -114,9 +120,8 @@ class Dictionaries:
 
 def train(texts: list[tuple[bytes, int]]) -> Dictionaries:
     ordinary = [w for text, label in texts if not label for w in windows(text.lower().split())]
-    return Dictionaries(
-        ordinary_content(ordinary, _ORDINARY_BYTES), b"".join(toxic_spans(texts))[-_TOXIC_BYTES:]
-    )
+    # as long as there is evidence for; the sample bounds it
+    return Dictionaries(ordinary_content(ordinary, _ORDINARY_BYTES), b"".join(toxic_spans(texts)))
 
 
 def _lengths(compressor: zstandard.ZstdCompressor, parts: list[bytes]) -> np.ndarray:
@@ -152,20 +157,25 @@ def toxicity_scores(
     """Toxicity of every whole text: doc_id, held_out, score (0 to 1), predicted (0 or 1).
 
     Only labelled rows outside the held-out fold are learned from: about half of them, at
-    most ``dictionary_rows`` of up to 20,000 characters, train the dictionaries, and of the
-    others at most ``calibration_rows`` calibrate the thresholds (nine numbers each). Texts are
-    lower-cased (A-Z). No other column than text and doc_id is read, and doc_id only picks
-    the rows. Null and empty texts are scored as texts without a window. Without usable
+    most ``dictionary_rows``, train the dictionaries, each by its text or, of longer ones, by
+    20,000 characters in a row from a place that its doc_id picks; of the others at most
+    ``calibration_rows`` calibrate the thresholds (nine numbers each, of the whole text).
+    Texts are lower-cased (A-Z). No other column than text and doc_id is read, and doc_id,
+    of any type that has a text form, only picks the rows. Null and empty texts are scored as texts without a window. Without usable
     labels every score is the smoothed share of label 1. One row per row of ``docs``,
     repeated rows and null doc_ids included; an empty table gives an empty result.
     """
-    odd = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("half")), F.lit(2)) == 1
+    name = F.col("doc_id").cast("string")
+    odd = F.pmod(F.xxhash64(name, F.lit("half")), F.lit(2)) == 1
     texts = learning_sample(
-        docs.select("doc_id", "text"), labels.where(odd), label, folds, fold, dictionary_rows
-    )
-    rows = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+        docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")),
+        labels.where(odd), label, folds, fold, dictionary_rows,
+    )
     # bounds what the driver takes in; all texts are scored, and calibrate, whole
-    rows = rows.where(F.length("text") <= _DICTIONARY_CHARS).collect()
+    spare = F.greatest(F.length("text") - _DICTIONARY_CHARS, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64(name, F.lit("start")), spare) + 1).cast("int")
+    excerpt = F.substr("text", start, F.lit(_DICTIONARY_CHARS))
+    rows = texts.select("doc_id", excerpt.alias("text"), "label").collect()
     rows.sort(key=lambda r: r.doc_id)
     learned = train([(r.text.encode(), r.label) for r in rows])
     del rows
