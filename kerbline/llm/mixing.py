@@ -54,10 +54,15 @@ def mix_sources(
     fractional repetition), taken, and keeps repeated rows. Null texts and texts without
     a word have size 0 and are taken 0 words; an empty table gives an empty result;
     of further columns of ``docs`` only ``carry`` are read, and returned. Rows with equal
-    doc_id order by size, then by these.
+    doc_id order by size, then by these. Rows without a doc_id are seeded by their text, and
+    rows equal in all that is read here are counted before they are ordered, and listed one
+    by one at the end, so that neither many null ids nor many copies meet in one window.
     """
-    seeded = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
-    rows = staged(
+    name = F.coalesce(
+        F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.md5(F.coalesce("text", F.lit(""))))
+    )
+    seeded = F.md5(F.concat(F.lit(seed + ":"), name))
+    rows = (
         docs.select(
             "doc_id",
             "source",
@@ -66,10 +71,14 @@ def mix_sources(
             word_count("text").alias("size"),
             seeded.alias("h"),
             *carry,
-        ).withColumn("slice", F.conv(F.substring("h", 1, 3), 16, 10).cast("int")),
-        "mix-rows",
+        )
+        .groupBy("doc_id", "source", "key", "size", "h", *carry)
+        .agg(F.count("*").alias("copies"))
+        .withColumn("slice", F.conv(F.substring("h", 1, 3), 16, 10).cast("int"))
     )
-    slices = rows.groupBy("key", "source", "slice").agg(F.sum("size").alias("slice_size"))
+    rows = staged(rows, "mix-rows")
+    words = F.col("size") * F.col("copies")
+    slices = rows.groupBy("key", "source", "slice").agg(F.sum(words).alias("slice_size"))
     slices = staged(slices, "mix-slices")
     # one row per source
     sources = slices.groupBy("key", "source").agg(F.sum("slice_size").alias("size"))
@@ -94,10 +103,11 @@ def mix_sources(
         .orderBy("h", F.col("doc_id").asc_nulls_last(), "size", *carry)
         .rowsBetween(W.unboundedPreceding, -1)
     )
-    room = F.col("rest") - F.col("before") - F.col("inside")
+    room = F.col("rest") - F.col("before") - F.col("inside") - F.col("copy") * F.col("size")
     return (
-        rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        rows.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0)))
         .join(plan, ["key", "slice"])
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
         .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), room)).cast("long"))
         .select(
             "doc_id",
@@ -117,7 +127,7 @@ OP5_SQL = """
 WITH RECURSIVE d AS (
   SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^ \\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-    md5(concat('mix-1:', coalesce(CAST(doc_id AS VARCHAR), '-'))) AS h
+    md5(concat('mix-1:', coalesce(CAST(doc_id AS VARCHAR), concat('-', md5(coalesce(text, '')))))) AS h
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -1,12 +1,16 @@
 """Every corpus operator on awkward tables: nulls, empty and long texts, repeats, no rows."""
 
+import zlib
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from kerbline.llm.exact_dedup import exact_dedup, later_half
+from kerbline.llm.labelled import learning_sample
 from kerbline.llm.licences import licence_paragraphs
 from kerbline.llm.line_dedup import dedup_lines, line_decisions
-from kerbline.llm.mixing import mix_sources
+from kerbline.llm.mixing import OP5_SQL, mix_sources
 from kerbline.llm.nearest import nearest_neighbours
 from kerbline.llm.packing import pack
 from kerbline.llm.passages import repeated_passages
@@ -182,3 +186,39 @@ def test_quality_stage_decides_by_row(spark, tmp_path, monkeypatch):
     rows = [(1, "good a"), (1, "bad b"), (None, "good c"), (None, "bad d"), (2, "bad e")]
     got = corpus_pipeline.quality(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
     assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
+
+
+def test_orphan_labels_take_no_place(spark):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(60)] + [(3, "other")] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5000)], "doc_id long, toxic int")
+    ids = {i for i in range(60) if zlib.crc32(str(i).encode()) % 5}
+    got = learning_sample(docs, labels, "toxic", 5, 0, 500).collect()
+    assert sorted(r.doc_id for r in got) == sorted(ids) and all(r.label == r.doc_id % 2 for r in got)
+    few = {r.doc_id for r in learning_sample(docs, labels, "toxic", 5, 0, 20).collect()}
+    assert len(few) == 20 and few <= ids
+    # of a repeated id the same row in any layout
+    again = learning_sample(docs.repartition(7), labels, "toxic", 5, 0, 500).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_ids_may_be_text(spark):
+    docs = spark.createDataFrame([("a", "one two"), ("b c", None), (None, "x")], "doc_id string, text string")
+    labels = spark.createDataFrame([("a", 1, 1), ("b c", 0, 0)], "doc_id string, toxic int, quality int")
+    for operator in (toxicity_scores, quality_scores):
+        got = {r.doc_id: r for r in operator(docs, labels).collect()}
+        assert set(got) == {"a", "b c", None} and all(0 <= r.score <= 1 for r in got.values())
+        assert not got[None].held_out
+
+
+def test_mix_of_rows_without_ids_as_sql(spark):
+    docs = [(i if i % 3 else None, f"w{i % 50} " * (i % 7), None if i % 5 == 0 else f"s{i % 4}") for i in range(600)]
+    docs += [(None, "same words here", "s1")] * 300 + [(77, "same words here", "s2")] * 40 + [(None, None, "")] * 5
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", docs)
+    want = con.execute(OP5_SQL).fetchall()
+    df = mix_sources(spark.createDataFrame(docs, "doc_id long, text string, source string"))
+    got = df.select("doc_id", "size", "source_size", "target", "taken").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    # copies share no window row
+    assert df.count() == len(docs)

@@ -23,6 +23,7 @@ from kerbline.llm.packing import best_fit, pack
 from kerbline.llm.passages import align, chains, edits, repeated_passages, seeds
 from kerbline.llm.quality import fit_additive
 from kerbline.llm.simhash import fingerprint, near_links, trie_links
+from kerbline.llm.toxicity import distances, train
 from tools.check import keyed
 
 SF = "/root/testdata/sf0.001"
@@ -489,6 +490,40 @@ def test_held_out_ranking(spark, name, label, least):
 # ---- the pipeline --------------------------------------------------------------------------------
 
 
+def test_rare_toxic_words_are_learned():
+    rng = random.Random(5)
+    plain = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
+    foul = ["".join(rng.choices("qrstuvwxyz", k=8)) for _ in range(100)]
+    texts = [(" ".join(rng.choices(plain, k=40)).encode(), 0) for _ in range(2000)]
+    for i in range(1000):
+        # each word is in one toxic text of a hundred
+        words = rng.choices(plain, k=40)
+        words[rng.randrange(40)] = foul[i % 100]
+        texts.append((" ".join(words).encode(), 1))
+    learned = train(texts)
+    assert all(w.encode() in learned.toxic for w in foul)
+    # words of ordinary texts are not
+    assert sum(f" {w} ".encode() in learned.toxic for w in plain) == 0
+
+
+def test_distances_by_single_windows():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(200)]
+    texts = [(" ".join(rng.choices(words, k=60) + ["vileword"] * (i % 2)).encode(), i % 2) for i in range(200)]
+    ordinary, toxic = train(texts).compressors()
+    for n in (1, 9, 10, 11, 25, 41_000):
+        text = " ".join(rng.choices([*words, "vileword"], k=n)).encode()
+        parts = text.split()
+        saved = []
+        for i in range(0, n, 10):
+            window = b" " + b" ".join(parts[i : i + 10]) + b" "
+            saved.append(len(ordinary.compress(window)) - len(toxic.compress(window)))
+        got = distances(text, ordinary, toxic)
+        assert got[:3] == sorted([*saved, 0, 0, 0], reverse=True)[:3]
+        assert got[3:7] == [sum(x >= k for x in saved) / (len(saved) + 4) for k in (2, 3, 4, 6)]
+        assert got[7] == sum(max(x, 0) for x in saved) / (len(saved) + 4)
+
+
 @needs_tables
 def test_pipeline_stages(spark):
     import corpus_pipeline
