@@ -17,6 +17,7 @@ from .common import staged
 _BLOCK = "dim int, block long, ids array<long>, vectors binary, codes binary, scales binary, errors binary"
 _PARTS = ["ids", "vectors", "codes", "scales", "errors"]
 _QUERY_ROWS, _CANDIDATE_ROWS = 1024, 4096
+_RESIDENT_BYTES = 128 << 20  # of query blocks that one task holds, on average
 
 
 def usable(vector: Column | str) -> Column:
@@ -111,7 +112,8 @@ def _unpacked(row: dict) -> dict:
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, *, k: int = 10, id_col: str = "vec_id",
-                       vector_col: str = "embedding", tasks: int | None = None) -> DataFrame:
+                       vector_col: str = "embedding", tasks: int | None = None,
+                       resident_bytes: int = _RESIDENT_BYTES) -> DataFrame:
     """The k nearest rows of each query row by Euclidean distance, exactly.
 
     Queries are the rows where ``is_query``; candidates are all rows but those with the
@@ -119,8 +121,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, *, k: int = 10, id_
     take no part, and only vectors of one length are compared. Rows are packed into
     blocks; every query block meets every candidate block in one tile. A tile's int8
     product bounds each distance, and only pairs that can still be among the k nearest
-    are measured on the original vectors in double precision. A task runs through its
-    tiles with a heap for each query, and the tasks' heaps are merged by a ranked window.
+    are measured on the original vectors in double precision. A task holds the query blocks
+    of one group, about ``resident_bytes`` with a heap for each query, and runs through its
+    candidate blocks once; so the candidates are shuffled once for each group. The tasks'
+    heaps are merged by a ranked window.
 
     Returns query_id, rank (from 1), vec_id, score: nearest first, ties to the smaller id,
     fewer than k rows where there are fewer candidates. Rows with a null id take no part.
@@ -141,53 +145,64 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, *, k: int = 10, id_
     queries = asked.repartition(max(1, math.ceil(m / _QUERY_ROWS)), "id")
     queries = staged(_blocks(queries.select("id", "vector"), _QUERY_ROWS), "query-blocks")
 
+    # query blocks in groups that a task can hold, several only for very many queries
+    held = F.col("blocks") * _QUERY_ROWS * F.col("dim") * 9 / resident_bytes
+    sizes = queries.groupBy("dim").agg(F.count("*").alias("blocks"))
+    # one row for each length of vectors that are asked for
+    sizes = F.broadcast(staged(sizes.select("dim", F.ceil(held).cast("int").alias("groups")), "query-groups"))
     # candidate blocks are dealt to lanes, and each query block is sent to every lane
     lanes = tasks or max(1, min(64, math.ceil(n / _CANDIDATE_ROWS)))
-    asking = queries.withColumnRenamed("block", "query").withColumn(
-        "lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))
+    asking = (
+        queries.join(sizes, "dim")
+        .withColumn("query", F.pmod(F.xxhash64("block"), "groups").cast("int"))
+        .withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     )
-    # 12 bytes for each query block, that is for 1,024 queries
-    names = F.broadcast(queries.select("dim", F.col("block").alias("query")))
-    answering = candidates.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).join(
-        names, "dim"
+    answering = (
+        candidates.join(sizes, "dim")
+        .withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
+        .withColumn("query", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     )
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Tiles in order of (dim, query, lane), the query block ahead of its candidates."""
-        asker: dict = {}
-        heaps: list[list] = []
-        limit = np.array([])
+        """Tiles in order of (dim, query, lane), the group's query blocks ahead of the candidates."""
+        askers: list[tuple[dict, list[list], np.ndarray]] = []
+        now = None
 
         def meet(c: dict) -> None:
-            at, to = tile_survivors(asker, c, limit, k)
-            scores = distance(asker["x"][at], c["x"][to])
-            # a heap holds its worst pair on top
-            pairs = zip((-scores).tolist(), (-c["ids"][to]).tolist(), strict=True)
-            for i, pair in zip(at.tolist(), pairs, strict=True):
-                if len(heaps[i]) < k:
-                    heapq.heappush(heaps[i], pair)
-                elif pair > heaps[i][0]:
-                    heapq.heapreplace(heaps[i], pair)
-                if len(heaps[i]) == k:
-                    limit[i] = -heaps[i][0][0]
-
-        def found() -> pa.RecordBatch:
-            rows = [(int(i), -b, -a) for i, h in zip(asker.get("ids", []), heaps, strict=True) for a, b in h]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))],
-                names=["query_id", "vec_id", "score"],
-            )
+            for asker, heaps, limit in askers:
+                at, to = tile_survivors(asker, c, limit, k)
+                scores = distance(asker["x"][at], c["x"][to])
+                # a heap holds its worst pair on top
+                pairs = zip((-scores).tolist(), (-c["ids"][to]).tolist(), strict=True)
+                for i, pair in zip(at.tolist(), pairs, strict=True):
+                    if len(heaps[i]) < k:
+                        heapq.heappush(heaps[i], pair)
+                    elif pair > heaps[i][0]:
+                        heapq.heapreplace(heaps[i], pair)
+                    if len(heaps[i]) == k:
+                        limit[i] = -heaps[i][0][0]
+
+        def found() -> Iterator[pa.RecordBatch]:
+            for asker, heaps, _ in askers:
+                rows = [(int(i), -b, -a) for i, h in zip(asker["ids"], heaps, strict=True) for a, b in h]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))],
+                    names=["query_id", "vec_id", "score"],
+                )
 
         for batch in batches:
-            for row in batch.to_pylist():
-                block = _unpacked(row)
+            for part in range(batch.num_rows):
+                row = batch.slice(part, 1).to_pylist()[0]
+                block, place = _unpacked(row), (row["dim"], row["query"], row["lane"])
+                if place != now:
+                    yield from found()
+                    askers, now = [], place
                 if row["first"] == 0:
-                    yield found()
-                    asker, heaps = block, [[] for _ in block["ids"]]
-                    limit = np.full(len(heaps), np.inf)
+                    size = len(block["ids"])
+                    askers.append((block, [[] for _ in range(size)], np.full(size, np.inf)))
                 else:
                     meet(block)
-        yield found()
+        yield from found()
 
     def side(df: DataFrame, first: int) -> DataFrame:
         return df.select("dim", "query", "lane", F.lit(first).alias("first"), *_PARTS)

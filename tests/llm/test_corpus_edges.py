@@ -3,9 +3,11 @@
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kerbline.llm import nearest
 from kerbline.llm.exact_dedup import exact_dedup, later_half
 from kerbline.llm.labelled import learning_sample
 from kerbline.llm.licences import licence_paragraphs
@@ -222,3 +224,23 @@ def test_mix_of_rows_without_ids_as_sql(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     # copies share no window row
     assert df.count() == len(docs)
+
+
+@pytest.mark.parametrize("resident_bytes", [1 << 27, 1])
+def test_groups_of_query_blocks_change_nothing(spark, monkeypatch, resident_bytes):
+    monkeypatch.setattr(nearest, "_QUERY_ROWS", 16)
+    monkeypatch.setattr(nearest, "_CANDIDATE_ROWS", 50)
+    rng = np.random.default_rng(4)
+    vectors = [(i, rng.integers(-3, 4, 2 + i % 2).astype(float).tolist()) for i in range(400)]
+    df = spark.createDataFrame(vectors, "id long, embedding array<double>").withColumnRenamed("id", "vec_id")
+    df = df.select("vec_id", "embedding", *(F.lit(0).alias(c) for c in ("dim", "block", "lane", "query", "groups", "first")))
+    got = nearest.nearest_neighbours(df, F.col("vec_id") % 4 == 0, k=5, tasks=3, resident_bytes=resident_bytes)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.score, r.vec_id))
+    usable = [(i, np.array(v)) for i, v in vectors if any(v)]
+    for i, v in usable:
+        if i % 4 == 0:
+            near = sorted((float(np.sqrt(sum((v - w) ** 2))), j) for j, w in usable if j != i and len(w) == len(v))
+            assert [(s, j) for _, s, j in sorted(found[i])] == near[:5]
+    assert set(found) == {i for i, _ in usable if i % 4 == 0}
