@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import packed, staged, table
+from kerbline.llm.common import packed, scratch, staged, table
 from kerbline.llm.line_dedup import dedup_lines
 from kerbline.llm.mixing import mix_sources
 from kerbline.llm.packing import pack
@@ -88,9 +88,20 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+def _after(spark: SparkSession, stages: list[tuple[str, Stage]], sf_dir: str) -> DataFrame:
+    """``documents`` after ``stages``, staged; what a stage read and staged goes when it is written."""
+    if not stages:
+        return table(spark, sf_dir, "documents")
+    *before, (name, stage) = stages
+    with scratch(spark):
+        docs = _after(spark, before, sf_dir)
+        return staged(stage(spark, docs, sf_dir), f"pipeline-{name}", outlives=True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, every stage but the last staged as Parquet."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``, every stage but the last staged as Parquet.
+
+    Null and empty texts pass as texts without a word, as far as the quality model keeps
+    them; an empty table gives an empty result.
+    """
+    return STAGES[-1][1](spark, _after(spark, STAGES[:-1], sf_dir), sf_dir)
