@@ -1,5 +1,6 @@
 """Every corpus operator on awkward tables: nulls, empty and long texts, repeats, no rows."""
 
+import os
 import zlib
 
 import duckdb
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbline.llm import nearest
+from kerbline.llm.common import scratch, staged
 from kerbline.llm.exact_dedup import exact_dedup, later_half
 from kerbline.llm.labelled import learning_sample
 from kerbline.llm.licences import licence_paragraphs
@@ -244,3 +246,27 @@ def test_groups_of_query_blocks_change_nothing(spark, monkeypatch, resident_byte
             near = sorted((float(np.sqrt(sum((v - w) ** 2))), j) for j, w in usable if j != i and len(w) == len(v))
             assert [(s, j) for _, s, j in sorted(found[i])] == near[:5]
     assert set(found) == {i for i, _ in usable if i % 4 == 0}
+
+
+def test_scratch_keeps_what_outlives_it(spark):
+    def files(df):
+        return [os.path.exists(f.removeprefix("file:").replace("///", "/")) for f in before[df]]
+
+    before = {}
+
+    def table(name, **how):
+        df = staged(spark.range(3), name, **how)
+        before[df] = df.inputFiles()
+        assert all(files(df))
+        return df
+
+    with scratch(spark):
+        with scratch(spark):
+            inner, passed = table("inner"), table("passed", outlives=True)
+        assert not any(files(inner)) and passed.count() == 3
+        last = table("last", outlives=True)
+    assert not any(files(passed)) and last.count() == 3
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        lost = table("lost")
+        1 / 0  # noqa: B018
+    assert not any(files(lost))
