@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 from .passes import added_up, matrix
 
 DEGREE = 3  # of the polynomial kernel
@@ -157,6 +157,9 @@ def barrier(u: np.ndarray, cost: float, mu: float) -> tuple[np.ndarray, np.ndarr
     return value, mu / over, mu / (s * s + over * over)
 
 
+_SHARES = (2.0, 1.0, 0.5, 0.25, 0.1, 0.03, 0.003)  # of a Newton step that are tried
+
+
 def solve(
     table: DataFrame, features: Map, tasks: Sequence[Task], *, tol: float = 1e-3, max_passes: int = 200
 ) -> np.ndarray:
@@ -164,76 +167,110 @@ def solve(
 
     Every hinge is replaced by its logarithmic barrier, whose width shrinks tenfold
     whenever Newton steps have come close to its optimum; the width bounds how far the
-    objective is off, by ``tol`` of itself in the end. A pass over the rows returns value,
-    slope and curvature of every open problem at its present point, so all problems
-    advance together, and one that has settled is not counted any more. Not settling
-    within ``max_passes`` is an error.
+    objective is off, by ``tol`` of itself in the end. Close is a small share of what the
+    width leaves open, so the rounds do not grow with the rows; only at the last width it
+    is the width itself. A round has two passes over the rows. The first adds up slope and
+    curvature of every open problem, whose Newton step is worked out where its sums meet;
+    the driver gets the step, not the curvature. The second compares lengths of the step.
+    All problems advance together, and one that has settled is not counted any more. Not
+    settling within ``max_passes`` rounds is an error.
     """
     size = features.size + 1
     penalty = np.append(np.ones(features.size), 0.0)
 
-    def measure(at: dict[int, tuple[np.ndarray, float]]) -> dict[int, tuple]:
-        """Barrier, hinges and their number, slope and curvature of each open problem."""
+    def parts(t: int, y: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Rows of a problem, and slope and offset of its hinges for them."""
+        seen = fold != tasks[t].fold if tasks[t].fold >= 0 else np.ones(len(y), bool)
+        hinges = tasks[t].hinges(y)
+        # the hinges of a problem take the same rows
+        own = hinges[0][0] & seen
+        return own, [(s[own], offset[own]) for _, s, offset in hinges]
+
+    def measure(at: dict[int, tuple[np.ndarray, float]]) -> dict[int, np.ndarray]:
+        """Barrier, hinges and their number, decrement and Newton step of each open problem."""
 
         def make(batches: Iterator[pa.RecordBatch]) -> Iterator[Mapping]:
+            out = {t: np.zeros(3 + size + size * size) for t in at}
             for z, y, fold in _blocks(batches, features):
-                out = {}
                 for t, (w, mu) in at.items():
-                    seen = fold != tasks[t].fold if tasks[t].fold >= 0 else np.ones(len(y), bool)
-                    f = z @ w
-                    sums, slope, bend = np.zeros(3), np.zeros(size), np.zeros((size, size))
-                    for taken, s, offset in tasks[t].hinges(y):
-                        own = taken & seen
-                        u = (offset - s * f)[own]
-                        value, down, curve = barrier(u, tasks[t].cost, mu)
-                        sums += [value.sum(), tasks[t].cost * np.maximum(u, 0).sum(), len(u)]
-                        slope -= (down * s[own]) @ z[own]
-                        bend += (z[own] * curve[:, None]).T @ z[own]
-                    out[t] = np.concatenate([sums, slope, bend.ravel()])
-                yield out
-
-        found = added_up(table, make)
-        none = np.zeros(3 + size + size * size)
-        parts = {t: found.get(str(t), none) for t in at}
-        return {t: (*p[:3], p[3 : 3 + size], p[3 + size :].reshape(size, size)) for t, p in parts.items()}
-
-    spread = table.agg(F.stddev_pop("y")).first()[0] or 0.0
+                    own, hinges = parts(t, y, fold)
+                    rows = z if own.all() else z[own]
+                    f = rows @ w
+                    down, bend = np.zeros(len(rows)), np.zeros(len(rows))
+                    for s, offset in hinges:
+                        u = offset - s * f
+                        value, slope, curve = barrier(u, tasks[t].cost, mu)
+                        out[t][:3] += [value.sum(), tasks[t].cost * np.maximum(u, 0).sum(), len(u)]
+                        down += slope * s
+                        bend += curve
+                    out[t][3 : 3 + size] -= down @ rows
+                    out[t][3 + size :] += ((rows * bend[:, None]).T @ rows).ravel()
+            yield out
+
+        def step(name: str, sums: np.ndarray) -> np.ndarray:
+            w, _ = at[int(name)]
+            bend = sums[3 + size :].reshape(size, size)
+            gradient = penalty * w + sums[3 : 3 + size]
+            curve = np.diag(penalty) + bend
+            curve[-1, -1] += 1e-12 * max(1.0, bend[-1, -1]) + (not sums[2])
+            step = np.linalg.solve(curve, -gradient)
+            return np.concatenate([sums[:3], [-gradient @ step], step])
+
+        found = added_up(table, make, step)
+        return {t: found.get(str(t), np.append(np.zeros(4), -penalty * at[t][0])) for t in at}
+
+    def along(at: dict[int, tuple[np.ndarray, np.ndarray, float]]) -> dict[int, np.ndarray]:
+        """Barriers of each open problem at all lengths of its step."""
+
+        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[Mapping]:
+            out = {t: np.zeros(len(_SHARES)) for t in at}
+            for z, y, fold in _blocks(batches, features):
+                both = z @ np.concatenate([np.stack([w for w, _, _ in at.values()]), np.stack([d for _, d, _ in at.values()])]).T
+                for i, (t, (_, _, mu)) in enumerate(at.items()):
+                    own, hinges = parts(t, y, fold)
+                    f, df = both[own, i], both[own, len(at) + i]
+                    for k, share in enumerate(_SHARES):
+                        for s, offset in hinges:
+                            out[t][k] += barrier(offset - s * (f + share * df), tasks[t].cost, mu)[0].sum()
+            yield out
+
+        found = added_up(table, make, lambda name, sums: sums)
+        none = np.zeros(len(_SHARES))
+        return {t: found.get(str(t), none) for t in at}
+
+    wide = table.agg(F.stddev_pop("y")).first()[0] or 0.0
     weights = np.zeros((len(tasks), size))
-    trial, step = weights.copy(), weights.copy()
-    mu = np.array([t.cost * (1.0 if t.pair else max(spread, t.epsilon, 1e-6)) for t in tasks])
-    held = np.full(len(tasks), np.inf)  # value at the accepted point, for the present width
-    share = np.ones(len(tasks))
+    mu = np.array([t.cost * (1.0 if t.pair else max(wide, t.epsilon, 1e-6)) for t in tasks])
     open_ = set(range(len(tasks)))
     for _ in range(max_passes):
         if not open_:
             return weights
-        for t, (rounded, hinges, rows, slope, bend) in measure({t: (trial[t], mu[t]) for t in sorted(open_)}).items():
-            w = trial[t]
-            value = 0.5 * (penalty * w * w).sum() + rounded
-            if value > held[t] + 1e-9 * abs(held[t]) and share[t] > 1e-4:
-                share[t] /= 2
-                trial[t] = weights[t] + share[t] * step[t]
+        moving = {}
+        for t, found in measure({t: (weights[t], mu[t]) for t in sorted(open_)}).items():
+            rounded, hinges, rows, decrement = found[:4]
+            objective = 0.5 * (penalty * weights[t] ** 2).sum() + hinges
+            last = 2 * rows * mu[t] <= tol * objective or not rows or mu[t] < 1e-14
+            if last and decrement <= mu[t]:
+                weights[t] += found[4:]
+                open_.discard(t)
                 continue
-            weights[t], held[t], share[t] = w, value, 1.0
-            gradient = penalty * w + slope
-            curve = np.diag(penalty) + bend
-            curve[-1, -1] += 1e-12 * max(1.0, bend[-1, -1]) + (not rows)
-            step[t] = np.linalg.solve(curve, -gradient)
-            trial[t] = w + step[t]
-            if -gradient @ step[t] <= mu[t]:
-                # near the optimum of this width, where the objective is off by 2 mu a hinge
-                objective = 0.5 * (penalty * w * w).sum() + hinges
-                if 2 * rows * mu[t] <= tol * objective or not rows or mu[t] < 1e-14:
-                    open_.discard(t)
-                    continue
+            if not last and decrement <= max(1.0, 0.1 * rows) * mu[t]:
                 mu[t] /= 10
-                held[t] = np.inf
-    raise RuntimeError(f"{len(open_)} margin problems have not settled after {max_passes} passes")
+            moving[t] = (weights[t].copy(), found[4:], mu[t])
+        if moving:
+            for t, values in along(moving).items():
+                w, step, _ = moving[t]
+                tried = w + np.outer(_SHARES, step)
+                best = np.argmin(0.5 * (penalty * tried**2).sum(axis=1) + values)
+                weights[t] = tried[best]
+    if not open_:
+        return weights
+    raise RuntimeError(f"{len(open_)} margin problems have not settled after {max_passes} rounds")
 
 
 def _table(df: DataFrame, label: str, features: str) -> DataFrame:
     fold = F.col("fold").cast("int") if "fold" in df.columns else F.lit(-1)
-    return cut(df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"), fold.alias("fold")))
+    return spread(df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"), fold.alias("fold")))
 
 
 def _scored(df: DataFrame, score, kind: str, out: str, features: str) -> DataFrame:

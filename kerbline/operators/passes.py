@@ -25,13 +25,17 @@ def _array(raw: bytes) -> np.ndarray:
     return np.load(io.BytesIO(raw))
 
 
-def added_up(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[Arrays]]) -> dict[str, np.ndarray]:
+def added_up(
+    df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[Arrays]],
+    finish: Callable[[str, np.ndarray], np.ndarray] | None = None,
+) -> dict[str, np.ndarray]:
     """Sums of the arrays that ``make`` yields from the batches of each task, by name.
 
     A task adds up what it yields and hands on one row per name. The rows of a name are
     added by streams, by task number in ``_SLOTS`` slots, so that neither a task nor the
     driver holds the partial sums of all tasks. The driver gets at most ``_SLOTS`` arrays
-    per name; names and shapes must not grow with the rows.
+    per name; names and shapes must not grow with the rows. With ``finish`` all rows of a
+    name meet in one stream, and the driver gets only what it makes of their sum.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,22 +43,27 @@ def added_up(df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[
         for arrays in make(batches):
             for name, a in arrays.items():
                 total[str(name)] = total[str(name)] + a if str(name) in total else np.asarray(a, np.float64)
-        slot = TaskContext.get().partitionId() % _SLOTS
+        slot = 0 if finish else TaskContext.get().partitionId() % _SLOTS
         for name, a in total.items():
             yield pa.RecordBatch.from_pylist([{"name": name, "slot": slot, "data": _bytes(a)}], schema=schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, total = None, None
+
+        def added() -> pa.RecordBatch:
+            data = _bytes(finish(last[0], total) if finish else total)
+            return pa.RecordBatch.from_pylist([dict(zip(names, (*last, data)))], schema=schema)
+
         for batch in batches:
             for row in batch.to_pylist():
                 at = row["name"], row["slot"]
                 if at != last:
                     if last is not None:
-                        yield pa.RecordBatch.from_pylist([dict(zip(names, (*last, _bytes(total))))], schema=schema)
+                        yield added()
                     last, total = at, 0.0
                 total = total + _array(row["data"])
         if last is not None:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, (*last, _bytes(total))))], schema=schema)
+            yield added()
 
     kind, names = "name string, slot int, data binary", ("name", "slot", "data")
     schema = pa.schema([("name", pa.string()), ("slot", pa.int32()), ("data", pa.binary())])

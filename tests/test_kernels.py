@@ -144,3 +144,27 @@ def test_landmarks_are_seeded_rows(spark, rings):
         feature_map(df.limit(0), "rbf", key="key", gamma=1.0)
     with pytest.raises(ValueError):
         feature_map(df, "poly", key="key", how="waves")
+
+
+def test_curvature_stays_off_the_driver(spark, rings, monkeypatch):
+    from kerbline.operators import kernels
+
+    sizes = []
+
+    def watched(*args):
+        got = added_up(*args)
+        sizes.extend(a.size for a in got.values())
+        return got
+
+    added_up = kernels.added_up
+    monkeypatch.setattr(kernels, "added_up", watched)
+    x, y = rings
+    rounds = []
+    for copies in (1, 30):
+        sizes.clear()
+        df = vectors(spark, np.tile(x, (copies, 1)), np.tile(y, copies))
+        model = KernelSeparator("key", C=1.0, gamma=0.5, size=40, tol=1e-4).fit(df)
+        # a step and four numbers, no square of the features
+        assert max(sizes) <= model.features.size + 5
+        rounds.append(len(sizes))
+    assert rounds[1] <= 1.6 * rounds[0]
