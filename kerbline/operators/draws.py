@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import spread
 from .fits import Pool, pooled_sums, settled_pool
 from .passes import added_up
 from .trees import mixed
@@ -73,7 +73,7 @@ def log_posterior(sums: DataFrame, u: np.ndarray) -> np.ndarray:
     level = bound(u)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        step = max(1, (1 << 21) // len(level))
+        step = max(1, (1 << 17) // len(level))
         for batch in batches:
             rows = _rows(batch)
             for lo in range(0, len(rows), step):
@@ -246,7 +246,7 @@ def key_summary(sums: DataFrame, levels: np.ndarray, *, key: str, seed: int = 0)
     kind = sums.schema[key].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(1, (1 << 20) // len(flat))
+        step = max(1, (1 << 18) // len(flat))
         for batch in batches:
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)
@@ -282,7 +282,7 @@ def pooled_draws(
     have N(0, 1) priors, the spreads half-normal ones. The series is read once into six
     sums per key.
     """
-    sums = cut(pooled_sums(df, span, t0, key=key, time=time, value=value))
+    sums = spread(pooled_sums(df, span, t0, key=key, time=time, value=value))
     pool, _ = settled_pool(sums, key=key)
     levels = draw_levels(sums, pool, chains=chains, draws=draws, warm_up=warm_up, seed=seed)
     return PooledDraws(
