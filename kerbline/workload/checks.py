@@ -26,15 +26,24 @@ def m07_apart(spark, sf):
     out = learning.shuffle_columns(rows, names, key="p_partkey", seed=3)
     both = out.join(rows.select("p_partkey", *[F.col(c).alias(f"own_{c}") for c in names]), "p_partkey")
     price, size = F.col("p_retailprice"), F.col("p_size")
-    by_price = rows.groupBy("p_retailprice").agg(F.collect_set("p_size").alias("sizes"))
-    found = both.join(by_price, "p_retailprice").agg(
+    # what chance leaves: shares of equal values, and of pairs that the table knows
+    per = {c: rows.groupBy(c).agg(F.count(F.lit(1)).alias(f"n_{c}")) for c in names}
+    known = rows.select(*names).distinct()
+    alike = [per[c].agg((F.sum(F.col(f"n_{c}").cast("double") ** 2) / F.sum(f"n_{c}") ** 2)).first()[0] for c in reversed(names)]
+    n = rows.count()
+    pairs = known.join(per["p_size"], "p_size").join(per["p_retailprice"], "p_retailprice")
+    met = pairs.agg(F.sum(F.col("n_p_size").cast("double") * F.col("n_p_retailprice"))).first()[0]
+    chance = {"stay": alike[0], "stay_size": alike[1], "together": met / n**2 if n else None}
+    found = both.join(known.withColumn("known", F.lit(True)), names, "left").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg((price == F.col("own_p_retailprice")).cast("double")).alias("stay"),
         F.avg((size == F.col("own_p_size")).cast("double")).alias("stay_size"),
-        F.avg(F.array_contains("sizes", size).cast("double")).alias("together"),
+        F.avg(F.coalesce("known", F.lit(False)).cast("double")).alias("together"),
     )
-    # sizes have 50 values, prices many
-    off = sum((F.col(c) > most).cast("long") for c, most in (("stay", 0.1), ("stay_size", 0.1), ("together", 0.4)))
+    # six deviations, or a twelfth of the way from chance to rows that stay whole; where chance
+    # alone leaves all as it is, nothing tells a shuffle
+    most = {c: p + max((1 - p) / 12, 6 * (p * (1 - p) / n) ** 0.5) for c, p in chance.items() if p is not None}
+    off = sum((F.col(c) > least).cast("long") for c, least in most.items()) if most else F.lit(0).cast("long")
     return found.select("n", off.alias("off"))
 
 

@@ -43,3 +43,14 @@ def test_sample_matches_sql(spark, con, name):
     names = [d[0] for d in cur.description]
     assert sorted(names) == sorted(df.columns)
     assert keyed([tuple(r) for r in df.collect()], df.columns) == keyed(cur.fetchall(), names)
+
+
+def test_a_shuffle_is_measured_against_chance(spark, tmp_path):
+    """Many rows a price: nearly every size is met at every price by chance."""
+    from kerbline.workload import REGISTRY
+
+    rows = spark.range(3000).selectExpr(
+        "id AS p_partkey", "CAST(pmod(xxhash64(id, 1), 50) AS INT) AS p_size", "CAST(pmod(id, 20) AS DOUBLE) AS p_retailprice"
+    )
+    rows.write.parquet(str(tmp_path / "part.parquet"))
+    assert REGISTRY["m07_rows_apart"].run(spark, str(tmp_path)).collect()[0][:] == (3000, 0)
