@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 
 # ---- bins ----------------------------------------------------------------------------
 
@@ -226,29 +226,39 @@ def best_split(
     equal ones the first feature's first bin wins, so a sum in another order of the rows
     finds the same split.
     """
-    whole = hist[0].sum(axis=0)
+    # a feature that may not be split on may have no sums
+    whole = hist[allowed[0]].sum(axis=0)
     lost = float(criterion.impurity(whole))
     rows = whole[:, 0].sum()
     spent = criterion.least_gain is None and lost <= 1e-12 * max(1.0, rows)
     if spent or hist.shape[1] < 2:
         return None
-    left = np.cumsum(hist, axis=1)[:, :-1]
-    right = whole - left
-    # what is left over of a sum that was taken away whole
-    right[np.abs(right) < 1e-12 * np.abs(whole)] = 0
-    ok = np.ones(left.shape[:2], bool)
-    for side in (left, right):
-        ok &= side[..., 0].sum(axis=-1) >= 1
-        ok &= side[..., criterion.weight].sum(axis=-1) >= criterion.least
-    ok &= np.isin(np.arange(len(hist)), allowed)[:, None]
-    if not ok.any():
+
+    def sides(f: int) -> tuple[np.ndarray, np.ndarray]:
+        left = np.cumsum(hist[f], axis=0)[:-1]
+        right = whole - left
+        # what is left over of a sum that was taken away whole
+        right[np.abs(right) < 1e-12 * np.abs(whole)] = 0
+        return left, right
+
+    # one feature at a time: the sides of all of them are many times the histogram
+    gain = np.full((len(hist), hist.shape[1] - 1), -np.inf)
+    for f in allowed:
+        left, right = sides(f)
+        ok = np.ones(len(left), bool)
+        for side in (left, right):
+            ok &= side[..., 0].sum(axis=-1) >= 1
+            ok &= side[..., criterion.weight].sum(axis=-1) >= criterion.least
+        if ok.any():
+            l, r = left[ok], right[ok]
+            gain[f, ok] = improvement(np.stack([l, r])) if by_means else lost - criterion.impurity(l) - criterion.impurity(r)
+    if not np.isfinite(gain).any():
         return None
-    gain = improvement(np.stack([left, right])) if by_means else lost - criterion.impurity(left) - criterion.impurity(right)
-    gain = np.where(ok, gain, -np.inf)
     if criterion.least_gain is not None and gain.max() <= criterion.least_gain:
         return None
     f, b = np.unravel_index(np.argmax(np.round(gain / max(gain.max(), 1e-9 * abs(lost)), 9)), gain.shape)
-    return int(f), int(b), float(gain[f, b]), left[f, b], right[f, b]
+    left, right = sides(f)
+    return int(f), int(b), float(gain[f, b]), left[b], right[b]
 
 
 # ---- growing -------------------------------------------------------------------------
@@ -314,6 +324,26 @@ def _columns(batch: pa.RecordBatch, features: int) -> dict[str, np.ndarray]:
 
 
 _CELLS = 1 << 22  # sums that a task holds at a time
+_ROWS = 1 << 18  # rows that a task holds for several blocks of nodes
+
+
+def _allowed(seed: int, tree: int, node: int, features: int, few: int | None) -> np.ndarray:
+    """Features that a node may split on, ``few`` drawn ones or all."""
+    if not few:
+        return np.arange(features)
+    return np.random.default_rng((seed, tree, node)).permutation(features)[:few]
+
+
+def _parts(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[list[dict[str, np.ndarray]]]:
+    """Batches in lists of about ``_ROWS`` rows."""
+    held: list[dict[str, np.ndarray]] = []
+    for batch in batches:
+        held.append(_columns(batch, features))
+        if sum(len(c["codes"]) for c in held) >= _ROWS:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 def grow(
@@ -335,64 +365,80 @@ def grow(
     level = 0
     # a tree without a split still needs the sums of its root
     while open_ and (level < max_depth or not level):
-        waiting: dict[int, list[int]] = {}
-        for t, node in open_:
-            waiting.setdefault(t, []).append(node)
-        blocks: list[list[int]] = [[]]
-        held = 0
-        for t, nodes in waiting.items():
-            if blocks[-1] and held + len(nodes) * per_node * width > _CELLS:
-                blocks.append([])
-                held = 0
-            blocks[-1].append(t)
-            held += len(nodes) * per_node * width
-
-        def histogram(batches: Iterator[pa.RecordBatch], waiting=waiting, blocks=blocks) -> Iterator[pa.RecordBatch]:
-            several = len(blocks) > 1
-            kept = [_columns(b, n_features) for b in batches] if several else None
-            offsets = (np.arange(n_features) * n_bins)[None, :]
-            for block in blocks:
-                place = {t: np.full(len(trees[t].feature), -1, np.int64) for t in block}
-                order: list[tuple[int, int]] = []
-                for t in block:
-                    for node in waiting[t]:
-                        place[t][node] = len(order)
-                        order.append((t, node))
-                cells = np.zeros((width, len(order) * per_node))
-                for cols in kept if several else (_columns(b, n_features) for b in batches):
-                    codes = cols["codes"]
-                    for t in block:
-                        at = place[t][trees[t].leaves(codes)]
-                        w = np.where(cols["fold"] == plans[t].fold, 0.0, 1.0) if plans[t].fold >= 0 else np.ones(len(codes))
-                        if plans[t].bootstrap is not None:
-                            w *= draws(cols["h"], plans[t].bootstrap)
-                        own = np.flatnonzero((at >= 0) & (w > 0))
-                        slot, values = sums(cols, plans[t])
-                        cell = (at[own, None] * n_features * n_bins + offsets + codes[own]) * slots
-                        if slot is not None:
-                            cell += slot[own, None]
-                        flat = cell.ravel()
-                        for j, v in enumerate(values):
-                            cells[j] += np.bincount(flat, np.repeat(w[own] * v[own], n_features), cells.shape[1])
-                filled = np.flatnonzero(cells[0])
-                at, cell = np.divmod(filled, per_node)
-                which = np.array(order, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(which[at, 0]), pa.array(which[at, 1]), pa.array(cell)]
-                    + [pa.array(cells[j, filled]) for j in range(width)],
-                    names=["tree", "node", "cell", *names],
-                )
+        # open nodes, in blocks whose cells are bounded whatever the depth
+        many = max(1, _CELLS // (per_node * width))
+        blocks = [open_[i : i + many] for i in range(0, len(open_), many)]
+        tried = {x: _allowed(seed, *x, n_features, features_per_split) for x in open_} if features_per_split else {}
+
+        def histogram(batches: Iterator[pa.RecordBatch], blocks=blocks, tried=tried) -> Iterator[pa.RecordBatch]:
+            offsets = np.arange(n_features) * n_bins
+            # one block reads batch by batch; several ones share parts of bounded size
+            for kept in _parts(batches, n_features) if len(blocks) > 1 else [(_columns(b, n_features) for b in batches)]:
+                dense = len(blocks) == 1 or sum(len(c["codes"]) for c in kept) * n_features > many * per_node
+                placed: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+                for block in blocks:
+                    place = {t: np.full(len(trees[t].feature), -1, np.int64) for t, _ in block}
+                    for i, (t, node) in enumerate(block):
+                        place[t][node] = i
+                    split_on = np.array([tried.get(x, np.arange(n_features)) for x in block])
+                    cells = np.zeros((width, len(block) * per_node)) if dense else []
+                    for c, cols in enumerate(kept):
+                        codes = cols["codes"]
+                        for t in place:
+                            if (c, t) not in placed:
+                                w = np.where(cols["fold"] == plans[t].fold, 0.0, 1.0) if plans[t].fold >= 0 else np.ones(len(codes))
+                                if plans[t].bootstrap is not None:
+                                    w *= draws(cols["h"], plans[t].bootstrap)
+                                drawn = np.flatnonzero(w > 0)
+                                found = drawn, w[drawn], trees[t].leaves(codes[drawn])
+                                if len(blocks) > 1 and block[-1][0] == t:
+                                    # the tree may go on in the next block
+                                    placed[c, t] = found
+                            else:
+                                found = placed[c, t]
+                            drawn, w, leaf = found
+                            at = place[t][leaf]
+                            here = np.flatnonzero(at >= 0)
+                            at, own = at[here], drawn[here]
+                            slot, values = sums(cols, plans[t])
+                            on = split_on[at]
+                            cell = (at[:, None] * n_features * n_bins + offsets[on] + codes[own[:, None], on]) * slots
+                            if slot is not None:
+                                cell += slot[own, None]
+                            flat = cell.ravel()
+                            heavy = [np.repeat(w[here] * v[own], on.shape[1]) for v in values]
+                            if not dense:
+                                # fewer entries than cells
+                                seen, inverse = np.unique(flat, return_inverse=True)
+                                cells.append((seen, [np.bincount(inverse, h, len(seen)) for h in heavy]))
+                                continue
+                            for j, h in enumerate(heavy):
+                                cells[j] += np.bincount(flat, h, cells.shape[1])
+                    placed = {k: v for k, v in placed.items() if k[1] == block[-1][0]}
+                    if dense:
+                        filled = np.flatnonzero(cells[0])
+                        totals = [cells[j, filled] for j in range(width)]
+                    else:
+                        filled = np.concatenate([np.zeros(0, np.int64), *(s for s, _ in cells)])
+                        totals = [np.concatenate([np.zeros(0), *(v[j] for _, v in cells)]) for j in range(width)]
+                    which = np.array(block, np.int64).reshape(-1, 2)
+                    for lo in range(0, len(filled), _CELLS // 16):
+                        some = filled[lo : lo + _CELLS // 16]
+                        at, cell = np.divmod(some, per_node)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(which[at, 0]), pa.array(which[at, 1]), pa.array(cell)]
+                            + [pa.array(v[lo : lo + _CELLS // 16]) for v in totals],
+                            names=["tree", "node", "cell", *names],
+                        )
 
         def split(pdf: pd.DataFrame) -> pd.DataFrame:
             hist = np.zeros((n_features * n_bins * slots, width))
             hist[pdf["cell"].to_numpy()] = pdf[names].to_numpy()
             hist = hist.reshape(n_features, n_bins, slots, width)
             t, node = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
-            allowed = np.arange(n_features)
-            if features_per_split:
-                allowed = np.random.default_rng((seed, t, node)).permutation(n_features)[:features_per_split]
+            allowed = _allowed(seed, t, node, n_features, features_per_split)
             found = best_split(criterion, hist, allowed, by_means)
-            f, b, gain, left, right = found or (-1, 0, 0.0, hist[0].sum(axis=0), np.zeros(0))
+            f, b, gain, left, right = found or (-1, 0, 0.0, hist[allowed[0]].sum(axis=0), np.zeros(0))
             row = (t, node, f, b, gain, np.ravel(left).tolist(), np.ravel(right).tolist())
             return pd.DataFrame([row], columns=["tree", "node", "feature", "upto", "gain", "left", "right"])
 
@@ -518,7 +564,7 @@ def tree_family(
     folds grow in the same passes.
     """
     cuts = feature_bins(df, bins=bins)
-    table = cut(binned(df, cuts, key=key))
+    table = spread(binned(df, cuts, key=key))
     plans = [Plan(fold=f) for f in range(-1, folds)]
     out = {}
     for name in criteria:
@@ -624,7 +670,7 @@ class ClassForest:
 
     def fit(self, df: DataFrame) -> ForestModel:
         cuts = feature_bins(df, bins=self.bins)
-        table = cut(binned(df, cuts, key=self.key))
+        table = spread(binned(df, cuts, key=self.key))
         made = class_counts(_classes(df), self.criterion)
         plans = [Plan(bootstrap=self.seed * 100_003 + t if self.trees > 1 else None) for t in range(self.trees)]
         few = max(1, int(math.sqrt(len(cuts.edges)))) if self.trees > 1 else None
@@ -694,7 +740,7 @@ class SoftmaxBoosting:
         cuts = feature_bins(df, bins=self.bins)
         classes = _classes(df)
         models = folds + 1
-        table = binned(df, cuts, key=self.key)
+        table = spread(binned(df, cuts, key=self.key))
         starts = np.zeros((models, classes))
         plans = [Plan(fold=m - 1, target=m * classes + k) for m in range(models) for k in range(classes)]
         made = softmax_gradients(self.l2, self.least_weight)

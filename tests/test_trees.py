@@ -198,3 +198,21 @@ def test_boosting_as_every_split_tried(spark, data):
     half = fold == 1
     got = softmax(models[1].margins(models[1].bins.codes(x[half])))
     assert np.allclose(got, softmax(boosted(x[half], labels[half], 3, 5, 3)), atol=1e-9)
+
+
+def test_nodes_in_bounded_blocks_grow_the_same_trees(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+
+    from kerbline.operators import trees
+
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 12, (400, 4)).astype(float)
+    rows = [(i, r.tolist(), float(int(r[0] + r[1] * r[2]) % 3)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "key long, x array<double>, label double").withColumn("features", array_to_vector("x"))
+    grown = []
+    for cells in (1 << 22, 1 << 8):
+        # one block, and blocks of less nodes than a tree has
+        monkeypatch.setattr(trees, "_CELLS", cells)
+        model = trees.ClassForest("key", trees=3, max_depth=3).fit(df)
+        grown.append([(t.feature, t.upto, [a.tolist() for a in t.totals]) for t in model.trees])
+    assert grown[0] == grown[1]
