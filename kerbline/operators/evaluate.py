@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregates import contingency
-from .blocks import distance_sums
+from .blocks import cluster_sums
 from .ranking import rank_rows
 
 
@@ -126,12 +128,22 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def silhouettes(
-    df: DataFrame, *, key: str, vector: str, cluster: str, size: int = 2048
+    df: DataFrame, *, key: str, vector: str, cluster: str, size: int | None = None
 ) -> DataFrame:
     """Exact Euclidean silhouette of each row; 0 in a cluster of one."""
-    sums = distance_sums(df, key=key, vector=vector, cluster=cluster, size=size)
-    own = F.col("other") == F.col(cluster)
-    per = sums.groupBy(key, cluster).agg(
+    return silhouettes_of(df, key=key, vector=vector, clusters=[cluster], size=size).select(
+        key, F.col("cluster").alias(cluster), "silhouette"
+    )
+
+
+def silhouettes_of(
+    df: DataFrame, *, key: str, vector: str, clusters: Sequence[str], size: int | None = None
+) -> DataFrame:
+    """(key, which, cluster, silhouette) of several clusterings; each distance is worked out once."""
+    sums = cluster_sums(df, key=key, vector=vector, clusters=clusters, size=size)
+    mine = F.array(*[F.col(c) for c in clusters])[F.col("which")]
+    own = F.col("other") == F.col("cluster")
+    per = sums.withColumn("cluster", mine).groupBy(key, "which", "cluster").agg(
         F.max(F.when(own, F.col("dist_sum"))).alias("_in"),
         F.max(F.when(own, F.col("n_other"))).alias("_n"),
         F.min(F.when(~own, F.col("dist_sum") / F.col("n_other"))).alias("_b"),
@@ -140,7 +152,7 @@ def silhouettes(
     score = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("_b") - a, F.greatest(a, F.col("_b"))), F.lit(0.0))
     )
-    return per.select(key, cluster, score.alias("silhouette"))
+    return per.select(key, "which", "cluster", score.alias("silhouette"))
 
 
 def ordered_silhouettes(scores: DataFrame, *, key: str, cluster: str) -> DataFrame:

@@ -138,3 +138,27 @@ def test_names_and_codes(spark):
     assert got == {(1, "a", "z"), (2, "c", None), (3, None, None)}
     coded = {tuple(r) for r in index_encode(names.select("m", "n"), "m").select("n", "code").collect()}
     assert coded == {("b", 0), ("a", 1), ("c", None)}
+
+
+def test_equal_vectors_are_measured_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(9, 3)) + 1e4
+    base[1] = base[0] + 1e-7  # nearer than what a product of such lengths can tell
+    x, c = base[np.r_[0:9, rng.integers(0, 9, 51)]], rng.integers(0, 3, 60)
+    rows = points(spark, x, c)
+    want = brute_silhouette(x, c)
+    got = {r["id"]: r["silhouette"] for r in evaluate.silhouettes(rows, key="id", vector="x", cluster="c", size=4).collect()}
+    assert [got[i] for i in range(60)] == pytest.approx(list(want), abs=1e-9)
+    near = nearest(rows, rows, 4, key="id", vector="x", label="c", size=4).collect()
+    for i in range(60):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        assert [j for _, j in sorted((r["place"], r["neighbour"]) for r in near if r["id"] == i)] == sorted(
+            range(60), key=lambda j: (d[j], j)
+        )[:4]
+    # sixty rows of nine vectors meet as nine
+    met = []
+    real = blocks._block
+    monkeypatch.setattr(blocks, "_block", lambda n, size: met.append(n) or real(n, size))
+    evaluate.silhouettes_of(rows.withColumn("d", F.col("c") % 2), key="id", vector="x", clusters=["c", "d"]).count()
+    nearest(rows, rows, 2, key="id", vector="x", label="c").count()
+    assert met[:2] == [9, 9] and met[2] <= 18
