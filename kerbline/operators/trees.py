@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, spread
+from .passes import added_up
 
 # ---- bins ----------------------------------------------------------------------------
 
@@ -101,6 +102,10 @@ class Tree:
             self.depth.append(self.depth[node] + 1)
             self.totals.append(totals)
 
+    def shape(self) -> Tree:
+        """The nodes as arrays, without their sums: what a task needs to place rows."""
+        return Tree(*(np.asarray(a, np.int32) for a in (self.feature, self.upto, self.left, self.depth)), [], [])
+
     def leaves(self, codes: np.ndarray, depth: int | None = None) -> np.ndarray:
         """The node where each row ends, at most ``depth`` levels down."""
         feature, upto, left, deep = map(np.asarray, (self.feature, self.upto, self.left, self.depth))
@@ -346,6 +351,64 @@ def _parts(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[list[di
         yield held
 
 
+def _at_once(table: DataFrame, filled_cells: Callable, best: Callable, per_node: int, width: int) -> list[dict]:
+    """Splits of one block of nodes: a task hands on the sums of a node as one row, which meet once."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        for block, filled, totals in filled_cells(batches):
+            at, cell = np.divmod(filled, per_node)
+            for i in np.unique(at):
+                lo, hi = np.searchsorted(at, [i, i + 1])
+                hist = np.zeros((per_node, width))
+                for j in range(width):
+                    hist[cell[lo:hi], j] = totals[j][lo:hi]
+                yield {"{} {}".format(*block[i]): hist}
+
+    def finish(name: str, hist: np.ndarray) -> np.ndarray:
+        f, b, gain, left, right = best(*map(int, name.split()), hist)
+        return np.concatenate([[f, b, gain, np.size(left)], np.ravel(left), np.ravel(right)])
+
+    out = []
+    for name, row in added_up(table, make, finish).items():
+        t, node = map(int, name.split())
+        left, right = np.split(row[4:], [int(row[3])])
+        out.append({"tree": t, "node": node, "feature": int(row[0]), "upto": int(row[1]), "gain": float(row[2]),
+                    "left": left, "right": right})
+    return out
+
+
+def _by_cells(table: DataFrame, filled_cells: Callable, best: Callable, per_node: int, width: int) -> list:
+    """Splits of many blocks of nodes: cells are summed one by one, then meet by node."""
+    names = [f"v{j}" for j in range(width)]
+
+    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, filled, totals in filled_cells(batches):
+            which = np.array(block, np.int64).reshape(-1, 2)
+            for lo in range(0, len(filled), _CELLS // 16):
+                some = filled[lo : lo + _CELLS // 16]
+                at, cell = np.divmod(some, per_node)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(which[at, 0]), pa.array(which[at, 1]), pa.array(cell)]
+                    + [pa.array(v[lo : lo + _CELLS // 16]) for v in totals],
+                    names=["tree", "node", "cell", *names],
+                )
+
+    def split(pdf: pd.DataFrame) -> pd.DataFrame:
+        hist = np.zeros((per_node, width))
+        hist[pdf["cell"].to_numpy()] = pdf[names].to_numpy()
+        t, node = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
+        f, b, gain, left, right = best(t, node, hist)
+        row = (t, node, f, b, gain, np.ravel(left).tolist(), np.ravel(right).tolist())
+        return pd.DataFrame([row], columns=["tree", "node", "feature", "upto", "gain", "left", "right"])
+
+    kinds = ", ".join(f"{n} double" for n in names)
+    cells = table.mapInArrow(histogram, f"tree long, node long, cell long, {kinds}")
+    total = cells.groupBy("tree", "node", "cell").agg(*[F.sum(n).alias(n) for n in names])
+    return total.groupBy("tree", "node").applyInPandas(
+        split, "tree long, node long, feature int, upto int, gain double, left array<double>, right array<double>"
+    ).collect()
+
+
 def grow(
     table: DataFrame, bins: Bins, plans: Sequence[Plan], criterion: Criterion, sums: Sums, *,
     max_depth: int, features_per_split: int | None = None, by_means: bool = False, seed: int = 0,
@@ -360,7 +423,6 @@ def grow(
     trees = [Tree() for _ in plans]
     slots, width = criterion.slots, criterion.width
     per_node = n_features * n_bins * slots
-    names = [f"v{j}" for j in range(width)]
     open_ = [(t, 0) for t in range(len(plans))]
     level = 0
     # a tree without a split still needs the sums of its root
@@ -370,7 +432,10 @@ def grow(
         blocks = [open_[i : i + many] for i in range(0, len(open_), many)]
         tried = {x: _allowed(seed, *x, n_features, features_per_split) for x in open_} if features_per_split else {}
 
-        def histogram(batches: Iterator[pa.RecordBatch], blocks=blocks, tried=tried) -> Iterator[pa.RecordBatch]:
+        shapes = {t: trees[t].shape() for t in {t for t, _ in open_}}
+
+        def filled_cells(batches: Iterator[pa.RecordBatch], blocks=blocks, tried=tried, trees=shapes) -> Iterator[tuple]:
+            """(block, cells with rows, their sums) of a task, block by block."""
             offsets = np.arange(n_features) * n_bins
             # one block reads batch by batch; several ones share parts of bounded size
             for kept in _parts(batches, n_features) if len(blocks) > 1 else [(_columns(b, n_features) for b in batches)]:
@@ -421,33 +486,16 @@ def grow(
                     else:
                         filled = np.concatenate([np.zeros(0, np.int64), *(s for s, _ in cells)])
                         totals = [np.concatenate([np.zeros(0), *(v[j] for _, v in cells)]) for j in range(width)]
-                    which = np.array(block, np.int64).reshape(-1, 2)
-                    for lo in range(0, len(filled), _CELLS // 16):
-                        some = filled[lo : lo + _CELLS // 16]
-                        at, cell = np.divmod(some, per_node)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(which[at, 0]), pa.array(which[at, 1]), pa.array(cell)]
-                            + [pa.array(v[lo : lo + _CELLS // 16]) for v in totals],
-                            names=["tree", "node", "cell", *names],
-                        )
-
-        def split(pdf: pd.DataFrame) -> pd.DataFrame:
-            hist = np.zeros((n_features * n_bins * slots, width))
-            hist[pdf["cell"].to_numpy()] = pdf[names].to_numpy()
+                    yield block, filled, totals
+
+        def best(t: int, node: int, hist: np.ndarray) -> tuple:
             hist = hist.reshape(n_features, n_bins, slots, width)
-            t, node = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
             allowed = _allowed(seed, t, node, n_features, features_per_split)
             found = best_split(criterion, hist, allowed, by_means)
-            f, b, gain, left, right = found or (-1, 0, 0.0, hist[allowed[0]].sum(axis=0), np.zeros(0))
-            row = (t, node, f, b, gain, np.ravel(left).tolist(), np.ravel(right).tolist())
-            return pd.DataFrame([row], columns=["tree", "node", "feature", "upto", "gain", "left", "right"])
-
-        kinds = ", ".join(f"{n} double" for n in names)
-        cells = table.mapInArrow(histogram, f"tree long, node long, cell long, {kinds}")
-        total = cells.groupBy("tree", "node", "cell").agg(*[F.sum(n).alias(n) for n in names])
-        found = total.groupBy("tree", "node").applyInPandas(
-            split, "tree long, node long, feature int, upto int, gain double, left array<double>, right array<double>"
-        ).collect()
+            return found or (-1, 0, 0.0, hist[allowed[0]].sum(axis=0), np.zeros(0))
+
+        find = _at_once if len(blocks) == 1 else _by_cells
+        found = find(table, filled_cells, best, per_node, width)
         open_ = []
         for r in sorted(found, key=lambda r: (r["tree"], r["node"])):
             tree = trees[r["tree"]]
@@ -784,7 +832,8 @@ class SoftmaxBoosting:
             steps = [(t, self.rate * np.array([made.value(a) for a in t.totals])) for t in trees]
             for m in range(models):
                 done[m].append(steps[m * classes : (m + 1) * classes])
-            fresh.append(steps)
+            # without the sums of nodes, which every pass would send along
+            fresh.append([(tree.shape(), step) for tree, step in steps])
             if len(fresh) == self.carry:
                 table = renew(table, fresh)
                 fresh = []

@@ -216,3 +216,19 @@ def test_nodes_in_bounded_blocks_grow_the_same_trees(spark, monkeypatch):
         model = trees.ClassForest("key", trees=3, max_depth=3).fit(df)
         grown.append([(t.feature, t.upto, [a.tolist() for a in t.totals]) for t in model.trees])
     assert grown[0] == grown[1]
+
+
+def test_nodes_that_meet_once_split_as_their_cells_do(spark, monkeypatch):
+    from kerbline.operators import trees
+
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 9, (300, 3)).astype(float)
+    rows = vectors(spark, x, (x[:, 0] > 4) + 1.0 * (x[:, 1] > 6))
+    once = trees.SoftmaxBoosting("key", rounds=1, max_depth=2).fit(rows).rounds
+    monkeypatch.setattr(trees, "_at_once", trees._by_cells)
+    cells = trees.SoftmaxBoosting("key", rounds=1, max_depth=2).fit(rows).rounds
+    for (a, steps), (b, others) in zip(once[0], cells[0], strict=True):
+        assert (a.feature, a.upto, a.left) == (b.feature, b.upto, b.left) and len(a.feature) > 1
+        assert list(steps) == pytest.approx(list(others))
+        # the sums of nodes stay with the driver
+        assert not a.shape().totals and (a.shape().leaves(np.zeros((1, 3), int)) == a.leaves(np.zeros((1, 3), int))).all()
