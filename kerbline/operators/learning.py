@@ -22,7 +22,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -485,7 +485,8 @@ def permutation_importance(
     """Loss of R2 when a feature is shuffled: mean and population deviation per feature.
 
     All repeats and features go through the model in one job: a row of every repeat meets
-    the donor row its permutation names, and yields one feature vector per feature.
+    the donor row its permutation names, and yields one feature vector per feature; with a
+    linear model it yields one error per feature, whose vectors need not be made.
     ``only_clear`` keeps features whose mean exceeds two deviations.
     """
     cols = [F.col(quoted(c)).cast("double") for c in names]
@@ -509,31 +510,47 @@ def permutation_importance(
         ]
     )
     donors = rows.select(F.col("_r").alias("_from"), F.col("_x").alias("_dx"))
-    swapped = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                array_to_vector(
-                    F.array(*[(F.col("_dx") if j == i else F.col("_x"))[j] for j in range(len(names))])
-                ).alias("features"),
-            )
-            for i, c in enumerate(names)
-        ]
-    )
-    trials = (
+    paired = (
         rows.select("_r", "label", "_x", F.explode(draws).alias("_d"))
         .select("_r", "label", "_x", "_d.*")
         .join(donors, "_from")
-        .select("rep", "label", F.explode(swapped).alias("_s"))
-        .select("rep", "label", "_s.*")
     )
     unshuffled = r2_of(model, rows.select("label", array_to_vector("_x").alias("features")))
-    err = F.col("label") - F.col("prediction")
-    per = (
-        model.transform(trials)
-        .groupBy("feature", "rep")
-        .agg((1 - F.try_divide(F.avg(err * err), F.var_pop("label"))).alias("r2"))
-    )
+    if isinstance(model, (LinearRegressionModel, gram.Line)):
+        # one feature moves the prediction by its weight alone
+        weights = [float(w) for w in model.coefficients]
+        fitted = sum((F.lit(w) * F.col("_x")[i] for i, w in enumerate(weights)), F.lit(float(model.intercept)))
+        errors = paired.select(
+            "rep", "label", (F.col("label") - fitted).alias("_e"),
+            *[(F.lit(w) * (F.col("_dx")[i] - F.col("_x")[i])).alias(f"_m{i}") for i, w in enumerate(weights)],
+        )
+        lost = [F.avg((F.col("_e") - F.col(f"_m{i}")) ** 2).alias(f"_l{i}") for i in range(len(names))]
+        known = errors.groupBy("rep").agg(F.var_pop("label").alias("_var"), *lost)
+        cells = F.explode(
+            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_l{i}").alias("_l")) for i, c in enumerate(names)])
+        )
+        per = known.select("rep", "_var", cells.alias("_c")).select(
+            "_c.feature", "rep", (1 - F.try_divide("_c._l", "_var")).alias("r2")
+        )
+    else:
+        swapped = F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("feature"),
+                    array_to_vector(
+                        F.array(*[(F.col("_dx") if j == i else F.col("_x"))[j] for j in range(len(names))])
+                    ).alias("features"),
+                )
+                for i, c in enumerate(names)
+            ]
+        )
+        trials = paired.select("rep", "label", F.explode(swapped).alias("_s")).select("rep", "label", "_s.*")
+        err = F.col("label") - F.col("prediction")
+        per = (
+            model.transform(trials)
+            .groupBy("feature", "rep")
+            .agg((1 - F.try_divide(F.avg(err * err), F.var_pop("label"))).alias("r2"))
+        )
     out = per.groupBy("feature").agg(
         F.avg(F.lit(unshuffled) - F.col("r2")).alias("importance"),
         F.stddev_pop("r2").alias("sd"),

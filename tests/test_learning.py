@@ -213,3 +213,27 @@ def test_experiment_by_another_score(spark):
     )
     assert done.params == {"alpha": 0.1} and done.board.first()["mean_score"] < 0
     assert done.importance.count() > 0
+
+
+def test_importance_of_a_linear_model_without_its_vectors(spark):
+    class Plain:
+        """The same model, not known to be linear."""
+
+        def __init__(self, model):
+            self.transform = model.transform
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(80, 2))
+    rows = spark.createDataFrame(
+        [(i, float(a), float(b), float(3 * a - b + 1)) for i, (a, b) in enumerate(x)], "id long, a double, b double, label double"
+    )
+    ready = ml.assemble(rows, ["a", "b"])
+    model = ml.ridge(ml.size_of(ready, "label"), {"alpha": 2}).fit(ready)
+    both = []
+    for m in (model, Plain(model)):
+        out = ml.permutation_importance(m, rows, ["a", "b"], key="id", repeats=3, only_clear=False)
+        both.append((out, {r["feature"]: (r["importance"], r["sd"]) for r in out.collect()}))
+    for f in ("a", "b"):
+        assert both[0][1][f] == pytest.approx(both[1][1][f], rel=1e-9)
+    plans = [o._jdf.queryExecution().optimizedPlan().toString() for o, _ in both]
+    assert "UDF(" not in plans[0] and "UDF(" in plans[1]
