@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from kerbline.llm import licences
 from kerbline.llm.common import components
 from kerbline.llm.exact_dedup import build_filter, exact_dedup, passes
 from kerbline.llm.licences import TEMPLATES, licence_paragraphs
@@ -291,6 +292,22 @@ def test_wrapped_notices(spark):
     assert {(r.doc_id, r.paragraph) for r in got} == {w[:2] for w in want} and len(got) == len(want)
 
 
+def test_licences_learn_from_every_paragraph(spark, monkeypatch):
+    seen, trained = [], licences._trained
+
+    def spy(rows, families, background):
+        seen.append(background.count())
+        return trained(rows, families, background)
+
+    monkeypatch.setattr(licences, "_trained", spy)
+    rows = [(i, f"Note {i} of the walk by the river and of its {i % 97} old bridges.") for i in range(6000)]
+    rows += [(6000, TEMPLATES["BSD"][2]), (6001, TEMPLATES["MIT"][1])]
+    got = licence_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # the notice without a word of licences is no ordinary paragraph
+    assert seen == [6000]
+    assert {(r["doc_id"], r["family"]) for r in got} == {(6000, "BSD"), (6001, "MIT")}
+
+
 # ---- passages --------------------------------------------------------------------------------
 
 
