@@ -39,13 +39,22 @@ def _normal_equations(sums: np.ndarray, level: np.ndarray) -> tuple[np.ndarray,
 
 
 def log_evidence(sums: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Log density of the keys' observations at each level, lines integrated out; summed over keys."""
-    p11, p12, p22, h1, h2 = _normal_equations(sums, level)
+    """Log density of the keys' observations at each level, lines integrated out; summed over keys.
+
+    Worked out from the residuals about the level's line and with the spreads multiplied, not
+    divided by, so that nothing cancels where a spread is near zero: the error of a key must
+    stay far below one over the number of keys.
+    """
+    n, sx, sxx, sy, sxy, syy = (c[:, None] for c in sums.T)
     ma, mb, sa, sb, s = level.T
+    v = s**2
+    r, xr = sy - ma * n - mb * sx, sxy - ma * sx - mb * sxx
+    rr = syy - 2 * (ma * sy + mb * sxy) + ma**2 * n + 2 * ma * mb * sx + mb**2 * sxx
+    p11, p12, p22 = 1 + n * (sa**2 / v), sx * (sa * sb / v), 1 + sxx * (sb**2 / v)
     det = p11 * p22 - p12**2
+    h1, h2 = sa * r, sb * xr
     fit = (p22 * h1**2 - 2 * p12 * h1 * h2 + p11 * h2**2) / det
-    n, syy = sums[:, :1], sums[:, 5:]
-    each = n * np.log(2 * math.pi * s**2) + np.log(sa**2 * sb**2 * det) + syy / s**2 + ma**2 / sa**2 + mb**2 / sb**2 - fit
+    each = n * np.log(2 * math.pi * v) + np.log(det) + (rr - fit / v) / v
     return -0.5 * each.sum(axis=0)
 
 

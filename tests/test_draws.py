@@ -55,6 +55,30 @@ def test_evidence_as_the_joint_normal(lines):
         assert log_evidence(sums, np.array([level]))[0] == pytest.approx(want, rel=1e-9)
 
 
+def test_evidence_of_many_keys_near_a_spread_of_zero(lines):
+    # as the spreads go to zero the lines become the level's line, whatever the number of keys
+    sums = np.tile(sums_of(lines), (2000, 1))
+    ma, mb, s = 0.8, 0.05, 0.3
+    _, x, y = lines.T
+    want = -0.5 * 2000 * (((y - ma - mb * x) ** 2).sum() / s**2 + len(x) * np.log(2 * np.pi * s**2))
+    level = np.array([[ma, mb, small, small, s] for small in (1e-6, 1e-7, 1e-8)])
+    # a spread of 1e-6 is worth about a millionth of a key and less
+    assert log_evidence(sums, level) == pytest.approx(np.full(3, want), abs=1e-3)
+
+
+def test_levels_of_many_keys_alike(spark):
+    # no spread between the keys: the posterior of the spreads reaches down to zero
+    rng = np.random.default_rng(5)
+    rows = np.array([(k, w, 1 + 0.4 * rng.standard_normal()) for k in range(200) for w in range(80)])
+    row = np.tile(sums_of(rows), (60, 1))
+    names = ["n", "sx", "sxx", "sy", "sxy", "syy"]
+    sums = spark.createDataFrame(row.tolist(), ", ".join(f"{c} double" for c in names))
+    levels = draw_levels(sums, Pool(1.0, 0.0, 0.01, 2e-4, 0.4), draws=500)
+    assert split_r_hat(np.moveaxis(levels, -1, 0)).max() < 1.1
+    assert levels[..., 4].mean() == pytest.approx(0.4, rel=0.02)
+    assert levels[..., 2].mean() < 5e-3
+
+
 def metropolis(sums, steps=60_000):
     """A random walk over levels, one at a time."""
     rng = np.random.default_rng(9)
