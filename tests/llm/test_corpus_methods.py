@@ -308,6 +308,49 @@ def test_licences_learn_from_every_paragraph(spark, monkeypatch):
     assert {(r["doc_id"], r["family"]) for r in got} == {(6000, "BSD"), (6001, "MIT")}
 
 
+def test_licence_classifier_keeps_its_rows_in_bounded_parts(spark, monkeypatch):
+    rows = [(i, f"Note {i} of the walk by the river and of its {i % 97} old bridges.") for i in range(3000)]
+    rows += [(6000, TEMPLATES["BSD"][2]), (6001, TEMPLATES["MIT"][1])]
+    sizes, fit = [], licences.LogisticRegression.fit
+
+    def spy(self, data):
+        per = data.groupBy(F.spark_partition_id()).count().collect()
+        sizes.append(([r["count"] for r in per], self.getMaxBlockSizeInMB()))
+        return fit(self, data)
+
+    monkeypatch.setattr(licences.LogisticRegression, "fit", spy)
+    monkeypatch.setattr(licences, "_PART_ROWS", 50, raising=False)
+    got = licence_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    [(parts, block)] = sizes
+    # half of the paragraphs, and the variations of the templates
+    assert max(parts) <= 100 and sum(parts) > 1400
+    assert 0 < block < 0.5
+    assert {(r["doc_id"], r["family"]) for r in got} == {(6000, "BSD"), (6001, "MIT")}
+
+
+def test_licence_paragraphs_are_worked_out_once(spark, tmp_path):
+    texts = [(1, "first line\nsecond line\n\nthird line\nfourth line")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    seen, written = [], licences.staged
+
+    def spy(df, name, **kw):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, name, **kw)
+
+    licences.staged = spy
+    try:
+        licence_paragraphs(docs).collect()
+    finally:
+        licences.staged = written
+    lines = seen[0][1]
+    # pairs and vectors
+    assert lines.count("UDF(") <= 2 and lines.count("[^a-z0-9]+") == 1
+    # a block's row has its own lines only
+    blocks = dict(seen)["licence-blocks"]
+    listed = [r for r in blocks.splitlines() if "Generate explode" in r and "start" in r]
+    assert listed and all("lines#" not in r.split("], false")[-2].split("[")[-1] for r in listed)
+
+
 # ---- passages --------------------------------------------------------------------------------
 
 
