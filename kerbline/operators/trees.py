@@ -9,6 +9,7 @@ cross-validation costs as many passes as a single fit.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -222,6 +223,9 @@ def improvement(parts: np.ndarray) -> np.ndarray:
     return gap**2 / np.maximum(both * (n[0] + n[1]), 1e-300)
 
 
+_SIDES = 1 << 14  # sums of features whose splits are tried together
+
+
 def best_split(
     criterion: Criterion, hist: np.ndarray, allowed: Sequence[int], by_means: bool = False
 ) -> tuple[int, int, float, np.ndarray, np.ndarray] | None:
@@ -239,31 +243,35 @@ def best_split(
     if spent or hist.shape[1] < 2:
         return None
 
-    def sides(f: int) -> tuple[np.ndarray, np.ndarray]:
-        left = np.cumsum(hist[f], axis=0)[:-1]
+    def sides(some: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+        left = np.cumsum(hist[some], axis=1)[:, :-1]
         right = whole - left
         # what is left over of a sum that was taken away whole
         right[np.abs(right) < 1e-12 * np.abs(whole)] = 0
         return left, right
 
-    # one feature at a time: the sides of all of them are many times the histogram
+    # few features at a time: the sides of all of them may be many times the histogram
     gain = np.full((len(hist), hist.shape[1] - 1), -np.inf)
-    for f in allowed:
-        left, right = sides(f)
-        ok = np.ones(len(left), bool)
+    together = max(1, _SIDES // hist[0].size)
+    for lo in range(0, len(allowed), together):
+        some = np.asarray(allowed[lo : lo + together])
+        left, right = sides(some)
+        ok = np.ones(left.shape[:2], bool)
         for side in (left, right):
             ok &= side[..., 0].sum(axis=-1) >= 1
             ok &= side[..., criterion.weight].sum(axis=-1) >= criterion.least
         if ok.any():
             l, r = left[ok], right[ok]
-            gain[f, ok] = improvement(np.stack([l, r])) if by_means else lost - criterion.impurity(l) - criterion.impurity(r)
+            found = np.full(ok.shape, -np.inf)
+            found[ok] = improvement(np.stack([l, r])) if by_means else lost - criterion.impurity(l) - criterion.impurity(r)
+            gain[some] = found
     if not np.isfinite(gain).any():
         return None
     if criterion.least_gain is not None and gain.max() <= criterion.least_gain:
         return None
     f, b = np.unravel_index(np.argmax(np.round(gain / max(gain.max(), 1e-9 * abs(lost)), 9)), gain.shape)
-    left, right = sides(f)
-    return int(f), int(b), float(gain[f, b]), left[b], right[b]
+    left, right = sides([f])
+    return int(f), int(b), float(gain[f, b]), left[0, b], right[0, b]
 
 
 # ---- growing -------------------------------------------------------------------------
@@ -731,6 +739,93 @@ class ClassForest:
 
 # ---- boosting ------------------------------------------------------------------------
 
+_HELD = 256 << 20  # bytes of rows that one task may keep
+
+
+@dataclass(frozen=True)
+class Rows:
+    """All rows of a table, held by one task."""
+
+    codes: np.ndarray
+    y: np.ndarray
+    fold: np.ndarray
+
+    @staticmethod
+    def of(batches: Iterator[pa.RecordBatch], features: int) -> Rows:
+        """The rows in the order of their keys' hashes, however they have come."""
+        parts = [_columns(b, features) for b in batches]
+        if not parts:
+            return Rows(np.zeros((0, features), np.uint16), np.zeros(0), np.zeros(0, np.int32))
+        h, codes, y, fold = (np.concatenate([p[c] for p in parts]) for c in ("h", "codes", "y", "fold"))
+        order = np.lexsort((y, h))
+        return Rows(codes[order], y[order], fold[order])
+
+    @staticmethod
+    def width(features: int, margins: int) -> int:
+        """Bytes of a row: codes, hash, label, fold, and the margin, probability and place for each tree of a round,
+        twice while they are put together or renewed."""
+        return 2 * (2 * features + 20 + 20 * margins)
+
+
+def _grown_here(
+    rows: Rows, widths: Sequence[int], plans: Sequence[Plan], criterion: Criterion,
+    slopes: Callable[[Plan, slice], tuple[np.ndarray, np.ndarray]], max_depth: int,
+) -> tuple[list[Tree], list[np.ndarray]]:
+    """What :func:`grow` gives, from rows that are held, and the leaf of each row in each tree."""
+    n_features, most = len(widths), max(widths)
+    starts = np.concatenate([[0], np.cumsum(widths)])
+    trees = [Tree() for _ in plans]
+    place = [np.zeros(len(rows.y), np.int32) for _ in plans]
+    open_ = [(t, 0) for t in range(len(plans))]
+    level = 0
+    while open_ and (level < max_depth or not level):
+        hist = np.zeros((len(open_), starts[-1], criterion.width))
+        first = 0
+        for t, plan in enumerate(plans):
+            nodes = [node for u, node in open_[first:] if u == t]
+            if not nodes:
+                continue
+            at_node = np.full(len(trees[t].feature), -1, np.int64)
+            at_node[nodes] = np.arange(len(nodes))
+            for lo in range(0, len(rows.y), _ROWS):
+                part = slice(lo, lo + _ROWS)
+                at = at_node[place[t][part]]
+                if plan.fold >= 0:
+                    at[rows.fold[part] == plan.fold] = -1
+                here = np.flatnonzero(at >= 0)
+                at = at[here]
+                g, h = (v[here] for v in slopes(plan, part))
+                for f, width in enumerate(widths):
+                    cell = at * width + rows.codes[part, f][here]
+                    own = hist[first : first + len(nodes), starts[f] : starts[f + 1]]
+                    for j, v in enumerate((None, g, h)):
+                        own[..., j] += np.bincount(cell, v, len(nodes) * width).reshape(len(nodes), width)
+            first += len(nodes)
+        following = []
+        for i, (t, node) in enumerate(open_):
+            full = np.zeros((n_features, most, 1, criterion.width))
+            for f, width in enumerate(widths):
+                full[f, :width, 0] = hist[i, starts[f] : starts[f + 1]]
+            found = best_split(criterion, full, np.arange(n_features))
+            if not found:
+                trees[t].totals[node] = full[0].sum(axis=0)
+                continue
+            f, upto, gain, left, right = found
+            trees[t].totals[node] = left + right
+            if max_depth:
+                trees[t].split(node, f, upto, gain, left, right)
+                following += [(t, trees[t].left[node]), (t, trees[t].left[node] + 1)]
+        for t in {t for t, _ in following}:
+            feature, upto, left = (np.asarray(a, np.int32) for a in (trees[t].feature, trees[t].upto, trees[t].left))
+            for lo in range(0, len(rows.y), _ROWS):
+                at = place[t][lo : lo + _ROWS]
+                moving = np.flatnonzero(feature[at] >= 0)
+                node = at[moving]
+                at[moving] = left[node] + (rows.codes[lo + moving, feature[node]] > upto[node])
+        open_ = following
+        level += 1
+    return trees, place
+
 
 def softmax(margins: np.ndarray) -> np.ndarray:
     e = np.exp(margins - margins.max(axis=-1, keepdims=True))
@@ -766,9 +861,11 @@ class SoftmaxBoosting:
     A tree follows slopes g = p - (1 for the own class) and curvatures h = 2 p (1 - p): its
     splits gain by G^2 / (H + l2), its leaves step by -G / (H + l2), shrunk by ``rate``, and
     no side of a split has less than ``least_weight`` of curvature. All classes start even.
-    The trees of a round, of all classes and folds, grow together. Margins are carried with
-    the rows; they are renewed every ``carry`` rounds, between which the newest trees are
-    applied on the fly.
+    The trees of a round, of all classes and folds, grow together. A level is a pass over
+    the rows, whose margins are carried with them and renewed every ``carry`` rounds, between
+    which the newest trees are applied on the fly. Rows of no more than ``_HELD`` bytes with
+    their margins are held by one task for all rounds, which takes them less than the
+    overhead of some hundred passes; the trees are the same.
     """
 
     key: str
@@ -787,14 +884,18 @@ class SoftmaxBoosting:
         """The model of all rows, and those without each fold (column ``fold``)."""
         cuts = feature_bins(df, bins=self.bins)
         classes = _classes(df)
-        models = folds + 1
+        models, n_features = folds + 1, len(cuts.edges)
         table = spread(binned(df, cuts, key=self.key))
         starts = np.zeros((models, classes))
         plans = [Plan(fold=m - 1, target=m * classes + k) for m in range(models) for k in range(classes)]
         made = softmax_gradients(self.l2, self.least_weight)
+        rows = table.count()
+        if rows and n_features and rows * Rows.width(n_features, len(plans)) <= _HELD:
+            rounds = self._held(table, cuts, plans, made, starts)
+            own = [[r[m * classes : (m + 1) * classes] for r in rounds] for m in range(models)]
+            return [BoostedModel(cuts, starts[m], own[m]) for m in range(models)]
         done: list[list[list[tuple[Tree, np.ndarray]]]] = [[] for _ in range(models)]
         fresh: list[list[tuple[Tree, np.ndarray]]] = []
-        n_features = len(cuts.edges)
 
         def now(cols: Mapping[str, np.ndarray], fresh) -> np.ndarray:
             """Margins (row, model, class) with the rounds that the rows do not carry yet."""
@@ -838,3 +939,37 @@ class SoftmaxBoosting:
                 table = renew(table, fresh)
                 fresh = []
         return [BoostedModel(cuts, starts[m], done[m]) for m in range(models)]
+
+    def _held(
+        self, table: DataFrame, cuts: Bins, plans: Sequence[Plan], made: Criterion, starts: np.ndarray
+    ) -> list[list[tuple[Tree, np.ndarray]]]:
+        """The trees of every round and their steps, from one task that holds the rows."""
+        models, classes = starts.shape
+        widths = [len(e) + 1 for e in cuts.edges]
+        rounds, rate, max_depth = self.rounds, self.rate, self.max_depth
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = Rows.of(batches, len(widths))
+            margins = np.tile(starts, (len(rows.y), 1, 1))
+            p = np.empty((len(plans), len(rows.y)))
+
+            def slopes(plan: Plan, part: slice) -> tuple[np.ndarray, np.ndarray]:
+                own = p[plan.target, part]
+                return own - (rows.y[part] == plan.target % classes), np.maximum(2 * own * (1 - own), 1e-16)
+
+            for r in range(rounds):
+                for lo in range(0, len(rows.y), _ROWS):
+                    p[:, lo : lo + _ROWS] = softmax(margins[lo : lo + _ROWS]).reshape(-1, len(plans)).T
+                trees, place = _grown_here(rows, widths, plans, made, slopes, max_depth)
+                steps = [rate * np.array([made.value(a) for a in t.totals]) for t in trees]
+                for plan, step, at in zip(plans, steps, place, strict=True):
+                    margins[:, plan.target // classes, plan.target % classes] += step[at]
+                # the class itself is not known to the driver by the worker's name
+                plain = [([getattr(t, c) for c in columns], step) for t, step in zip(trees, steps, strict=True)]
+                yield pa.RecordBatch.from_pylist([{"round": r, "trees": pickle.dumps(plain)}], schema)
+
+        columns = ("feature", "upto", "left", "depth", "gain", "totals")
+        schema = pa.schema([("round", pa.int32()), ("trees", pa.binary())])
+        found = table.select("h", "y", "fold", "codes").repartition(1).mapInArrow(run, "round int, trees binary").collect()
+        known = (pickle.loads(r["trees"]) for r in sorted(found, key=lambda r: r["round"]))
+        return [[(Tree(*own), step) for own, step in trees] for trees in known]

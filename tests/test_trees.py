@@ -232,3 +232,36 @@ def test_nodes_that_meet_once_split_as_their_cells_do(spark, monkeypatch):
         assert list(steps) == pytest.approx(list(others))
         # the sums of nodes stay with the driver
         assert not a.shape().totals and (a.shape().leaves(np.zeros((1, 3), int)) == a.leaves(np.zeros((1, 3), int))).all()
+
+
+def test_held_rows_boost_in_few_jobs_as_passes_do(spark, monkeypatch):
+    from kerbline.operators import trees
+
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 30, (500, 3)).astype(float)
+    label = (x[:, 0] > 9) + 1.0 * (x[:, 1] + rng.integers(0, 9, 500) > 20)
+    # keys come twice, and the folds are uneven
+    df = vectors(spark, x, label, fold=rng.integers(0, 5, 500) // 3).withColumn("key", F.col("key") % 400)
+    boosting = trees.SoftmaxBoosting("key", rounds=6, max_depth=4, carry=4)
+    sc = spark.sparkContext
+
+    def fit(group):
+        sc.setJobGroup(group, group)
+        models = boosting.fit_folds(df, 2)
+        sc.setJobGroup("others", "others")
+        return models, len(sc.statusTracker().getJobIdsForGroup(group))
+
+    held, few = fit("held")
+    # so that no rows are held
+    monkeypatch.setattr(trees, "_HELD", 0, raising=False)
+    passes, many = fit("passes")
+    # a pass for each of 24 levels is at least a job
+    assert few <= 24 <= many - 20
+    assert len(held) == len(passes) == 3
+    for a, b in zip(held, passes, strict=True):
+        assert np.array_equal(a.start, b.start)
+        for ones, others in zip(a.rounds, b.rounds, strict=True):
+            for (one, steps), (other, wanted) in zip(ones, others, strict=True):
+                assert (one.feature, one.upto, one.left, one.depth) == (other.feature, other.upto, other.left, other.depth)
+                assert np.allclose(steps, wanted, atol=1e-9) and np.allclose(one.totals, other.totals, atol=1e-9)
+                assert np.allclose(one.gain, other.gain, atol=1e-9)
